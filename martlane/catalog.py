@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlane.operators import dau, orders
-from martlane.plans import dashboard
+from martlane.functions.scalar import age_365, age_band
+from martlane.operators import dau, orders, sales
+from martlane.plans import dashboard, search
 from martlane.sources import fixtures as fx
 
 # Fixed parameters of the registered queries (FIXTURES.md).
@@ -21,6 +22,12 @@ DAU_DAY = "2024-01-15"
 NEW_MID_DAY = "2024-01-01"
 ORDER_DAY = "1997-02-01"
 ROUND = 2
+SALE_JOIN_BOUND_SECONDS = 90 * 86400   # order date against ship date, strict
+SEARCH_KEYWORD = "Widget cold"
+REPORT_KEYWORD = "widget"
+SEARCH_DAY = "1997-02-01"
+REPORT_PAGE, REPORT_SIZE = 2, 10
+PAGE_NO, PAGE_SIZE = 3, 20
 
 
 def _r(col: str):
@@ -124,6 +131,76 @@ def q_realtime_hour_amount(spark, d):
     return out.select("date", "hour", _r("today"), _r("yesterday"))
 
 
+# ------------------------------------------------------- sales and search
+
+def _users(spark, d) -> DataFrame:
+    return sales.user_latest(fx.user_info_raw(spark, d))
+
+
+def q_user_latest(spark, d):
+    return _users(spark, d).select("id", "login_name", "user_level", "birthday", "gender")
+
+
+def q_user_age_bands(spark, d):
+    ages = _users(spark, d).select(age_band(age_365("birthday", fx.USER_AS_OF)).alias("band"))
+    return ages.groupBy("band").agg(F.count(F.lit(1)).alias("ct"))
+
+
+def q_sale_join(spark, d):
+    j = sales.sale_join(_orders(spark, d), fx.order_detail_raw(spark, d), SALE_JOIN_BOUND_SECONDS)
+    return j.select("order_detail_id", "order_id", "order_status", "create_time", "user_id",
+                    "sku_id", "sku_price", "sku_name", "dt")
+
+
+def sale_index(spark, d) -> DataFrame:
+    """The sale-detail index: all order lines joined to their order by key,
+    enriched with the latest user, one document per line id."""
+    joined = sales.sale_join(_orders(spark, d), fx.order_detail_raw(spark, d), None)
+    enriched = sales.enrich_user(sales.sale_detail(joined), _users(spark, d), fx.USER_AS_OF)
+    return sales.sale_detail_index(enriched).drop("version")
+
+
+def q_sale_detail(spark, d):
+    return sale_index(spark, d)
+
+
+def q_sale_search(spark, d):
+    return search.sale_search(sale_index(spark, d), SEARCH_KEYWORD)
+
+
+def q_sale_search_day(spark, d):
+    return search.sale_search(sale_index(spark, d), REPORT_KEYWORD, SEARCH_DAY)
+
+
+def _report_hits(spark, d):
+    return search.sale_search(sale_index(spark, d), REPORT_KEYWORD)
+
+
+def q_sale_gender_terms(spark, d):
+    return search.terms_agg(_report_hits(spark, d), "user_gender", search.GENDER_TERMS_SIZE)
+
+
+def q_sale_age_terms(spark, d):
+    return search.terms_agg(_report_hits(spark, d), "user_age", search.AGE_TERMS_SIZE)
+
+
+def q_sale_age_stat(spark, d):
+    return search.age_stat(_report_hits(spark, d))
+
+
+def q_sale_gender_stat(spark, d):
+    return search.gender_stat(_report_hits(spark, d))
+
+
+def q_sale_page(spark, d):
+    return search.page(_report_hits(spark, d), PAGE_NO, PAGE_SIZE)
+
+
+def q_sale_detail_report(spark, d):
+    return search.sale_detail_report(sale_index(spark, d), None, REPORT_KEYWORD, REPORT_PAGE,
+                                     REPORT_SIZE, nested=False)
+
+
 def dashboard_prev(day: str) -> str:
     import datetime as _dt
     return (_dt.date.fromisoformat(day) - _dt.timedelta(days=1)).isoformat()
@@ -148,4 +225,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "realtime_hour_dau": q_realtime_hour_dau,
     "realtime_hour_dau_day": q_realtime_hour_dau_day,
     "realtime_hour_amount": q_realtime_hour_amount,
+    "user_latest": q_user_latest,
+    "user_age_bands": q_user_age_bands,
+    "sale_join": q_sale_join,
+    "sale_detail": q_sale_detail,
+    "sale_search": q_sale_search,
+    "sale_search_day": q_sale_search_day,
+    "sale_gender_terms": q_sale_gender_terms,
+    "sale_age_terms": q_sale_age_terms,
+    "sale_age_stat": q_sale_age_stat,
+    "sale_gender_stat": q_sale_gender_stat,
+    "sale_page": q_sale_page,
+    "sale_detail_report": q_sale_detail_report,
 }

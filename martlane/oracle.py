@@ -155,3 +155,110 @@ SQL["realtime_hour_amount"] = _with(ORDERS, HOURS,
                                     _today_vs_yesterday("oc", "create_date", "create_hour",
                                                         "total_amount")) + \
     "SELECT date, hour, round(today, 2) AS today, round(yesterday, 2) AS yesterday FROM filled"
+
+# ------------------------------------------------------- sales and search
+
+USERS = """
+users AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS login_name,
+         CAST(c_custkey % 4 + 1 AS VARCHAR) AS user_level,
+         strftime(DATE '1950-01-01' + CAST((c_custkey * 7919) % 22000 AS INTEGER), '%Y-%m-%d')
+           AS birthday,
+         CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender
+  FROM customer),
+ages AS (
+  SELECT id, gender, user_level,
+         CAST(date_diff('day', CAST(birthday AS DATE), DATE '2020-01-01') // 365 AS INTEGER) AS age
+  FROM users)"""
+
+DETAILS = """
+det AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' ||
+         CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS order_detail_id,
+         CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS sku_id,
+         p_name AS sku_name, p_retailprice AS sku_price,
+         epoch_us(l_shipdate) // 1000 AS d_ts, l_extendedprice AS d_price
+  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+
+ORDER_TS = """
+ots AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, epoch_us(o_orderdate) // 1000 AS o_ts FROM orders)"""
+
+SALE_INDEX = ORDERS + "," + USERS + "," + DETAILS + """,
+sale_all AS (
+  SELECT det.order_detail_id, oc.id AS order_id, oc.order_status, oc.create_time, oc.user_id,
+         det.sku_id, a.gender AS user_gender, coalesce(a.age, 0) AS user_age,
+         a.user_level, det.sku_price, det.sku_name, oc.create_date AS dt, det.d_ts, det.d_price
+  FROM oc JOIN det ON det.order_id = oc.id LEFT JOIN ages a ON a.id = oc.user_id),
+sale_idx AS (
+  SELECT order_detail_id, order_id, order_status, create_time, user_id, sku_id, user_gender,
+         user_age, user_level, sku_price, sku_name, dt
+  FROM (SELECT *, row_number() OVER (PARTITION BY order_detail_id
+                                     ORDER BY d_ts DESC, d_price DESC) AS rn FROM sale_all)
+  WHERE rn = 1)"""
+
+
+def _match(keyword_terms: list[str]) -> str:
+    terms = ", ".join(f"'{t}'" for t in keyword_terms)
+    return (f"list_has_all(regexp_extract_all(lower(sku_name), '\\p{{Han}}|[\\p{{L}}\\p{{N}}]+'), "
+            f"[{terms}])")
+
+
+HITS = SALE_INDEX + f""",
+hits AS (SELECT * FROM sale_idx WHERE {_match(['widget'])})"""
+
+SQL["user_latest"] = _with(USERS) + "SELECT id, login_name, user_level, birthday, gender FROM users"
+
+SQL["user_age_bands"] = _with(USERS) + """
+SELECT CASE WHEN age < 20 THEN 'lt20' WHEN age <= 30 THEN '20to30' ELSE 'gt30' END AS band,
+       count(*) AS ct
+FROM ages GROUP BY 1"""
+
+SQL["sale_join"] = _with(ORDERS, DETAILS, ORDER_TS) + """
+SELECT det.order_detail_id, oc.id AS order_id, oc.order_status, oc.create_time, oc.user_id,
+       det.sku_id, det.sku_price, det.sku_name, oc.create_date AS dt
+FROM oc JOIN ots ON ots.id = oc.id JOIN det ON det.order_id = oc.id
+WHERE det.d_ts > ots.o_ts - 7776000000 AND det.d_ts < ots.o_ts + 7776000000"""
+
+SQL["sale_detail"] = _with(SALE_INDEX) + "SELECT * FROM sale_idx"
+
+SQL["sale_search"] = _with(SALE_INDEX) + f"SELECT * FROM sale_idx WHERE {_match(['widget', 'cold'])}"
+
+SQL["sale_search_day"] = _with(SALE_INDEX) + \
+    f"SELECT * FROM sale_idx WHERE dt = '1997-02-01' AND {_match(['widget'])}"
+
+SQL["sale_gender_terms"] = _with(HITS) + """
+SELECT user_gender, count(*) AS doc_count FROM hits WHERE user_gender IS NOT NULL
+GROUP BY user_gender ORDER BY doc_count DESC, user_gender LIMIT 2"""
+
+SQL["sale_age_terms"] = _with(HITS) + """
+SELECT user_age, count(*) AS doc_count FROM hits WHERE user_age IS NOT NULL
+GROUP BY user_age ORDER BY doc_count DESC, user_age LIMIT 100"""
+
+
+def _ratio(cond: str) -> str:
+    return (f"CASE WHEN count(*) = 0 THEN 0.0 ELSE "
+            f"floor(count(*) FILTER (WHERE {cond}) * 1000.0 / count(*) + 0.5) / 10.0 END")
+
+
+SQL["sale_age_stat"] = _with(HITS) + f"""
+SELECT count(*) AS total, {_ratio('user_age < 20')} AS age_lt20,
+       {_ratio('user_age >= 20 AND user_age <= 30')} AS age_20to30,
+       {_ratio('user_age > 30')} AS age_gt30
+FROM hits"""
+
+SQL["sale_gender_stat"] = _with(HITS) + f"""
+SELECT count(*) AS total, {_ratio("user_gender = 'M'")} AS male,
+       {_ratio("user_gender = 'F'")} AS female
+FROM hits"""
+
+SQL["sale_page"] = _with(HITS) + "SELECT * FROM hits ORDER BY order_detail_id LIMIT 20 OFFSET 40"
+
+SQL["sale_detail_report"] = _with(HITS) + f"""
+SELECT count(*) AS total, {_ratio('user_age < 20')} AS age_lt20,
+       {_ratio('user_age >= 20 AND user_age <= 30')} AS age_20to30,
+       {_ratio('user_age > 30')} AS age_gt30,
+       {_ratio("user_gender = 'M'")} AS male, {_ratio("user_gender = 'F'")} AS female,
+       (SELECT string_agg(order_detail_id, ',' ORDER BY order_detail_id) FROM
+          (SELECT order_detail_id FROM hits ORDER BY order_detail_id LIMIT 10 OFFSET 10))
+         AS detail_ids
+FROM hits"""
