@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlane.functions.scalar import age_365, age_band
-from martlane.operators import dau, orders, sales
+from martlane.operators import alerts, dau, orders, sales
 from martlane.plans import dashboard, search
+from martlane.sources import cdc, topics
 from martlane.sources import fixtures as fx
 
 # Fixed parameters of the registered queries (FIXTURES.md).
@@ -28,6 +29,8 @@ REPORT_KEYWORD = "widget"
 SEARCH_DAY = "1997-02-01"
 REPORT_PAGE, REPORT_SIZE = 2, 10
 PAGE_NO, PAGE_SIZE = 3, 20
+ALERT_WINDOW_SECONDS = 2 * 3600
+ALERT_SLIDE_SECONDS = 30 * 60
 
 
 def _r(col: str):
@@ -201,6 +204,37 @@ def q_sale_detail_report(spark, d):
                                      REPORT_SIZE, nested=False)
 
 
+# ------------------------------------------------------------------ alerts
+
+def _alerts(spark, d) -> DataFrame:
+    return alerts.coupon_alerts(fx.event_logs(spark, d), ALERT_WINDOW_SECONDS,
+                                ALERT_SLIDE_SECONDS, alerts.MIN_UIDS)
+
+
+def q_coupon_alert(spark, d):
+    return alerts.alerts_flat(_alerts(spark, d))
+
+
+def q_coupon_alert_per_bucket(spark, d):
+    return alerts.alerts_flat(alerts.alert_per_bucket(_alerts(spark, d)))
+
+
+# ------------------------------------------------------------------ ingest
+
+def q_route_logs(spark, d):
+    routed = topics.route_logs(fx.client_logs(spark, d))
+    return routed.select("topic", "log_id", "type", "mid", "uid", "evid", "itemid", "ts")
+
+
+def q_cdc_after_image(spark, d):
+    rows = cdc.cdc_after_image(cdc.cdc_row_changes(cdc.cdc_changes_fixture(spark, d)))
+    return rows.select("table_name", "event_type", "seq", "row_no", "value")
+
+
+def q_cdc_route(spark, d):
+    return cdc.cdc_records(cdc.cdc_changes_fixture(spark, d))
+
+
 def dashboard_prev(day: str) -> str:
     import datetime as _dt
     return (_dt.date.fromisoformat(day) - _dt.timedelta(days=1)).isoformat()
@@ -237,4 +271,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sale_gender_stat": q_sale_gender_stat,
     "sale_page": q_sale_page,
     "sale_detail_report": q_sale_detail_report,
+    "coupon_alert": q_coupon_alert,
+    "coupon_alert_per_bucket": q_coupon_alert_per_bucket,
+    "route_logs": q_route_logs,
+    "cdc_after_image": q_cdc_after_image,
+    "cdc_route": q_cdc_route,
 }

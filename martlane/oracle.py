@@ -262,3 +262,101 @@ SELECT count(*) AS total, {_ratio('user_age < 20')} AS age_lt20,
           (SELECT order_detail_id FROM hits ORDER BY order_detail_id LIMIT 10 OFFSET 10))
          AS detail_ids
 FROM hits"""
+
+# ------------------------------------------------------------------ alerts
+
+EVENT_LOG = """
+ev AS (
+  SELECT 'mid_' || CAST(user_id % 5 AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,
+         CASE event_type WHEN 'purchase' THEN 'coupon' WHEN 'click' THEN 'clickItem'
+              WHEN 'view' THEN 'addCart' WHEN 'signup' THEN 'addFavor'
+              WHEN 'error' THEN 'addComment' END AS evid,
+         json_extract_string(props, '$.k') AS itemid,
+         epoch_us(ts) // 1000 AS ts
+  FROM events)"""
+
+
+def _alerts_sql(window_ms: int, slide_ms: int, min_uids: int) -> str:
+    n = window_ms // slide_ms
+    counts = ",\n".join(f"count(*) FILTER (WHERE evid = '{e}') AS n_{e}"
+                        for e in ("addFavor", "addComment", "addCart", "clickItem", "coupon"))
+    pairs = ", ".join(f"CASE WHEN n_{e} > 0 THEN '{e}:' || CAST(n_{e} AS VARCHAR) END"
+                      for e in ("addCart", "addComment", "addFavor", "clickItem", "coupon"))
+    return f"""
+win AS (
+  SELECT mid, (ts // {slide_ms} - k) * {slide_ms} AS window_start, uid, evid, itemid
+  FROM ev, range(0, {n}) t(k)),
+agg AS (
+  SELECT mid, window_start,
+         list_sort(list_distinct(list(uid) FILTER (WHERE evid = 'coupon'))) AS uids,
+         list_sort(list_distinct(list(itemid) FILTER (WHERE evid = 'coupon'))) AS item_ids,
+         {counts}
+  FROM win GROUP BY mid, window_start),
+alerts AS (
+  SELECT mid || '_' || CAST((window_start + {window_ms}) // 60000 AS VARCHAR) AS alert_id, mid,
+         array_to_string(uids, ',') AS uids, array_to_string(item_ids, ',') AS item_ids,
+         concat_ws(',', {pairs}) AS events,
+         window_start + {window_ms} AS ts
+  FROM agg WHERE len(uids) >= {min_uids} AND n_clickItem = 0)"""
+
+
+SQL["coupon_alert"] = _with(EVENT_LOG, _alerts_sql(7_200_000, 1_800_000, 3)) + \
+    "SELECT * FROM alerts"
+
+SQL["coupon_alert_per_bucket"] = _with(EVENT_LOG, _alerts_sql(7_200_000, 1_800_000, 3)) + """
+SELECT alert_id, mid, uids, item_ids, events, ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY alert_id ORDER BY ts DESC, mid DESC, uids DESC) AS rn
+  FROM alerts) WHERE rn = 1"""
+
+# ------------------------------------------------------------------ ingest
+
+SQL["route_logs"] = """
+SELECT CASE WHEN event_type = 'signup' THEN 'GMALL_STARTUP' ELSE 'GMALL_EVENT' END AS topic,
+       event_id AS log_id,
+       CASE WHEN event_type = 'signup' THEN 'startup' ELSE 'event' END AS type,
+       'mid_' || CAST(user_id AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,
+       CASE event_type WHEN 'purchase' THEN 'coupon' WHEN 'click' THEN 'clickItem'
+            WHEN 'view' THEN 'addCart' WHEN 'error' THEN 'addComment' END AS evid,
+       CASE WHEN event_type <> 'signup' THEN json_extract_string(props, '$.k') END AS itemid,
+       epoch_us(ts) // 1000 AS ts
+FROM events"""
+
+CDC_ROWS = ORDERS + "," + DETAILS + """,
+changes AS (
+  SELECT 'order_info' AS table_name, CAST(id AS BIGINT) AS seq,
+         to_json(MAP(['id', 'user_id', 'consignee_tel', 'order_status', 'total_amount',
+                      'create_time'],
+                     [id, user_id, tel, order_status, CAST(total_amount AS VARCHAR),
+                      create_time])) AS value
+  FROM o_raw
+  UNION ALL
+  SELECT 'order_detail', CAST(l_orderkey AS BIGINT),
+         to_json(MAP(['id', 'order_id', 'sku_name', 'sku_id', 'order_price', 'sku_num'],
+                     [CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' ||
+                      CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR),
+                      CAST(l_orderkey AS VARCHAR), p_name, CAST(l_partkey AS VARCHAR),
+                      CAST(p_retailprice AS VARCHAR), CAST(l_quantity AS VARCHAR)]))
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+  UNION ALL
+  SELECT 'user_info', c_custkey,
+         to_json(MAP(['id', 'login_name', 'user_level', 'birthday', 'gender'],
+                     [CAST(c_custkey AS VARCHAR), c_name, CAST(c_custkey % 4 + 1 AS VARCHAR),
+                      strftime(DATE '1950-01-01' + CAST((c_custkey * 7919) % 22000 AS INTEGER),
+                               '%Y-%m-%d'),
+                      CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END]))
+  FROM customer),
+cdc_rows AS (
+  SELECT table_name, ['INSERT', 'UPDATE', 'DELETE'][CAST(seq % 3 AS INTEGER) + 1] AS event_type,
+         seq, 0 AS row_no, value
+  FROM changes)"""
+
+SQL["cdc_after_image"] = _with(CDC_ROWS) + "SELECT * FROM cdc_rows"
+
+SQL["cdc_route"] = _with(CDC_ROWS) + """
+SELECT CASE WHEN table_name = 'order_info' THEN 'GMALL_ORDER'
+            WHEN table_name = 'order_detail' THEN 'GMALL_ORDER_DETAIL'
+            ELSE 'GMALL_USER' END AS topic,
+       table_name, event_type, seq, row_no, value
+FROM cdc_rows
+WHERE (table_name IN ('order_info', 'order_detail') AND event_type = 'INSERT')
+   OR (table_name = 'user_info' AND event_type IN ('INSERT', 'UPDATE'))"""
