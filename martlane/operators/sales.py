@@ -82,3 +82,30 @@ def sale_detail_index(sales: DataFrame) -> DataFrame:
     if "version" not in sales.columns:
         return pick_per_key(sales, ["order_detail_id"], [], latest=True)
     return pick_per_key(sales, ["order_detail_id"], ["version"], latest=True)
+
+
+def sale_join_stream(orders: DataFrame, details: DataFrame,
+                     bound_seconds: int = JOIN_BOUND_SECONDS,
+                     watermark: str | None = None) -> DataFrame:
+    """Streaming twin of ``sale_join``: stream-stream inner join.
+
+    Both sides get a watermark on their event time and the join carries the
+    two-sided time bound, so Spark can evict an order (or a line) once no
+    partner within the bound can still arrive: state stays bounded by the
+    bound plus the watermark delay instead of growing with the stream.
+    """
+    delay = watermark or f"{int(bound_seconds)} seconds"
+    o = (orders.select(F.col("id").alias("order_id"), "order_status", "create_time", "user_id",
+                       F.col("create_date").alias("dt"),
+                       F.timestamp_millis("ts").alias("_o_time"))
+         .withWatermark("_o_time", delay))
+    d = (details.select(F.col("id").alias("order_detail_id"),
+                        F.col("order_id").alias("_d_order_id"), "sku_id", "sku_name",
+                        sku_price("order_price").alias("sku_price"),
+                        F.timestamp_millis("ts").alias("_d_time"))
+         .withWatermark("_d_time", delay))
+    bound = F.expr(f"INTERVAL {int(bound_seconds)} SECONDS")
+    cond = ((o["order_id"] == d["_d_order_id"])
+            & (d["_d_time"] > o["_o_time"] - bound)
+            & (d["_d_time"] < o["_o_time"] + bound))
+    return o.join(d, cond, "inner").drop("_d_order_id", "_o_time", "_d_time")
