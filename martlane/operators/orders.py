@@ -18,8 +18,9 @@ def orders_clean(orders: DataFrame) -> DataFrame:
            .withColumn("consignee_tel", mask_tel("consignee_tel"))
            .withColumn("create_date", create_date("create_time"))
            .withColumn("create_hour", create_hour("create_time")))
-    extra = [c for c in orders.columns if c not in ORDER_COLUMNS]
-    return out.select(*ORDER_COLUMNS, *extra)
+    known = [c for c in ORDER_COLUMNS if c in out.columns]
+    extra = [c for c in out.columns if c not in ORDER_COLUMNS]
+    return out.select(*known, *extra)
 
 
 def first_order_flag(orders: DataFrame) -> DataFrame:
