@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from martlane.functions.scalar import age_365, age_band
 from martlane.operators import alerts, dau, orders, sales
 from martlane.plans import dashboard, search
+from martlane.plans.derived import derived_table
 from martlane.sources import cdc, topics
 from martlane.sources import fixtures as fx
 
@@ -39,8 +40,14 @@ def _r(col: str):
 
 # ---------------------------------------------------------------- DAU family
 
-def _first_visits(spark, d, day_from=None, day_to=None) -> DataFrame:
-    return dau.dau_first_visits(fx.startup_logs(spark, d, day_from, day_to))
+def _src(d: str, *names: str) -> list[str]:
+    return [f"{d.rstrip('/')}/{n}.parquet" for n in names]
+
+
+def _first_visits(spark, d) -> DataFrame:
+    """The DAU table (one first visit per device and day), built once per input."""
+    return derived_table(spark, "dau", _src(d, "events"),
+                         lambda: dau.dau_first_visits(fx.startup_logs(spark, d)), ["log_date"])
 
 
 def q_dau_first_visits(spark, d):
@@ -53,7 +60,7 @@ def q_dau_total(spark, d):
 
 
 def q_dau_total_day(spark, d):
-    return dashboard.dau_total(_first_visits(spark, d, DAU_DAY, DAU_DAY), DAU_DAY)
+    return dashboard.dau_total(_first_visits(spark, d), DAU_DAY)
 
 
 def q_dau_hour(spark, d):
@@ -61,7 +68,7 @@ def q_dau_hour(spark, d):
 
 
 def q_dau_hour_day(spark, d):
-    return dashboard.dau_hour(_first_visits(spark, d, DAU_DAY, DAU_DAY), DAU_DAY)
+    return dashboard.dau_hour(_first_visits(spark, d), DAU_DAY)
 
 
 def q_new_mid(spark, d):
@@ -75,7 +82,9 @@ def q_new_mid_day(spark, d):
 # ------------------------------------------------------------- order family
 
 def _orders(spark, d) -> DataFrame:
-    return orders.orders_clean(fx.order_info_raw(spark, d))
+    """The order table (masked phone, create date and hour), built once per input."""
+    return derived_table(spark, "orders", _src(d, "orders"),
+                         lambda: orders.orders_clean(fx.order_info_raw(spark, d)), ["create_date"])
 
 
 def q_orders_clean(spark, d):
@@ -125,8 +134,7 @@ def q_realtime_hour_dau(spark, d):
 
 
 def q_realtime_hour_dau_day(spark, d):
-    fv = _first_visits(spark, d, dashboard_prev(DAU_DAY), DAU_DAY)
-    return dashboard.realtime_hour("dau", fv, _orders(spark, d), DAU_DAY)
+    return dashboard.realtime_hour("dau", _first_visits(spark, d), _orders(spark, d), DAU_DAY)
 
 
 def q_realtime_hour_amount(spark, d):
@@ -137,7 +145,9 @@ def q_realtime_hour_amount(spark, d):
 # ------------------------------------------------------- sales and search
 
 def _users(spark, d) -> DataFrame:
-    return sales.user_latest(fx.user_info_raw(spark, d))
+    """The user dimension (latest profile per id), built once per input."""
+    return derived_table(spark, "users", _src(d, "customer"),
+                         lambda: sales.user_latest(fx.user_info_raw(spark, d)))
 
 
 def q_user_latest(spark, d):
@@ -155,12 +165,22 @@ def q_sale_join(spark, d):
                     "sku_id", "sku_price", "sku_name", "dt")
 
 
-def sale_index(spark, d) -> DataFrame:
-    """The sale-detail index: all order lines joined to their order by key,
-    enriched with the latest user, one document per line id."""
-    joined = sales.sale_join(_orders(spark, d), fx.order_detail_raw(spark, d), None)
+def build_sale_index(spark, d) -> DataFrame:
+    """All order lines joined to their order by key, enriched with the latest
+    user, one document per line id (the search index's upsert)."""
+    # Lines are deduplicated by id first, on the narrow line rows: every other
+    # field of a document follows from the order id inside the line id, so
+    # this equals deduplicating the joined documents, at a fraction of the width.
+    lines = sales.latest_line(fx.order_detail_raw(spark, d))
+    joined = sales.sale_join(_orders(spark, d), lines, None)
     enriched = sales.enrich_user(sales.sale_detail(joined), _users(spark, d), fx.USER_AS_OF)
-    return sales.sale_detail_index(enriched).drop("version")
+    return enriched.drop("version")
+
+
+def sale_index(spark, d) -> DataFrame:
+    """The sale-detail index, built once per input and then scanned by the search queries."""
+    return derived_table(spark, "sale_index", _src(d, "orders", "lineitem", "part", "customer"),
+                         lambda: build_sale_index(spark, d), ["dt"])
 
 
 def q_sale_detail(spark, d):
@@ -226,13 +246,19 @@ def q_route_logs(spark, d):
     return routed.select("topic", "log_id", "type", "mid", "uid", "evid", "itemid", "ts")
 
 
+def _changes(spark, d) -> DataFrame:
+    """The captured change log of the three source tables (the CDC input)."""
+    return derived_table(spark, "cdc_changes", _src(d, "orders", "lineitem", "part", "customer"),
+                         lambda: cdc.cdc_changes_fixture(spark, d))
+
+
 def q_cdc_after_image(spark, d):
-    rows = cdc.cdc_after_image(cdc.cdc_row_changes(cdc.cdc_changes_fixture(spark, d)))
+    rows = cdc.cdc_after_image(cdc.cdc_row_changes(_changes(spark, d)))
     return rows.select("table_name", "event_type", "seq", "row_no", "value")
 
 
 def q_cdc_route(spark, d):
-    return cdc.cdc_records(cdc.cdc_changes_fixture(spark, d))
+    return cdc.cdc_records(_changes(spark, d))
 
 
 def dashboard_prev(day: str) -> str:

@@ -77,6 +77,12 @@ def enrich_user(sales: DataFrame, users: DataFrame, as_of: str) -> DataFrame:
     return j.drop("_uid", "_gender", "_level", "_age")
 
 
+def latest_line(details: DataFrame) -> DataFrame:
+    """One order line per line id, the latest ``version`` (last write wins)."""
+    return pick_per_key(details, ["id"], ["version"] if "version" in details.columns else [],
+                        latest=True)
+
+
 def sale_detail_index(sales: DataFrame) -> DataFrame:
     """One document per ``order_detail_id`` (the index's upsert), latest ``version``."""
     if "version" not in sales.columns:

@@ -35,7 +35,7 @@ def cdc_row_changes(changes: DataFrame, db: str = CDC_DB) -> DataFrame:
 
 def cdc_after_image(rows: DataFrame) -> DataFrame:
     """``after`` column list -> ``value``: JSON object of column name -> string value."""
-    image = F.map_from_entries(F.transform("after", lambda c: F.struct(c["name"], c["value"])))
+    image = F.map_from_arrays(F.col("after.name"), F.col("after.value"))
     return rows.withColumn("value", F.to_json(image))
 
 
