@@ -17,6 +17,8 @@ from martlane.operators import alerts, dau, orders, sales
 from martlane.plans import dashboard, search
 from martlane.plans.derived import derived_table
 from martlane.sources import cdc, topics
+from martlane.streaming import runners
+from martlane.streaming.replay import replay
 from martlane.sources import fixtures as fx
 
 # Fixed parameters of the registered queries (FIXTURES.md).
@@ -32,6 +34,9 @@ REPORT_PAGE, REPORT_SIZE = 2, 10
 PAGE_NO, PAGE_SIZE = 3, 20
 ALERT_WINDOW_SECONDS = 2 * 3600
 ALERT_SLIDE_SECONDS = 30 * 60
+STREAM_BATCHES = 4                     # micro-batches a stream twin replays its input in
+ALERT_WATERMARK = "2 hours"
+SALE_WATERMARK = "1000 days"           # the replay packs years into 4 batches
 
 
 def _r(col: str):
@@ -261,6 +266,75 @@ def q_cdc_route(spark, d):
     return cdc.cdc_records(_changes(spark, d))
 
 
+# ------------------------------------------------------------ stream twins
+# Each replays its input through a topic folder and the streaming runner
+# (several micro-batches, state carried between them) and returns the sink.
+
+AVAILABLE_NOW = {"availableNow": True}
+LAST_PROGRESS: dict[str, list[dict]] = {}
+
+
+def run_dau_stream(spark, d):
+    start = lambda s, out, ck: runners.start_dau_stream(s[topics.TOPIC_STARTUP], out, ck,
+                                                        AVAILABLE_NOW)
+    out, prog = replay(spark, {topics.TOPIC_STARTUP: (fx.startup_logs(spark, d), "ts")},
+                       STREAM_BATCHES, start, "dau_stream")
+    LAST_PROGRESS["dau_stream"] = prog
+    return runners.dau_table(spark, out).read()
+
+
+def q_dau_stream(spark, d):
+    return run_dau_stream(spark, d).select("mid", "uid", "appid", "log_type", "log_date",
+                                           "log_hour", "ts")
+
+
+def q_order_stream(spark, d):
+    start = lambda s, out, ck: runners.start_order_stream(s[topics.TOPIC_ORDER], out, ck,
+                                                          AVAILABLE_NOW)
+    out, prog = replay(spark, {topics.TOPIC_ORDER: (fx.order_info_raw(spark, d), "ts")},
+                       STREAM_BATCHES, start, "order_stream")
+    LAST_PROGRESS["order_stream"] = prog
+    return runners.order_table(spark, out).read().select(
+        "id", "user_id", "consignee_tel", "order_status", "total_amount", "create_time",
+        "create_date", "create_hour")
+
+
+def q_sale_stream(spark, d):
+    def start(s, out, ck):
+        users = runners.user_table(spark, f"{out}/users")
+        users.upsert(runners.with_user_bucket(fx.user_info_raw(spark, d)), 0)
+        return runners.start_sale_stream(s[topics.TOPIC_ORDER], s[topics.TOPIC_ORDER_DETAIL],
+                                         f"{out}/sales", f"{out}/users", ck,
+                                         SALE_JOIN_BOUND_SECONDS, SALE_WATERMARK, fx.USER_AS_OF,
+                                         AVAILABLE_NOW)
+    sources = {topics.TOPIC_ORDER: (fx.order_info_raw(spark, d), "ts"),
+               topics.TOPIC_ORDER_DETAIL: (fx.order_detail_raw(spark, d).drop("version"), "ts")}
+    out, prog = replay(spark, sources, STREAM_BATCHES, start, "sale_stream")
+    LAST_PROGRESS["sale_stream"] = prog
+    return runners.sale_table(spark, f"{out}/sales").read().drop("dt_month")
+
+
+def q_alert_stream(spark, d):
+    start = lambda s, out, ck: runners.start_alert_stream(
+        s[topics.TOPIC_EVENT], out, ck, ALERT_WINDOW_SECONDS, ALERT_SLIDE_SECONDS,
+        alerts.MIN_UIDS, ALERT_WATERMARK, AVAILABLE_NOW)
+    out, prog = replay(spark, {topics.TOPIC_EVENT: (fx.event_logs(spark, d), "ts")},
+                       STREAM_BATCHES, start, "alert_stream")
+    LAST_PROGRESS["alert_stream"] = prog
+    table = runners.alert_table(spark, out).read()
+    if table is None:
+        return alerts.alerts_flat(alerts.coupon_alerts(fx.event_logs(spark, d)).limit(0))
+    return alerts.alerts_flat(table.drop("alert_date"))
+
+
+STREAM_QUERIES = {
+    "dau_stream": q_dau_stream,
+    "order_stream": q_order_stream,
+    "sale_stream": q_sale_stream,
+    "alert_stream": q_alert_stream,
+}
+
+
 def dashboard_prev(day: str) -> str:
     import datetime as _dt
     return (_dt.date.fromisoformat(day) - _dt.timedelta(days=1)).isoformat()
@@ -302,4 +376,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_logs": q_route_logs,
     "cdc_after_image": q_cdc_after_image,
     "cdc_route": q_cdc_route,
+    **STREAM_QUERIES,
 }

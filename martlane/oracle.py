@@ -360,3 +360,25 @@ SELECT CASE WHEN table_name = 'order_info' THEN 'GMALL_ORDER'
 FROM cdc_rows
 WHERE (table_name IN ('order_info', 'order_detail') AND event_type = 'INSERT')
    OR (table_name = 'user_info' AND event_type IN ('INSERT', 'UPDATE'))"""
+
+# ------------------------------------------------------------ stream twins
+# The stream twins' sinks must equal the batch definitions: first visits,
+# cleaned orders, the time-bounded sale join (enriched, one row per line id),
+# and the alerts whose window the watermark has closed (end <= max event
+# time - 2 h): append mode holds the later ones back by design.
+
+SQL["dau_stream"] = SQL["dau_first_visits"]
+
+SQL["order_stream"] = SQL["orders_clean"]
+
+SQL["sale_stream"] = _with(SALE_INDEX, ORDER_TS) + """
+SELECT order_detail_id, order_id, order_status, create_time, user_id, sku_id, user_gender,
+       user_age, user_level, sku_price, sku_name, dt
+FROM (SELECT s.*, row_number() OVER (PARTITION BY s.order_detail_id
+                                     ORDER BY s.d_ts DESC, s.d_price DESC) AS rn
+      FROM sale_all s JOIN ots ON ots.id = s.order_id
+      WHERE s.d_ts > ots.o_ts - 7776000000 AND s.d_ts < ots.o_ts + 7776000000)
+WHERE rn = 1"""
+
+SQL["alert_stream"] = _with(EVENT_LOG, _alerts_sql(7_200_000, 1_800_000, 3)) + """
+SELECT * FROM alerts WHERE ts <= (SELECT max(ts) FROM ev) - 7200000"""
