@@ -299,6 +299,16 @@ def q_order_stream(spark, d):
         "create_date", "create_hour")
 
 
+def q_first_order_stream(spark, d):
+    start = lambda s, out, ck: runners.start_first_order_stream(
+        s[topics.TOPIC_ORDER], f"{out}/orders", f"{out}/firsts", ck, AVAILABLE_NOW)
+    out, prog = replay(spark, {topics.TOPIC_ORDER: (fx.order_info_raw(spark, d), "ts")},
+                       STREAM_BATCHES, start, "first_order_stream")
+    LAST_PROGRESS["first_order_stream"] = prog
+    return runners.order_table(spark, f"{out}/orders").read().select(
+        "id", "user_id", "create_time", "is_first_order")
+
+
 def q_sale_stream(spark, d):
     def start(s, out, ck):
         users = runners.user_table(spark, f"{out}/users")
@@ -330,6 +340,7 @@ def q_alert_stream(spark, d):
 STREAM_QUERIES = {
     "dau_stream": q_dau_stream,
     "order_stream": q_order_stream,
+    "first_order_stream": q_first_order_stream,
     "sale_stream": q_sale_stream,
     "alert_stream": q_alert_stream,
 }

@@ -23,16 +23,28 @@ def orders_clean(orders: DataFrame) -> DataFrame:
     return out.select(*known, *extra)
 
 
-def first_order_flag(orders: DataFrame) -> DataFrame:
+def first_orders(orders: DataFrame, seen_users: DataFrame | None = None) -> DataFrame:
+    """(user_id, id, create_time) of each user's earliest order, for users not in ``seen_users``.
+
+    Earliest = smallest (create_time, id), from a partially aggregated ``min``.
+    """
+    if seen_users is not None:
+        orders = orders.join(seen_users.select("user_id"), "user_id", "left_anti")
+    firsts = orders.groupBy("user_id").agg(F.min(F.struct("create_time", "id")).alias("_f"))
+    return firsts.select("user_id", F.col("_f.id").alias("id"),
+                         F.col("_f.create_time").alias("create_time"))
+
+
+def first_order_flag(orders: DataFrame, seen_users: DataFrame | None = None) -> DataFrame:
     """Add ``is_first_order`` ('1' for a user's earliest order, else '0').
 
-    Earliest = smallest (create_time, id).  The first order id per user comes
-    from a partially aggregated ``min``; it is joined back on the *order id*,
-    a unique key, so a user with a huge number of orders causes no skew.
+    Batch: earliest over all orders.  Streaming (``seen_users`` = users who
+    already ordered in earlier batches): users in the list get '0', the
+    others' earliest order in this batch gets '1'.  The first order ids are
+    joined back on the *order id*, a unique key, so a user with a huge
+    number of orders causes no skew.
     """
-    firsts = (orders.groupBy("user_id")
-              .agg(F.min(F.struct("create_time", "id")).alias("_first"))
-              .select(F.col("_first.id").alias("_first_id")))
+    firsts = first_orders(orders, seen_users).select(F.col("id").alias("_first_id"))
     flagged = orders.join(firsts, orders["id"] == firsts["_first_id"], "left")
     return (flagged
             .withColumn("is_first_order",

@@ -371,6 +371,8 @@ SQL["dau_stream"] = SQL["dau_first_visits"]
 
 SQL["order_stream"] = SQL["orders_clean"]
 
+SQL["first_order_stream"] = SQL["first_order_flag"]
+
 SQL["sale_stream"] = _with(SALE_INDEX, ORDER_TS) + """
 SELECT order_detail_id, order_id, order_status, create_time, user_id, sku_id, user_gender,
        user_age, user_level, sku_price, sku_name, dt

@@ -71,6 +71,19 @@ def order_amount_by_province(orders: DataFrame, user_province: DataFrame,
     return out.drop("create_date") if date is not None else out
 
 
+def label_metric(df: DataFrame, metric: tuple[str, str], value: str,
+                 date_col: str | None = None) -> DataFrame:
+    """Attach the constant ``id`` and ``name`` of a dashboard metric to its value.
+
+    With ``date_col`` the day is kept as ``date``.
+    """
+    cols = [F.lit(metric[0]).alias("id"), F.lit(metric[1]).alias("name"),
+            F.col(value).cast("double").alias("value")]
+    if date_col is not None:
+        cols.insert(0, F.col(date_col).alias("date"))
+    return df.select(*cols)
+
+
 def realtime_total(first_visits: DataFrame, orders: DataFrame, new_devices: DataFrame,
                    date: str | None = None) -> DataFrame:
     """The dashboard's headline list: (id, name, value) for dau, new_mid, order_amount.
@@ -79,11 +92,7 @@ def realtime_total(first_visits: DataFrame, orders: DataFrame, new_devices: Data
     carry ``date`` and cover every day that has any metric.
     """
     def label(df: DataFrame, metric: tuple[str, str], value: str, date_col: str) -> DataFrame:
-        cols = [F.lit(metric[0]).alias("id"), F.lit(metric[1]).alias("name"),
-                F.col(value).cast("double").alias("value")]
-        if date is None:
-            cols.insert(0, F.col(date_col).alias("date"))
-        return df.select(*cols)
+        return label_metric(df, metric, value, date_col if date is None else None)
 
     return (label(dau_total(first_visits, date), METRIC_DAU, "ct", "log_date")
             .unionByName(label(new_devices, METRIC_NEW_MID, "ct", "log_date"))

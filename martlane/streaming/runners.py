@@ -104,6 +104,38 @@ def start_order_stream(raw_orders: DataFrame, table_root: str, checkpoint: str,
     return _start(raw_orders, order_batch(table), checkpoint, trigger)
 
 
+def first_order_table(spark, root: str) -> KeyedTable:
+    """Users who already ordered (user_id -> first order id), in hash buckets."""
+    return KeyedTable(spark, root, ["user_id"], "bucket")
+
+
+def first_order_batch(table: KeyedTable, firsts: KeyedTable):
+    """foreachBatch body: flag against the users seen so far, then remember the new ones."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            cleaned = orders.orders_clean(batch).select(*ORDER_COLUMNS)
+            seen = firsts.read()
+            flagged = orders.first_order_flag(cleaned, seen)
+            table.upsert(with_month(flagged, "create_date", "create_month"), batch_id)
+            new_firsts = orders.first_orders(cleaned, seen)
+            firsts.upsert(new_firsts.withColumn(
+                "bucket", F.pmod(F.xxhash64("user_id"), F.lit(USER_BUCKETS)).cast("string")),
+                batch_id)
+        finally:
+            batch.unpersist()
+    return write
+
+
+def start_first_order_stream(raw_orders: DataFrame, table_root: str, firsts_root: str,
+                             checkpoint: str, trigger: dict | None = None):
+    """Order records -> orders with ``is_first_order`` ('1' only for a user's first order)."""
+    spark = raw_orders.sparkSession
+    return _start(raw_orders, first_order_batch(order_table(spark, table_root),
+                                                first_order_table(spark, firsts_root)),
+                  checkpoint, trigger)
+
+
 # ------------------------------------------------------------------ users
 
 def with_user_bucket(users: DataFrame) -> DataFrame:

@@ -184,3 +184,21 @@ def test_cdc_route_matrix(spark):
                              + [("GMALL_ORDER_DETAIL", "order_detail", "INSERT")] * 4
                              + [("GMALL_USER", "user_info", "INSERT"), ("GMALL_USER", "user_info", "UPDATE")])
     assert got[0].value.startswith('{"id":"0"')
+
+
+def test_first_order_flag_with_seen_users(spark):
+    o = spark.createDataFrame(
+        [("1", "u1", "2019-01-02 00:00:00"), ("2", "u1", "2019-01-01 00:00:00"),
+         ("3", "u2", "2019-01-01 00:00:00"), ("4", "u3", "2019-01-05 00:00:00"),
+         ("5", "u3", "2019-01-05 00:00:00")], "id string, user_id string, create_time string")
+    got = rows(orders.first_order_flag(o), "id", "is_first_order")
+    assert got == [("1", "0"), ("2", "1"), ("3", "1"), ("4", "1"), ("5", "0")]
+    seen = spark.createDataFrame([("u1",)], "user_id string")
+    got = rows(orders.first_order_flag(o, seen), "id", "is_first_order")
+    assert got == [("1", "0"), ("2", "0"), ("3", "1"), ("4", "1"), ("5", "0")]
+
+
+def test_report_params_and_label():
+    from martlane.plans.search import report_params
+    assert report_params() == {"date": "2019-03-04", "keyword": "", "page_no": 1, "size": 10}
+    assert report_params(40, 20, "2024-01-01", "red")["page_no"] == 3
