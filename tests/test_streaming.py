@@ -127,3 +127,36 @@ def test_stateful_dedup_twin(spark, tmp_dir):
     run_available(q)
     got = spark.table("dau_state")
     assert got.count() == dau.dau_first_visits(logs).count()
+
+
+def test_apps_and_publisher_end_to_end(spark, tmp_dir):
+    """Client logs and order records on topic files -> jobs -> dashboard endpoints."""
+    from martlane.plans import publisher
+    from martlane.streaming import apps
+
+    client = topics.route_logs(fx.client_logs(spark, SF_SMALL).drop("log_id"))
+    topics.write_topic(topics.to_topic_records(client, F.col("topic"), exclude=("topic",)),
+                       root=f"{tmp_dir}/topics")
+    topics.write_topic(topics.to_topic_records(fx.order_info_raw(spark, SF_SMALL).drop("ts"),
+                                               topics.TOPIC_ORDER), root=f"{tmp_dir}/topics")
+    wh = f"{tmp_dir}/wh"
+    args = apps.parse_args(["--jobs", "dau,orders,alerts", "--warehouse", wh, "--topic-root",
+                            f"{tmp_dir}/topics", "--available-now"])
+    for q in apps.start_jobs(spark, args).values():
+        run_available(q)
+
+    startups = fx.client_logs(spark, SF_SMALL).filter(F.col("type") == "startup")
+    want = dau.dau_first_visits(startups.withColumnRenamed("type", "log_type").drop("log_id"))
+    want_day = want.filter(F.col("log_date") == "2024-01-15").count()
+    total = {r.id: r.value for r in publisher.realtime_total(spark, wh, "2024-01-15").collect()}
+    assert total["dau"] == want_day and total["order_amount"] is None
+    hours = publisher.realtime_hour(spark, wh, "dau", "2024-01-15")
+    assert hours.count() == 24 and sum(r.today for r in hours.collect()) == want_day
+    assert publisher.as_json(hours, "map").first().json.startswith('{"today":{"00":')
+    amount = publisher.realtime_hour(spark, wh, "order_amount", "1997-02-01").collect()
+    want_amount = orders.orders_clean(fx.order_info_raw(spark, SF_SMALL)).filter(
+        F.col("create_date") == "1997-02-01").agg(F.sum("total_amount")).first()[0] or 0.0
+    assert abs(sum(r.today for r in amount) - want_amount) < 1e-6
+    assert publisher.realtime_hour(spark, wh, "other", "2024-01-15") is None
+    rep = publisher.sale_detail(spark, wh, "1997-02-01", "widget", 1, 10).first()
+    assert rep.total == 0     # no sale job ran: empty index, empty report
