@@ -346,11 +346,6 @@ STREAM_QUERIES = {
 }
 
 
-def dashboard_prev(day: str) -> str:
-    import datetime as _dt
-    return (_dt.date.fromisoformat(day) - _dt.timedelta(days=1)).isoformat()
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dau_first_visits": q_dau_first_visits,
     "dau_total": q_dau_total,
