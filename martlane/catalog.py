@@ -252,9 +252,12 @@ def q_route_logs(spark, d):
 
 
 def _changes(spark, d) -> DataFrame:
-    """The captured change log of the three source tables (the CDC input)."""
-    return derived_table(spark, "cdc_changes", _src(d, "orders", "lineitem", "part", "customer"),
-                         lambda: cdc.cdc_changes_fixture(spark, d))
+    """The captured change log of the three source tables (the CDC input).
+
+    Generated on the fly: writing its nested rows to parquet costs more
+    than deriving them again from the flat tables.
+    """
+    return cdc.cdc_changes_fixture(spark, d)
 
 
 def q_cdc_after_image(spark, d):
