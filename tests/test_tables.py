@@ -21,3 +21,15 @@ def test_upsert_insert_replace_replay(spark, tmp_dir):
     assert t.latest_commit()["version"] == 2
     assert rows(t.read(["d1"]), "id") == [("a",), ("b",)]
     assert read_table(spark, f"{tmp_dir}/t").count() == 4
+
+
+def test_compact_and_vacuum(spark, tmp_dir):
+    t = KeyedTable(spark, f"{tmp_dir}/t", ["id"], "day", ["seq"])
+    for i in range(4):
+        t.upsert(spark.createDataFrame([(f"k{i}", f"d{i % 2}", i, 1), ("a", "d0", i, 1)], SCHEMA), i)
+    before = rows(t.read())
+    assert t.compact()
+    assert rows(t.read()) == before
+    deleted = t.vacuum(keep_versions=1)
+    assert len(deleted) == 4 and rows(t.read()) == before
+    assert not t.upsert(spark.createDataFrame([("z", "d0", 0, 1)], SCHEMA), 3)   # batch ids kept
