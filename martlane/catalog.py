@@ -244,6 +244,25 @@ def q_coupon_alert_per_bucket(spark, d):
     return alerts.alerts_flat(alerts.alert_per_bucket(_alerts(spark, d)))
 
 
+def _alert_parts(spark, d):
+    return alerts.coupon_alert_parts(fx.event_logs(spark, d), ALERT_WINDOW_SECONDS,
+                                     ALERT_SLIDE_SECONDS, alerts.MIN_UIDS)
+
+
+def q_coupon_alert_header(spark, d):
+    header = _alert_parts(spark, d)[0]
+    return header.select("alert_id", "mid", "n_uids", "n_items",
+                         alerts.events_text("events").alias("events"), "ts")
+
+
+def q_coupon_alert_uids(spark, d):
+    return _alert_parts(spark, d)[1].select("alert_id", "ts", "uid")
+
+
+def q_coupon_alert_items(spark, d):
+    return _alert_parts(spark, d)[2].select("alert_id", "ts", "itemid")
+
+
 # ------------------------------------------------------------------ ingest
 
 def q_route_logs(spark, d):
@@ -383,6 +402,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sale_detail_report": q_sale_detail_report,
     "coupon_alert": q_coupon_alert,
     "coupon_alert_per_bucket": q_coupon_alert_per_bucket,
+    "coupon_alert_header": q_coupon_alert_header,
+    "coupon_alert_uids": q_coupon_alert_uids,
+    "coupon_alert_items": q_coupon_alert_items,
     "route_logs": q_route_logs,
     "cdc_after_image": q_cdc_after_image,
     "cdc_route": q_cdc_route,

@@ -5,13 +5,16 @@ a coupon and nobody clicked an item.  The alert lists the coupon accounts,
 the coupon item ids and the window's events as (evid, count) pairs, and is
 stamped with the window end.
 
-Batch plan (``coupon_alerts``): raw events are aggregated once per
+Batch plan (``coupon_alert_parts``): raw events are aggregated once per
 (device, pane) where a pane is one slide long; only those small pane rows
 are then fanned out to the ``window / slide`` windows that contain them and
-merged.  The raw data is never multiplied by the fan-out and the first
-aggregation has a map-side partial step, so a device holding a third of
-all events is pre-aggregated before its shuffle.  The distinct-account and
-item sets are the output itself; they are bounded by distinct values.
+merged.  The raw data is never multiplied by the fan-out and every
+aggregation has a map-side partial step.  Distinct accounts and items are
+computed as (device, window, value) groups - the value is in the key, so a
+device holding a third of all events spreads over tasks - and counted, not
+collected.  Alerts come out normalized: a header row per alert plus
+(alert, account) and (alert, item) rows; ``coupon_alerts`` gathers them
+into one document per alert when a sink needs that shape.
 
 Streaming plan (``coupon_alerts_stream``): the same aggregate list on
 ``F.window`` with a watermark, emitted in append mode once a window closes.
@@ -74,29 +77,103 @@ def _finish(df: DataFrame, min_uids: int, bucket_seconds: int) -> DataFrame:
     )
 
 
+def _with_pane(events: DataFrame, slide_ms: int) -> DataFrame:
+    # exact integer pane index, also for times before the epoch
+    return events.withColumn("pane", ((F.col("ts") - F.pmod(F.col("ts"), F.lit(slide_ms)))
+                                      / F.lit(slide_ms)).cast("long"))
+
+
+def _spread(panes: DataFrame, fan_out: int, slide_ms: int) -> DataFrame:
+    """Each pane row once per window that contains it (``window_start`` in ms)."""
+    out = panes.select("*", F.explode(F.sequence(F.lit(0), F.lit(fan_out - 1))).alias("_k"))
+    return out.withColumn("window_start", (F.col("pane") - F.col("_k")) * F.lit(slide_ms)) \
+        .drop("_k", "pane")
+
+
+def window_counts(events: DataFrame, window_seconds: int, slide_seconds: int) -> DataFrame:
+    """Events per id per (device, window): (mid, window_start, window_end, n_<evid>...)."""
+    slide_ms = slide_seconds * 1000
+    evid = F.col("evid")
+    counts = [F.count_if(evid == e).alias(_count_col(e)) for e in EVIDS] + \
+        [F.count_if(evid.isNull() | ~evid.isin(*EVIDS)).alias(_count_col(OTHER_EVID))]
+    panes = _with_pane(events, slide_ms).groupBy("mid", "pane").agg(*counts)
+    sums = [F.sum(_count_col(e)).alias(_count_col(e)) for e in EVIDS + (OTHER_EVID,)]
+    windows = _spread(panes, window_seconds // slide_seconds, slide_ms) \
+        .groupBy("mid", "window_start").agg(*sums)
+    return windows.withColumn("window_end", F.col("window_start") + F.lit(window_seconds * 1000))
+
+
+def window_members(events: DataFrame, value_col: str, window_seconds: int,
+                   slide_seconds: int) -> DataFrame:
+    """Distinct (mid, window_start, value) of the coupon events' ``value_col``.
+
+    The value is part of every grouping key, so a device with millions of
+    accounts is spread over tasks by account; nothing is collected.
+    """
+    slide_ms = slide_seconds * 1000
+    coupons = events.filter((F.col("evid") == COUPON) & F.col(value_col).isNotNull())
+    # distinct() plans as a hash aggregate with a map-side partial step
+    panes = _with_pane(coupons, slide_ms).select("mid", "pane", value_col).distinct()
+    return _spread(panes, window_seconds // slide_seconds, slide_ms) \
+        .select("mid", "window_start", value_col).distinct()
+
+
+def coupon_alert_parts(events: DataFrame, window_seconds: int = WINDOW_SECONDS,
+                       slide_seconds: int = SLIDE_SECONDS, min_uids: int = MIN_UIDS,
+                       bucket_seconds: int = BUCKET_SECONDS):
+    """Batch alerts in normalized form: (header, uids, items).
+
+    header: alert_id, mid, window_start, n_uids, n_items, events [(evid, n)], ts
+    uids / items: (alert_id, ts, uid) / (alert_id, ts, itemid) rows of flagged
+    windows; ``ts`` (the window end) tells windows of one minute apart.
+    Windows are ``[start, start + window)`` with starts on multiples of the
+    slide since the epoch, the same alignment as ``F.window``.
+    """
+    if window_seconds % slide_seconds != 0:
+        raise ValueError("window must be a whole number of slides (use coupon_alerts)")
+    key = ["mid", "window_start"]
+    uids = window_members(events, "uid", window_seconds, slide_seconds)
+    items = window_members(events, "itemid", window_seconds, slide_seconds)
+    n_uids = uids.groupBy(*key).agg(F.count(F.lit(1)).alias("n_uids"))
+    n_items = items.groupBy(*key).agg(F.count(F.lit(1)).alias("n_items"))
+    counts = window_counts(events, window_seconds, slide_seconds)
+    flagged = (counts.join(n_uids, key, "inner")
+               .filter((F.col("n_uids") >= min_uids) & (F.col(_count_col(CLICK)) == 0))
+               .join(n_items, key, "left"))
+    pairs = F.array(*[F.struct(F.lit(e).alias("evid"), F.col(_count_col(e)).cast("long").alias("n"))
+                      for e in EVIDS + (OTHER_EVID,)])
+    header = flagged.select(
+        alert_id("mid", "window_end", bucket_seconds).alias("alert_id"), "mid", "window_start",
+        "n_uids", F.coalesce(F.col("n_items"), F.lit(0)).alias("n_items"),
+        F.array_sort(F.filter(pairs, lambda p: p["n"] > 0)).alias("events"),
+        F.col("window_end").alias("ts"))
+    ids = header.select("alert_id", "ts", *key)
+    return (header,
+            uids.join(ids, key, "inner").select("alert_id", "ts", "mid", "window_start", "uid"),
+            items.join(ids, key, "inner").select("alert_id", "ts", "mid", "window_start", "itemid"))
+
+
 def coupon_alerts(events: DataFrame, window_seconds: int = WINDOW_SECONDS,
                   slide_seconds: int = SLIDE_SECONDS, min_uids: int = MIN_UIDS,
                   bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """Batch alerts. ``events``: mid, uid, evid, itemid, ts (epoch ms).
+    """Batch alerts as one document per alert (sorted uid and item arrays).
 
-    Windows are ``[start, start + window)`` with starts on multiples of the
-    slide since the epoch, the same alignment as ``F.window``.
+    Built from ``coupon_alert_parts``: the arrays are gathered per flagged
+    alert only, as the document store wants them.  Pipelines that must not
+    hold one alert's account list in one row use the parts directly.
     """
     if window_seconds % slide_seconds != 0:
         return _coupon_alerts_native(events, window_seconds, slide_seconds, min_uids,
                                      bucket_seconds)
-    slide_ms = slide_seconds * 1000
-    fan_out = window_seconds // slide_seconds
-    panes = (events
-             .withColumn("pane", ((F.col("ts") - F.pmod(F.col("ts"), F.lit(slide_ms)))
-                                  / F.lit(slide_ms)).cast("long"))
-             .groupBy("mid", "pane").agg(*_event_aggs()))
-    spread = panes.select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(fan_out - 1))).alias("_k"))
-    spread = spread.withColumn("window_start", (F.col("pane") - F.col("_k")) * F.lit(slide_ms))
-    windows = spread.groupBy("mid", "window_start").agg(*_event_aggs(sum_counts=True))
-    windows = windows.withColumn("window_end", F.col("window_start") + F.lit(window_seconds * 1000))
-    return _finish(windows, min_uids, bucket_seconds)
+    header, uids, items = coupon_alert_parts(events, window_seconds, slide_seconds, min_uids,
+                                             bucket_seconds)
+    key = ["mid", "window_start"]
+    u = uids.groupBy(*key).agg(F.array_sort(F.collect_list("uid")).alias("uids"))
+    i = items.groupBy(*key).agg(F.array_sort(F.collect_list("itemid")).alias("item_ids"))
+    out = header.join(u, key, "inner").join(i, key, "left")
+    return out.select("alert_id", "mid", "uids",
+                      F.coalesce(F.col("item_ids"), F.array().cast("array<string>")).alias("item_ids"),
+                      "events", "ts")
 
 
 def _coupon_alerts_native(events, window_seconds, slide_seconds, min_uids, bucket_seconds):
@@ -130,14 +207,19 @@ def alert_per_bucket(alerts: DataFrame) -> DataFrame:
     return pick_per_key(alerts, ["alert_id"], ["ts"], latest=True)
 
 
+def events_text(col: str | Column) -> Column:
+    """``[(evid, n)]`` -> ``'evid:n,evid:n'`` (bounded: one pair per event id)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.array_join(F.transform(c, lambda p: F.concat(p["evid"], F.lit(":"),
+                                                          p["n"].cast("string"))), ",")
+
+
 def alerts_flat(alerts: DataFrame) -> DataFrame:
     """Arrays as comma-joined text (``evid:n`` for events), for reports and diffs."""
     return alerts.select(
         "alert_id", "mid",
         F.array_join("uids", ",").alias("uids"),
         F.array_join("item_ids", ",").alias("item_ids"),
-        F.array_join(F.transform("events", lambda p: F.concat(p["evid"], F.lit(":"),
-                                                              p["n"].cast("string"))),
-                     ",").alias("events"),
+        events_text("events").alias("events"),
         "ts",
     )

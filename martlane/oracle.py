@@ -303,6 +303,20 @@ alerts AS (
 SQL["coupon_alert"] = _with(EVENT_LOG, _alerts_sql(7_200_000, 1_800_000, 3)) + \
     "SELECT * FROM alerts"
 
+SQL["coupon_alert_header"] = _with(EVENT_LOG, _alerts_sql(7_200_000, 1_800_000, 3)) + """
+SELECT alert_id, mid, CAST(len(string_split(uids, ',')) AS BIGINT) AS n_uids,
+       CAST(CASE WHEN item_ids = '' THEN 0 ELSE len(string_split(item_ids, ',')) END AS BIGINT)
+         AS n_items,
+       events, ts
+FROM alerts"""
+
+SQL["coupon_alert_uids"] = _with(EVENT_LOG, _alerts_sql(7_200_000, 1_800_000, 3)) + """
+SELECT alert_id, ts, unnest(string_split(uids, ',')) AS uid FROM alerts"""
+
+SQL["coupon_alert_items"] = _with(EVENT_LOG, _alerts_sql(7_200_000, 1_800_000, 3)) + """
+SELECT alert_id, ts, unnest(string_split(item_ids, ',')) AS itemid FROM alerts
+WHERE item_ids <> ''"""
+
 SQL["coupon_alert_per_bucket"] = _with(EVENT_LOG, _alerts_sql(7_200_000, 1_800_000, 3)) + """
 SELECT alert_id, mid, uids, item_ids, events, ts FROM (
   SELECT *, row_number() OVER (PARTITION BY alert_id ORDER BY ts DESC, mid DESC, uids DESC) AS rn

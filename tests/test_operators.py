@@ -202,3 +202,21 @@ def test_report_params_and_label():
     from martlane.plans.search import report_params
     assert report_params() == {"date": "2019-03-04", "keyword": "", "page_no": 1, "size": 10}
     assert report_params(40, 20, "2024-01-01", "red")["page_no"] == 3
+
+
+def test_coupon_alert_parts_match_documents(spark):
+    base = 1_700_000_000_000 - 1_700_000_000_000 % 30_000
+    ev = [("m2", "1", "coupon", "10", base), ("m2", "2", "coupon", "10", base + 1000),
+          ("m2", "3", "coupon", None, base + 2000), ("m2", "3", "addCart", "12", base + 2500),
+          ("m3", "1", "coupon", "1", base), ("m3", "2", "coupon", "1", base),
+          ("m3", "3", "coupon", "1", base), ("m3", "3", "clickItem", "1", base + 10)]
+    df = spark.createDataFrame(ev, EV)
+    header, uids, items = alerts.coupon_alert_parts(df, 30, 5, 3)
+    # windows ending in the same minute share an alert id: the window end tells them apart
+    docs = {(r.alert_id, r.ts): r for r in alerts.coupon_alerts(df, 30, 5, 3).collect()}
+    heads = {(r.alert_id, r.ts): r for r in header.collect()}
+    assert set(docs) == set(heads) and len(docs) == 6          # m2 in its six windows
+    for aid, h in heads.items():
+        assert h.n_uids == len(docs[aid].uids) == 3
+        assert h.n_items == len(docs[aid].item_ids) == 1        # null item ids are not items
+    assert uids.count() == 18 and items.count() == 6

@@ -88,3 +88,14 @@ def test_raw_log_and_topic_stream_sinks(spark, tmp_dir):
         root=f"{tmp_dir}/copy", trigger={"availableNow": True})
     q.awaitTermination()
     assert topics.read_topic_batch(spark, topics.TOPIC_EVENT, f"{tmp_dir}/copy").count() == 100
+
+
+def test_alert_parts_with_hot_device(spark):
+    logs = skewed_logs(spark).select("mid", "uid", F.lit("coupon").alias("evid"),
+                                     F.col("log_id").cast("string").alias("itemid"), "ts")
+    header, uids, items = alerts.coupon_alert_parts(logs, 3600, 600, 3)
+    hot = header.filter(F.col("mid") == "hot")
+    assert hot.count() == (N * 60 // 600) + 5
+    full = hot.filter(F.col("ts") == T0 + 7_200_000).first()
+    assert (full.n_uids, full.n_items) == (20, 20)
+    assert uids.filter(F.col("alert_id") == full.alert_id).count() == 20
