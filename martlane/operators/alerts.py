@@ -90,32 +90,40 @@ def _spread(panes: DataFrame, fan_out: int, slide_ms: int) -> DataFrame:
         .drop("_k", "pane")
 
 
-def window_counts(events: DataFrame, window_seconds: int, slide_seconds: int) -> DataFrame:
-    """Events per id per (device, window): (mid, window_start, window_end, n_<evid>...)."""
-    slide_ms = slide_seconds * 1000
+KIND_EVENT, KIND_UID, KIND_ITEM = "evid", "uid", "item"
+
+
+def _tagged(events: DataFrame) -> DataFrame:
+    """Each event as (mid, ts, kind, value) rows: its event id, and for a
+    coupon also its account and its item (nulls are not members)."""
     evid = F.col("evid")
-    counts = [F.count_if(evid == e).alias(_count_col(e)) for e in EVIDS] + \
-        [F.count_if(evid.isNull() | ~evid.isin(*EVIDS)).alias(_count_col(OTHER_EVID))]
-    panes = _with_pane(events, slide_ms).groupBy("mid", "pane").agg(*counts)
-    sums = [F.sum(_count_col(e)).alias(_count_col(e)) for e in EVIDS + (OTHER_EVID,)]
-    windows = _spread(panes, window_seconds // slide_seconds, slide_ms) \
-        .groupBy("mid", "window_start").agg(*sums)
-    return windows.withColumn("window_end", F.col("window_start") + F.lit(window_seconds * 1000))
+    is_coupon = evid == COUPON
+    known = F.when(evid.isin(*EVIDS), evid).otherwise(F.lit(OTHER_EVID))
+    tags = F.array(
+        F.struct(F.lit(KIND_EVENT).alias("kind"), known.alias("value")),
+        F.when(is_coupon & F.col("uid").isNotNull(),
+               F.struct(F.lit(KIND_UID).alias("kind"), F.col("uid").alias("value"))),
+        F.when(is_coupon & F.col("itemid").isNotNull(),
+               F.struct(F.lit(KIND_ITEM).alias("kind"), F.col("itemid").alias("value"))),
+    )
+    rows = events.select("mid", "ts", F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("t"))
+    return rows.select("mid", "ts", F.col("t.kind").alias("kind"), F.col("t.value").alias("value"))
 
 
-def window_members(events: DataFrame, value_col: str, window_seconds: int,
-                   slide_seconds: int) -> DataFrame:
-    """Distinct (mid, window_start, value) of the coupon events' ``value_col``.
+def window_values(events: DataFrame, window_seconds: int, slide_seconds: int) -> DataFrame:
+    """(mid, window_start, kind, value, n) for every window.
 
-    The value is part of every grouping key, so a device with millions of
-    accounts is spread over tasks by account; nothing is collected.
+    kind 'evid': n events of that id; kind 'uid' / 'item': one row per
+    distinct coupon account / item.  One scan of the events, one partial
+    aggregation per (device, pane, kind, value), one merge per window.  The
+    value is part of every key, so a device with millions of accounts is
+    spread over tasks by account; nothing is collected.
     """
     slide_ms = slide_seconds * 1000
-    coupons = events.filter((F.col("evid") == COUPON) & F.col(value_col).isNotNull())
-    # distinct() plans as a hash aggregate with a map-side partial step
-    panes = _with_pane(coupons, slide_ms).select("mid", "pane", value_col).distinct()
-    return _spread(panes, window_seconds // slide_seconds, slide_ms) \
-        .select("mid", "window_start", value_col).distinct()
+    panes = (_with_pane(_tagged(events), slide_ms)
+             .groupBy("mid", "pane", "kind", "value").agg(F.count(F.lit(1)).alias("n")))
+    return (_spread(panes, window_seconds // slide_seconds, slide_ms)
+            .groupBy("mid", "window_start", "kind", "value").agg(F.sum("n").alias("n")))
 
 
 def coupon_alert_parts(events: DataFrame, window_seconds: int = WINDOW_SECONDS,
@@ -124,33 +132,39 @@ def coupon_alert_parts(events: DataFrame, window_seconds: int = WINDOW_SECONDS,
     """Batch alerts in normalized form: (header, uids, items).
 
     header: alert_id, mid, window_start, n_uids, n_items, events [(evid, n)], ts
-    uids / items: (alert_id, ts, uid) / (alert_id, ts, itemid) rows of flagged
-    windows; ``ts`` (the window end) tells windows of one minute apart.
+    uids / items: (alert_id, ts, mid, window_start, uid / itemid) rows of
+    flagged windows; ``ts`` (the window end) tells windows of one minute apart.
     Windows are ``[start, start + window)`` with starts on multiples of the
     slide since the epoch, the same alignment as ``F.window``.
     """
     if window_seconds % slide_seconds != 0:
         raise ValueError("window must be a whole number of slides (use coupon_alerts)")
     key = ["mid", "window_start"]
-    uids = window_members(events, "uid", window_seconds, slide_seconds)
-    items = window_members(events, "itemid", window_seconds, slide_seconds)
-    n_uids = uids.groupBy(*key).agg(F.count(F.lit(1)).alias("n_uids"))
-    n_items = items.groupBy(*key).agg(F.count(F.lit(1)).alias("n_items"))
-    counts = window_counts(events, window_seconds, slide_seconds)
-    flagged = (counts.join(n_uids, key, "inner")
-               .filter((F.col("n_uids") >= min_uids) & (F.col(_count_col(CLICK)) == 0))
-               .join(n_items, key, "left"))
+    values = window_values(events, window_seconds, slide_seconds)
+    kind, value, n = F.col("kind"), F.col("value"), F.col("n")
+    per_evid = [F.coalesce(F.sum(F.when((kind == KIND_EVENT) & (value == e), n)), F.lit(0))
+                .alias(_count_col(e)) for e in EVIDS + (OTHER_EVID,)]
+    counts = values.groupBy(*key).agg(*per_evid,
+                                      F.count_if(kind == KIND_UID).alias("n_uids"),
+                                      F.count_if(kind == KIND_ITEM).alias("n_items"))
+    flagged = counts.filter((F.col("n_uids") >= min_uids) & (F.col(_count_col(CLICK)) == 0))
+    flagged = flagged.withColumn("window_end", F.col("window_start") + F.lit(window_seconds * 1000))
     pairs = F.array(*[F.struct(F.lit(e).alias("evid"), F.col(_count_col(e)).cast("long").alias("n"))
                       for e in EVIDS + (OTHER_EVID,)])
     header = flagged.select(
         alert_id("mid", "window_end", bucket_seconds).alias("alert_id"), "mid", "window_start",
-        "n_uids", F.coalesce(F.col("n_items"), F.lit(0)).alias("n_items"),
-        F.array_sort(F.filter(pairs, lambda p: p["n"] > 0)).alias("events"),
+        "n_uids", "n_items", F.array_sort(F.filter(pairs, lambda p: p["n"] > 0)).alias("events"),
         F.col("window_end").alias("ts"))
-    ids = header.select("alert_id", "ts", *key)
+    # Catalyst pushes the kind filter below the aggregates, so the member
+    # side reads the (column-pruned) events a second time but carries only
+    # coupon accounts and items through its shuffles.
+    members = values.filter(kind != KIND_EVENT).join(
+        header.select("alert_id", "ts", *key), key, "inner")
     return (header,
-            uids.join(ids, key, "inner").select("alert_id", "ts", "mid", "window_start", "uid"),
-            items.join(ids, key, "inner").select("alert_id", "ts", "mid", "window_start", "itemid"))
+            members.filter(kind == KIND_UID).select("alert_id", "ts", "mid", "window_start",
+                                                    value.alias("uid")),
+            members.filter(kind == KIND_ITEM).select("alert_id", "ts", "mid", "window_start",
+                                                     value.alias("itemid")))
 
 
 def coupon_alerts(events: DataFrame, window_seconds: int = WINDOW_SECONDS,
