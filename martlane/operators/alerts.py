@@ -16,8 +16,10 @@ collected.  Alerts come out normalized: a header row per alert plus
 (alert, account) and (alert, item) rows; ``coupon_alerts`` gathers them
 into one document per alert when a sink needs that shape.
 
-Streaming plan (``coupon_alerts_stream``): the same aggregate list on
-``F.window`` with a watermark, emitted in append mode once a window closes.
+Streaming plan (``alert_values_stream``): the same tagged values counted on
+``F.window`` with a watermark, emitted in append mode once a window closes;
+each micro-batch then turns its closed windows into alerts with the batch
+code (``parts_from_values``).
 """
 
 from __future__ import annotations
@@ -44,39 +46,6 @@ def _count_col(evid: str) -> str:
     return f"n_{evid}"
 
 
-def _event_aggs(sum_counts: bool = False) -> list[Column]:
-    """Aggregates shared by pane, window and streaming plans."""
-    evid = F.col("evid")
-    if sum_counts:
-        counts = [F.sum(_count_col(e)).alias(_count_col(e)) for e in EVIDS + (OTHER_EVID,)]
-        return [F.array_distinct(F.flatten(F.collect_list("uids"))).alias("uids"),
-                F.array_distinct(F.flatten(F.collect_list("item_ids"))).alias("item_ids"),
-                *counts]
-    is_coupon = evid == COUPON
-    known = evid.isin(*EVIDS)
-    return [
-        F.collect_set(F.when(is_coupon, F.col("uid"))).alias("uids"),
-        F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("item_ids"),
-        *[F.count_if(evid == e).alias(_count_col(e)) for e in EVIDS],
-        F.count_if(evid.isNull() | ~known).alias(_count_col(OTHER_EVID)),
-    ]
-
-
-def _finish(df: DataFrame, min_uids: int, bucket_seconds: int) -> DataFrame:
-    """Window aggregates -> alert rows (flagged windows only)."""
-    pairs = F.array(*[F.struct(F.lit(e).alias("evid"), F.col(_count_col(e)).cast("long").alias("n"))
-                      for e in EVIDS + (OTHER_EVID,)])
-    flagged = df.filter((F.size("uids") >= min_uids) & (F.col(_count_col(CLICK)) == 0))
-    return flagged.select(
-        alert_id("mid", "window_end", bucket_seconds).alias("alert_id"),
-        "mid",
-        F.array_sort("uids").alias("uids"),
-        F.array_sort("item_ids").alias("item_ids"),
-        F.array_sort(F.filter(pairs, lambda p: p["n"] > 0)).alias("events"),
-        F.col("window_end").alias("ts"),
-    )
-
-
 def _with_pane(events: DataFrame, slide_ms: int) -> DataFrame:
     # exact integer pane index, also for times before the epoch
     return events.withColumn("pane", ((F.col("ts") - F.pmod(F.col("ts"), F.lit(slide_ms)))
@@ -139,8 +108,14 @@ def coupon_alert_parts(events: DataFrame, window_seconds: int = WINDOW_SECONDS,
     """
     if window_seconds % slide_seconds != 0:
         raise ValueError("window must be a whole number of slides (use coupon_alerts)")
+    return parts_from_values(window_values(events, window_seconds, slide_seconds),
+                             window_seconds, min_uids, bucket_seconds)
+
+
+def parts_from_values(values: DataFrame, window_seconds: int, min_uids: int = MIN_UIDS,
+                      bucket_seconds: int = BUCKET_SECONDS):
+    """(header, uids, items) from per-window values (see ``window_values``)."""
     key = ["mid", "window_start"]
-    values = window_values(events, window_seconds, slide_seconds)
     kind, value, n = F.col("kind"), F.col("value"), F.col("n")
     per_evid = [F.coalesce(F.sum(F.when((kind == KIND_EVENT) & (value == e), n)), F.lit(0))
                 .alias(_count_col(e)) for e in EVIDS + (OTHER_EVID,)]
@@ -179,8 +154,12 @@ def coupon_alerts(events: DataFrame, window_seconds: int = WINDOW_SECONDS,
     if window_seconds % slide_seconds != 0:
         return _coupon_alerts_native(events, window_seconds, slide_seconds, min_uids,
                                      bucket_seconds)
-    header, uids, items = coupon_alert_parts(events, window_seconds, slide_seconds, min_uids,
-                                             bucket_seconds)
+    return alert_documents(*coupon_alert_parts(events, window_seconds, slide_seconds, min_uids,
+                                               bucket_seconds))
+
+
+def alert_documents(header: DataFrame, uids: DataFrame, items: DataFrame) -> DataFrame:
+    """One document per flagged window: header plus sorted account and item arrays."""
     key = ["mid", "window_start"]
     u = uids.groupBy(*key).agg(F.array_sort(F.collect_list("uid")).alias("uids"))
     i = items.groupBy(*key).agg(F.array_sort(F.collect_list("itemid")).alias("item_ids"))
@@ -191,29 +170,34 @@ def coupon_alerts(events: DataFrame, window_seconds: int = WINDOW_SECONDS,
 
 
 def _coupon_alerts_native(events, window_seconds, slide_seconds, min_uids, bucket_seconds):
-    """Fallback when the window is not a whole number of slides: ``F.window``."""
+    """Fallback when the window is not a whole number of slides: values on ``F.window``."""
     t = F.timestamp_millis(F.col("ts"))
     w = F.window(t, f"{window_seconds} seconds", f"{slide_seconds} seconds")
-    agg = events.groupBy(w.alias("w"), "mid").agg(*_event_aggs())
-    agg = agg.withColumn("window_end", F.unix_millis(F.col("w.end"))).drop("w")
-    return _finish(agg, min_uids, bucket_seconds)
-
-
-def coupon_alerts_stream(events: DataFrame, window_seconds: int = WINDOW_SECONDS,
-                         slide_seconds: int = SLIDE_SECONDS, min_uids: int = MIN_UIDS,
-                         watermark: str = "1 minute",
-                         bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """Streaming alerts: watermark on the event time, sliding ``F.window``.
-
-    Append mode emits a window once the watermark passes its end, so state
-    holds only open windows.  ``events`` carries epoch-ms ``ts``.
+    values = (_tagged(events).groupBy(w.alias("w"), "mid", "kind", "value")
+              .agg(F.count(F.lit(1)).alias("n"))
+              .select("mid", F.unix_millis(F.col("w.start")).alias("window_start"),
+                      "kind", "value", "n"))
+    return alert_documents(*parts_from_values(values, window_seconds, min_uids, bucket_seconds))
+
+
+def alert_values_stream(events: DataFrame, window_seconds: int = WINDOW_SECONDS,
+                        slide_seconds: int = SLIDE_SECONDS,
+                        watermark: str = "1 minute") -> DataFrame:
+    """Streaming ``window_values``: (mid, window_start, kind, value, n) per closed window.
+
+    One stateful aggregation over ``F.window`` with a watermark on the event
+    time, appended once the watermark passes the window end: every row of
+    a window arrives in the same micro-batch.  State is one count per
+    (window, device, kind, value), spread over keys by account, so no state
+    entry grows with a device's number of accounts.  ``events`` carries
+    epoch-ms ``ts``.
     """
-    timed = events.withColumn("event_time", F.timestamp_millis(F.col("ts")))
+    timed = _tagged(events).withColumn("event_time", F.timestamp_millis(F.col("ts")))
     timed = timed.withWatermark("event_time", watermark)
     w = F.window("event_time", f"{window_seconds} seconds", f"{slide_seconds} seconds")
-    agg = timed.groupBy(w.alias("w"), "mid").agg(*_event_aggs())
-    agg = agg.withColumn("window_end", F.unix_millis(F.col("w.end"))).drop("w")
-    return _finish(agg, min_uids, bucket_seconds)
+    agg = timed.groupBy(w.alias("w"), "mid", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    return agg.select("mid", F.unix_millis(F.col("w.start")).alias("window_start"),
+                      "kind", "value", "n")
 
 
 def alert_per_bucket(alerts: DataFrame) -> DataFrame:

@@ -211,11 +211,18 @@ def start_sale_stream(raw_orders: DataFrame, raw_details: DataFrame, table_root:
 
 # ----------------------------------------------------------------- alerts
 
-def alert_batch(table: KeyedTable):
+def alert_batch(table: KeyedTable, window_seconds: int, min_uids: int):
+    """foreachBatch body: closed windows' values -> alert documents -> upsert by alert id."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = alerts.alert_per_bucket(batch).withColumn(
-            "alert_date", F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd"))
-        table.upsert(out, batch_id)
+        batch.persist()
+        try:
+            docs = alerts.alert_documents(*alerts.parts_from_values(batch, window_seconds,
+                                                                    min_uids))
+            out = alerts.alert_per_bucket(docs).withColumn(
+                "alert_date", F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd"))
+            table.upsert(out, batch_id)
+        finally:
+            batch.unpersist()
     return write
 
 
@@ -224,6 +231,6 @@ def start_alert_stream(events: DataFrame, table_root: str, checkpoint: str,
                        slide_seconds: int = alerts.SLIDE_SECONDS, min_uids: int = alerts.MIN_UIDS,
                        watermark: str = "1 minute", trigger: dict | None = None):
     """Event logs -> coupon alerts (append once a window closes) -> alert index."""
-    flagged = alerts.coupon_alerts_stream(events, window_seconds, slide_seconds, min_uids, watermark)
-    return _start(flagged, alert_batch(alert_table(events.sparkSession, table_root)),
-                  checkpoint, trigger)
+    values = alerts.alert_values_stream(events, window_seconds, slide_seconds, watermark)
+    return _start(values, alert_batch(alert_table(events.sparkSession, table_root),
+                                      window_seconds, min_uids), checkpoint, trigger)
