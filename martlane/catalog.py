@@ -231,9 +231,20 @@ def q_sale_detail_report(spark, d):
 
 # ------------------------------------------------------------------ alerts
 
+def _alert_values(spark, d) -> DataFrame:
+    """Per-window event counts and distinct coupon accounts/items, built once per input."""
+    return derived_table(spark, "alert_values", _src(d, "events"),
+                         lambda: alerts.window_values(fx.event_logs(spark, d), ALERT_WINDOW_SECONDS,
+                                                      ALERT_SLIDE_SECONDS), ["mid", "window_start"])
+
+
+def _alert_parts(spark, d):
+    return alerts.parts_from_values(_alert_values(spark, d), ALERT_WINDOW_SECONDS,
+                                    alerts.MIN_UIDS)
+
+
 def _alerts(spark, d) -> DataFrame:
-    return alerts.coupon_alerts(fx.event_logs(spark, d), ALERT_WINDOW_SECONDS,
-                                ALERT_SLIDE_SECONDS, alerts.MIN_UIDS)
+    return alerts.alert_documents(*_alert_parts(spark, d))
 
 
 def q_coupon_alert(spark, d):
@@ -244,11 +255,6 @@ def q_coupon_alert_per_bucket(spark, d):
     return alerts.alerts_flat(alerts.alert_per_bucket(_alerts(spark, d)))
 
 
-def _alert_parts(spark, d):
-    return alerts.coupon_alert_parts(fx.event_logs(spark, d), ALERT_WINDOW_SECONDS,
-                                     ALERT_SLIDE_SECONDS, alerts.MIN_UIDS)
-
-
 def q_coupon_alert_header(spark, d):
     header = _alert_parts(spark, d)[0]
     return header.select("alert_id", "mid", "n_uids", "n_items",
