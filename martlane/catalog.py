@@ -179,7 +179,7 @@ def build_sale_index(spark, d) -> DataFrame:
     lines = sales.latest_line(fx.order_detail_raw(spark, d))
     joined = sales.sale_join(_orders(spark, d), lines, None)
     enriched = sales.enrich_user(sales.sale_detail(joined), _users(spark, d), fx.USER_AS_OF)
-    return enriched.drop("version")
+    return search.with_terms(enriched.drop("version"))
 
 
 def sale_index(spark, d) -> DataFrame:
@@ -189,7 +189,7 @@ def sale_index(spark, d) -> DataFrame:
 
 
 def q_sale_detail(spark, d):
-    return sale_index(spark, d)
+    return sale_index(spark, d).drop(search.TERMS_COL)
 
 
 def q_sale_search(spark, d):
@@ -349,7 +349,7 @@ def q_sale_stream(spark, d):
                topics.TOPIC_ORDER_DETAIL: (fx.order_detail_raw(spark, d).drop("version"), "ts")}
     out, prog = replay(spark, sources, STREAM_BATCHES, start, "sale_stream")
     LAST_PROGRESS["sale_stream"] = prog
-    return runners.sale_table(spark, f"{out}/sales").read().drop("dt_month")
+    return runners.sale_table(spark, f"{out}/sales").read().drop("dt_month", search.TERMS_COL)
 
 
 def q_alert_stream(spark, d):

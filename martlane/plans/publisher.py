@@ -52,7 +52,7 @@ def sale_detail(spark: SparkSession, warehouse: str, date: str, keyword: str, st
         f"{f} string" for f in ("order_detail_id", "order_id", "order_status", "create_time",
                                 "user_id", "sku_id", "user_gender", "user_level", "sku_name", "dt"))
         + ", user_age int, sku_price double")
-    sales = sales.drop("dt_month") if "dt_month" in sales.columns else sales
+    sales = sales.drop("dt_month")
     return search.sale_detail_report(sales, date, keyword, startpage, size, nested=True)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlane.operators import alerts, dau, orders, sales
+from martlane.plans import search
 from martlane.schemas import DAU_COLUMNS, ORDER_COLUMNS, SALE_COLUMNS
 from martlane.sources.tables import KeyedTable
 
@@ -193,7 +194,8 @@ def sale_batch(table: KeyedTable, users: KeyedTable, as_of: str | None):
                     "gender string, seq long")
         day = as_of or F.current_date()
         enriched = sales.enrich_user(sales.sale_detail(batch), snapshot, day)
-        table.upsert(with_month(enriched.select(*SALE_COLUMNS), "dt", "dt_month"), batch_id)
+        docs = search.with_terms(enriched.select(*SALE_COLUMNS))   # analysed at index time
+        table.upsert(with_month(docs, "dt", "dt_month"), batch_id)
     return write
 
 
