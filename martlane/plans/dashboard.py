@@ -128,17 +128,27 @@ def today_vs_yesterday(df: DataFrame, date_col: str, hour_col: str, value: str |
 def fill_hours(series: DataFrame, date: str | None = None) -> DataFrame:
     """Put (date, hour, today, yesterday) on the fixed 00..23 axis, missing -> 0.
 
-    The axis is generated per day present (``explode(sequence(0, 23))``) and
-    joined on (date, hour): no cross join, its size is days x 24.
+    The day's (at most 24) hourly values are gathered into a map, then the
+    axis ``explode(sequence(0, 23))`` looks each hour up: one pass over the
+    series, no join and no cross join; a group never exceeds 24 entries.
+    With a date, a day without any value still gets its 24 zero rows.
     """
-    days = series.select("date").distinct() if date is None else \
-        series.sparkSession.range(1).select(F.lit(date).alias("date"))
-    axis = days.select("date", F.explode(F.sequence(F.lit(0), F.lit(HOURS_PER_DAY - 1))).alias("h"))
-    axis = axis.select("date", F.lpad(F.col("h").cast("string"), 2, "0").alias("hour"))
-    out = axis.join(series, ["date", "hour"], "left")
-    return out.select("date", "hour",
-                      F.coalesce(F.col("today"), F.lit(0.0)).alias("today"),
-                      F.coalesce(F.col("yesterday"), F.lit(0.0)).alias("yesterday"))
+    if date is not None:
+        series = series.filter(F.col("date") == date).unionByName(
+            series.sparkSession.range(1).select(
+                F.lit(date).alias("date"), F.lit(None).cast("string").alias("hour"),
+                F.lit(None).cast("double").alias("today"),
+                F.lit(None).cast("double").alias("yesterday")))
+    entry = F.struct("hour", F.struct("today", "yesterday"))
+    per_day = series.groupBy("date").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("hour").isNotNull(), entry))).alias("m"))
+    axis = per_day.select("date", "m", F.explode(F.sequence(F.lit(0), F.lit(HOURS_PER_DAY - 1)))
+                          .alias("h"))
+    axis = axis.withColumn("hour", F.lpad(F.col("h").cast("string"), 2, "0"))
+    v = F.element_at(F.col("m"), F.col("hour"))
+    return axis.select("date", "hour",
+                       F.coalesce(v["today"], F.lit(0.0)).alias("today"),
+                       F.coalesce(v["yesterday"], F.lit(0.0)).alias("yesterday"))
 
 
 def realtime_hour(metric_id: str, first_visits: DataFrame, orders: DataFrame,
