@@ -66,7 +66,8 @@ def dau_batch(table: KeyedTable):
             days = [r[0] for r in logs.select("log_date").distinct().collect()]
             seen = table.read(days)     # only the days in this batch: partition pruning
             fresh = logs if seen is None else dau.anti_seen(logs, seen)
-            table.upsert(dau.first_per_device(fresh).select(*DAU_COLUMNS), batch_id)
+            # new (device, day) keys only: append, do not rewrite the day
+            table.upsert(dau.first_per_device(fresh).select(*DAU_COLUMNS), batch_id, append=True)
         finally:
             batch.unpersist()
     return write

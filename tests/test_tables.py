@@ -33,3 +33,14 @@ def test_compact_and_vacuum(spark, tmp_dir):
     deleted = t.vacuum(keep_versions=1)
     assert len(deleted) == 4 and rows(t.read()) == before
     assert not t.upsert(spark.createDataFrame([("z", "d0", 0, 1)], SCHEMA), 3)   # batch ids kept
+
+
+def test_append_mode_adds_folders(spark, tmp_dir):
+    t = KeyedTable(spark, f"{tmp_dir}/t", ["id"], "day")
+    t.upsert(spark.createDataFrame([("a", "d0", 1, 1), ("b", "d1", 1, 1)], SCHEMA), 0)
+    t.upsert(spark.createDataFrame([("c", "d0", 2, 1)], SCHEMA), 1, append=True)
+    assert len(t.latest_commit()["partitions"]["d0"]) == 2      # d0 not rewritten
+    assert rows(t.read(), "id", "day") == [("a", "d0"), ("b", "d1"), ("c", "d0")]
+    assert not t.upsert(spark.createDataFrame([("z", "d0", 2, 1)], SCHEMA), 1, append=True)
+    assert t.compact() and len(t.latest_commit()["partitions"]["d0"]) == 1
+    assert rows(t.read(), "id") == [("a",), ("b",), ("c",)]
