@@ -120,10 +120,10 @@ def first_order_batch(table: KeyedTable, firsts: KeyedTable):
             seen = firsts.read()
             flagged = orders.first_order_flag(cleaned, seen)
             table.upsert(with_month(flagged, "create_date", "create_month"), batch_id)
-            new_firsts = orders.first_orders(cleaned, seen)
+            new_firsts = orders.first_orders(cleaned, seen)   # users not seen before only
             firsts.upsert(new_firsts.withColumn(
                 "bucket", F.pmod(F.xxhash64("user_id"), F.lit(USER_BUCKETS)).cast("string")),
-                batch_id)
+                batch_id, append=True)
         finally:
             batch.unpersist()
     return write
