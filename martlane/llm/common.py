@@ -110,6 +110,42 @@ def chunks(split: list[list], most: int = 50_000) -> Iterator[tuple[int, int]]:
         yield lo, len(split)
 
 
+class Memo:
+    """key -> value, computed for many missing keys at a time, in bounded memory.
+
+    Two generations of at most ``limit`` entries each: when the young one is
+    full it becomes the old one, and keys met again return from there.  Keys
+    over 64 characters are kept only while they are asked for.
+    """
+
+    def __init__(self, compute: Callable[[set[str]], dict], limit: int):
+        self.compute, self.limit = compute, limit
+        self.words: dict[str, object] = {}
+        self._old: dict[str, object] = {}
+        self._long: list[str] = []
+
+    def learn(self, keys: Iterable[str]) -> None:
+        """Afterwards ``words`` holds every key."""
+        for key in self._long:
+            self.words.pop(key, None)
+        self._long = []
+        keys = set(keys)
+        missing = keys - self.words.keys()
+        if not missing:
+            return
+        if len(self.words) + len(missing) > self.limit:
+            self._old, self.words = self.words, {}
+            missing = keys
+        known = missing & self._old.keys()
+        if known:
+            old = self._old
+            self.words.update((key, old[key]) for key in known)
+            missing -= known
+        if missing:
+            self.words.update(self.compute(missing))
+            self._long = [key for key in missing if len(key) > 64]
+
+
 class WordCache(dict):
     """word -> value, filled by ``make`` on a miss.
 

@@ -23,6 +23,7 @@ gives an empty result; other input columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from functools import lru_cache
@@ -32,17 +33,64 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from martlane.llm.common import BATCH_ROWS, WordCache, chunks, map_rows, ship_package, stored
+from martlane.llm.common import BATCH_ROWS, Memo, chunks, map_rows, ship_package, stored
 
 SHARD_PIECES = 25_000
 
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    import os
+
     from tokenizers import Tokenizer
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     return Tokenizer.from_file(path)
 
 
+# A character whose lower case may depend on more than itself, or a stop that
+# another sign precedes (both are one word of the tokenizer then).
+_beyond = re.compile("[^\\x00-\u012f\u0131-\u024f]").search
+_odd_stop = re.compile("[^\\w\\s][.,][ \n]").search
+
+
+def split_words(text: str | None) -> list[str]:
+    """The text cut at spaces and line breaks, and lowered and cut before a
+    single stop at a word's end where that changes no id."""
+    text = text or ""
+    if (text.isascii() or not _beyond(text)) and not _odd_stop(text):
+        text = text.lower().replace(", ", " , ").replace(". ", " . ").replace(".\n", " . ")
+    return text.replace("\n", " ").split(" ")
+
+
+def word_ids(tokenizer) -> Memo:
+    """Word without white space -> its ids, as little-endian unsigned 32 bits.
+
+    A word of letters is one word of the tokenizer's too and ends with an id
+    that marks a word's end, so many of them are encoded as one text and told
+    apart by that mark.  Other words are encoded one by one.
+    """
+    size = tokenizer.get_vocab_size()
+    marks = np.array([(tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+
+    def apart(words: list[str]) -> dict[str, bytes]:
+        return {w: array("I", e.ids).tobytes()
+                for w, e in zip(words, tokenizer.encode_batch_fast(words, add_special_tokens=False))}
+
+    def compute(words: set[str]) -> dict[str, bytes]:
+        letters = [w for w in words if w.isalpha()]
+        found = apart([w for w in words if not w.isalpha()])
+        ids = np.array(tokenizer.encode(" ".join(letters), add_special_tokens=False).ids, np.uint32)
+        ends = np.flatnonzero(marks[ids]) + 1
+        if len(ends) != len(letters):  # a letter that the normaliser takes apart
+            found.update(apart(letters))
+            return found
+        data, at = ids.tobytes(), (4 * np.append(0, ends)).tolist()
+        found.update((w, data[a:b]) for w, a, b in zip(letters, at, at[1:]))
+        return found
+
+    return Memo(compute, 400_000)
+
+
 def document_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, end_id: int = 0,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, piece, start, length, ids_crc32: every document's ids and ``end_id``,
@@ -56,19 +104,15 @@ def document_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048
 
     def rows(source):
         tokenizer = _tokenizer(tokenizer_path)
-        words = WordCache(lambda w: array("I", tokenizer.encode(w, add_special_tokens=False).ids).tobytes())
+        words = word_ids(tokenizer)
         end = array("I", [end_id]).tobytes()
         step = 4 * max_tokens
         while some := list(islice(source, BATCH_ROWS)):
-            split = [(text or "").replace("\n", " ").split(" ") for _, text in some]
+            split = [split_words(text) for _, text in some]
             for lo, hi in chunks(split):
-                missing = [w for w in set(chain.from_iterable(split[lo:hi])) - words.keys() if len(w) <= 64]
-                if len(words) + len(missing) > words.limit:
-                    words.clear()
-                words.update((w, array("I", e.ids).tobytes()) for w, e in
-                             zip(missing, tokenizer.encode_batch(missing, add_special_tokens=False)))
+                words.learn(chain.from_iterable(split[lo:hi]))
                 for (key, _), keys in zip(some[lo:hi], split[lo:hi]):
-                    ids = b"".join(map(words.__getitem__, keys)) + end
+                    ids = b"".join(map(words.words.__getitem__, keys)) + end
                     for piece, at in enumerate(range(0, len(ids), step)):
                         part = ids[at:at + step]
                         yield key, piece, at // 4, len(part) // 4, zlib.crc32(part)

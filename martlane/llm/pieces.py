@@ -16,6 +16,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from martlane.llm.common import Memo
+
 SPACE = "▁"
 START = -1          # "no piece yet"
 UNKNOWN = -2        # a character outside the vocabulary, spelled in byte pieces
@@ -220,42 +222,13 @@ class PieceModel:
                         return
 
 
-class Memo:
-    """word key -> what ``compute`` gives for its spelling, in bounded memory.
-
-    Two generations of at most ``limit`` entries each: when the young one is
-    full it becomes the old one, and words met again return from there.  Words
-    over SHORT characters are kept only while they are asked for.
-    """
-
-    def __init__(self, model: "PieceModel", compute, limit: int):
-        self.model, self.compute, self.limit = model, compute, limit
-        self.words: dict[str, object] = {}
-        self._old: dict[str, object] = {}
-        self._long: list[str] = []
-
-    def learn(self, keys) -> None:
-        """Afterwards ``words`` holds every key."""
-        for key in self._long:
-            self.words.pop(key, None)
-        keys = set(keys)
-        missing = keys - self.words.keys()
-        if not missing:
-            self._long = []
-            return
-        if len(self.words) + len(missing) > self.limit:
-            self._old, self.words = self.words, {}
-            missing = keys
-        known = missing & self._old.keys()
-        if known:
-            old = self._old
-            self.words.update((key, old[key]) for key in known)
-            missing -= known
-        spelled = self.model.spelled
-        spellings = {key: spelled(key) for key in missing}
-        values = self.compute(spellings.values())
-        self.words.update((key, values[word]) for key, word in spellings.items())
-        self._long = [key for key in missing if len(key) > SHORT]
+def word_memo(model: PieceModel, compute, limit: int) -> Memo:
+    """Word key -> what ``compute`` gives for its spelling."""
+    def values(keys):
+        spellings = {key: model.spelled(key) for key in keys}
+        found = compute(spellings.values())
+        return {key: found[word] for key, word in spellings.items()}
+    return Memo(values, limit)
 
 
 SHORT = 40  # words up to this length are taken many at a time

@@ -23,8 +23,8 @@ from itertools import chain, islice
 import numpy as np
 from pyspark.sql import DataFrame
 
-from martlane.llm.common import BATCH_ROWS, chunks, map_rows
-from martlane.llm.pieces import SHORT, START, UNKNOWN, Memo, PieceModel, load, matrices
+from martlane.llm.common import BATCH_ROWS, Memo, chunks, map_rows
+from martlane.llm.pieces import SHORT, START, UNKNOWN, PieceModel, load, matrices, word_memo
 
 
 def word_counts(model: PieceModel, words, whole: bool = False) -> dict:
@@ -84,7 +84,7 @@ def _long_table(model: PieceModel, word: str) -> bytes | array:
 
 
 def memo(model: PieceModel, whole: bool = False) -> Memo:
-    return Memo(model, lambda words: word_counts(model, words, whole), 500_000 if whole else 100_000)
+    return word_memo(model, lambda words: word_counts(model, words, whole), 500_000 if whole else 100_000)
 
 
 def prefix_counts(model: PieceModel, text: str | None, tables: Memo | None = None) -> list[int]:

@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from martlane.llm.common import BATCH_ROWS, chunks, map_rows
-from martlane.llm.pieces import SHORT, SPACE, START, UNKNOWN, Memo, PieceModel, load, matrices
+from martlane.llm.pieces import SHORT, SPACE, START, UNKNOWN, PieceModel, load, matrices, word_memo
 
 class Transducer:
     """N and C on demand, V as the model's trie read from the piece's end, so
@@ -42,7 +42,7 @@ class Transducer:
 
     def __init__(self, model: PieceModel):
         self.model = model
-        self.memo = Memo(model, self.shortest_paths, 350_000)
+        self.memo = word_memo(model, self.shortest_paths, 350_000)
 
     def weight(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Weights of C's arcs for pieces ``b`` from states ``a``."""
