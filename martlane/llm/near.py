@@ -13,12 +13,13 @@ prefix, in groups of bounded size however frequent a text is.
 1. Every class is paired with its best neighbour per group (by signature) and
    with the leader of every region above its group.  Pairs are confirmed on
    the full sets, and confirmed links give components.
-2. Neighbours of different components are then paired completely: within
-   each group, and, where a region was split, every class outside the
-   region's largest component with the whole region, in blocks.  So splitting
-   a region loses no link between components.  Pairs whose signatures agree
-   in under ``AGREE`` of all hashes are not confirmed: at 0.8 similarity that
-   has a chance of about 1 in 100,000, as has sharing no region in any tree.
+2. In groups where signatures of different components agree in ``AGREE`` of
+   all hashes or more, all classes of different components are compared on the
+   full sets.  At 0.8 similarity, less agreement has a chance of about 1 in
+   100,000, as has sharing no region in any tree.
+3. Where a region was split, every class outside the region's largest
+   component is compared with the whole region, in blocks of ``BLOCK``.  So
+   splitting loses no link between components.
 
 Links between members of one component do not change the result and are not
 all confirmed; ``n_links`` counts the confirmed ones of a document's class.
@@ -46,7 +47,7 @@ DEPTH = 6
 LEAST = 2
 REGION = 64
 AGREE = 0.60
-BLOCK = 512
+BLOCK = 1024
 
 _rng = np.random.default_rng(11)
 _ODD = _rng.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -140,49 +141,102 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _agreeing(members: DataFrame, best_only: bool) -> DataFrame:
-    """(a, b) of groups (grp, side, set_id, n_shingles, signature, component).
+def _stacked(group: list[tuple], at: int) -> np.ndarray:
+    return np.frombuffer(b"".join(r[at] for r in group), np.uint32).reshape(len(group), -1)
 
-    Side 0 is compared with the whole group, side 1 is only compared with.
-    Pairs of one component (null: own) are left out.
-    """
+
+def _fits(size: np.ndarray, i: int) -> np.ndarray:
+    """Sizes that allow a similarity of 0.8 with row i's."""
+    return (5 * size >= 4 * size[i]) & (5 * size[i] >= 4 * size)
+
+
+def best_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): every class with the neighbour of its group whose signature
+    agrees most, at most one pair per row of ``members``."""
     def rows(source):
         for _, group in groupby(source, key=lambda r: r[0]):
             group = list(group)
-            asked = [r for r in group if r[1] == 0]
-            if not asked or len(group) < 2:
+            sig, size = _stacked(group, 3), np.array([r[2] for r in group])
+            for i in range(len(group)):
+                agree = (sig == sig[i]).mean(axis=1) * _fits(size, i)
+                agree[i] = 0
+                if agree.max() >= AGREE:
+                    yield tuple(sorted((bytes(group[i][1]), bytes(group[int(agree.argmax())][1]))))
+
+    ordered = members.repartition("grp").sortWithinPartitions("grp")
+    return map_rows(ordered, "a binary, b binary", rows, "grp", "set_id", "n_shingles", "signature").distinct()
+
+
+def undecided(members: DataFrame) -> DataFrame:
+    """Rows of ``members`` whose signature agrees enough with one of another
+    component in their group."""
+    def rows(source):
+        for grp, group in groupby(source, key=lambda r: r[0]):
+            group = list(group)
+            comp = _numbers([r[4] or r[1] for r in group])
+            if comp.max() == 0:
                 continue
-            sig = np.frombuffer(b"".join(r[4] for r in group), np.uint32).reshape(len(group), -1)
-            size = np.array([r[3] for r in group])
-            numbers: dict = {}
-            comp = np.array([numbers.setdefault(r[5] if r[5] is not None else r[2], len(numbers)) for r in group])
+            sig, size = _stacked(group, 3), np.array([r[2] for r in group])
             for i, r in enumerate(group):
-                if r[1] != 0:
-                    continue
-                agree = (sig == sig[i]).mean(axis=1)
-                agree[(comp == comp[i]) | (5 * size < 4 * size[i]) | (5 * size[i] < 4 * size)] = 0
-                if best_only:
-                    found = [int(agree.argmax())] if agree.max() >= AGREE else []
-                else:
-                    found = np.flatnonzero(agree >= AGREE).tolist()
-                for j in found:
-                    a, b = sorted((bytes(r[2]), bytes(group[j][2])))
-                    if a != b:
-                        yield a, b
+                may = (comp != comp[i]) & _fits(size, i)
+                if may.any() and (sig[may] == sig[i]).mean(axis=1).max() >= AGREE:
+                    yield grp, 0, r[1], bytes(r[4] or r[1])
 
     ordered = members.repartition("grp").sortWithinPartitions("grp")
-    return map_rows(ordered, "a binary, b binary", rows, "grp", "side", "set_id", "n_shingles", "signature",
-                    "component").distinct()
+    return map_rows(ordered, "grp long, side int, set_id binary, component binary", rows,
+                    "grp", "set_id", "n_shingles", "signature", "component")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose full sets have 100 * common >= 80 * union.
+def _numbers(keys: list) -> np.ndarray:
+    seen: dict = {}
+    return np.array([seen.setdefault(k, len(seen)) for k in keys])
 
-    Sets are made anew from the texts of the classes that take part.
-    """
-    pairs = stored(pairs, "pairs")
-    needed = (pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-              .join(classes.select("set_id", "rep"), "set_id"))
+
+def exact_links(rows_: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links between different components of each group (grp, side,
+    set_id, component), on the full sets.  Members of side 0 meet the whole
+    group.  Of the links of a group those are returned that join what the ones
+    before have not joined, so a group of n classes gives at most n - 1."""
+    def rows(source):
+        for _, group in groupby(source, key=lambda r: r[0]):
+            group = list(group)
+            parent = list(range(len(group)))
+
+            def root(x):
+                while parent[x] != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            first: dict = {}
+            for i, r in enumerate(group):
+                parent[i] = first.setdefault(bytes(r[3]), i)
+            members = [np.frombuffer(r[4], np.uint64) for r in group]
+            size = np.array([len(m) for m in members])
+            item, owner = np.concatenate(members), np.repeat(np.arange(len(group)), size)
+            order = np.argsort(item, kind="stable")
+            item, owner = item[order], owner[order]
+            for i, r in enumerate(group):
+                if r[1] != 0:
+                    continue
+                lo, hi = np.searchsorted(item, members[i], "left"), np.searchsorted(item, members[i], "right")
+                count = hi - lo
+                at = np.repeat(lo - np.cumsum(count) + count, count) + np.arange(count.sum())
+                common = np.bincount(owner[at], minlength=len(group))
+                for j in np.flatnonzero(100 * common >= 80 * (size + size[i] - common)).tolist():
+                    x, y = root(i), root(j)
+                    if x != y:
+                        parent[x] = y
+                        yield tuple(sorted((bytes(r[2]), bytes(group[j][2]))))
+
+    ordered = (rows_.join(sets, "set_id").repartition("grp").sortWithinPartitions("grp", "side", "set_id"))
+    return map_rows(ordered, "a binary, b binary", rows, "grp", "side", "set_id", "component", "members").distinct()
+
+
+def full_sets(needed: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """set_id, members (sorted 64-bit hashes as bytes), made anew from a text
+    of each class."""
+    needed = needed.select("set_id").distinct().join(classes.select("set_id", "rep"), "set_id")
     texts = docs.select(F.col("doc_id").alias("rep"), "text")
     texts = needed.join(texts, needed["rep"].eqNullSafe(texts["rep"])).select("set_id", "text")
 
@@ -191,15 +245,26 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
         for set_id, text in source:
             members = shingles(text, cache)
             if _fingerprint(members) == bytes(set_id):
-                yield set_id, members.view(np.int64).tolist()
+                yield set_id, members.tobytes()
+
+    return map_rows(texts, "set_id binary, members binary", rows, "set_id", "text").dropDuplicates(["set_id"])
+
 
-    sets = stored(map_rows(texts, "set_id binary, members array<long>", rows, "set_id", "text")
-                  .dropDuplicates(["set_id"]), "sets")
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose full sets have 100 * common >= 80 * union."""
     both = (pairs.join(sets.select(F.col("set_id").alias("a"), F.col("members").alias("x")), "a")
             .join(sets.select(F.col("set_id").alias("b"), F.col("members").alias("y")), "b"))
-    common = F.size(F.array_intersect("x", "y"))
-    return stored(both.select("a", "b", common.alias("c"), (F.size("x") + F.size("y")).alias("t"))
-                  .filter("100 * c >= 80 * (t - c)").select("a", "b"), "links")
+
+    def rows(source):
+        for a, b, x, y in source:
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            at = np.searchsorted(y, x)
+            at[at == len(y)] = 0
+            common = int((y[at] == x).sum())
+            if 100 * common >= 80 * (len(x) + len(y) - common):
+                yield a, b
+
+    return map_rows(both, "a binary, b binary", rows, "a", "b", "x", "y")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -209,28 +274,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                      .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
                           F.first("signature").alias("signature")), "classes")
     groups, leaders, split = forest(classes)
-    about = classes.select("set_id", "n_shingles", "signature")
-    alone = F.lit(None).cast("binary").alias("component")
+    sets = stored(full_sets(groups.select("set_id").unionAll(split.select("set_id")), docs, classes), "members")
+    members = stored(groups.join(classes.select("set_id", "n_shingles", "signature"), "set_id"), "groups")
 
-    members = stored(groups.join(about, "set_id").withColumn("side", F.lit(0)), "members")
-    links = confirmed(_agreeing(members.withColumn("component", alone), True).unionByName(
-        leaders.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct(), docs, classes)
+    pairs = best_pairs(members).unionByName(
+        leaders.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
+    links = stored(confirmed(pairs, sets), "links")
     found = stored(components(links), "components")
+    named = lambda: found.select(F.col("node").alias("set_id"), "component")
 
-    # What may still connect different components.
-    comp = found.select(F.col("node").alias("set_id"), "component")
-    open_pairs = [_agreeing(members.join(comp, "set_id", "left"), False)]
-    if not split.isEmpty():
-        open_pairs.append(_agreeing(_blocks(split, about, comp), False))
-    more = confirmed(_union(open_pairs).distinct(), docs, classes)
+    # What still connects different components: in the groups, then in split regions.
+    more = stored(exact_links(undecided(members.join(named(), "set_id", "left")), sets), "links")
+    links = links.unionByName(more)
     if not more.isEmpty():
-        links = links.unionByName(more)
         found = stored(components(links), "components")
-
+    if not split.isEmpty():
+        more = stored(exact_links(_blocks(split, named()), sets), "links")
+        links = links.unionByName(more)
+        if not more.isEmpty():
+            found = stored(components(links), "components")
     return _labelled(every, links, found)
 
 
-def _blocks(split: DataFrame, about: DataFrame, comp: DataFrame) -> DataFrame:
+def _blocks(split: DataFrame, comp: DataFrame) -> DataFrame:
     """Split regions in blocks: members outside the region's largest component
     (side 0) beside every part of the region (side 1)."""
     rows = stored(split.join(comp, "set_id", "left")
@@ -247,7 +313,7 @@ def _blocks(split: DataFrame, about: DataFrame, comp: DataFrame) -> DataFrame:
     asked = rows.filter("component != main").select("set_id", "component", "region", spread(parts).alias("p"),
                                                     mine(asks).alias("q"), F.lit(0).alias("side"))
     return (whole.unionByName(asked).withColumn("grp", F.xxhash64("region", "p", "q"))
-            .join(about, "set_id"))
+            .select("grp", "side", "set_id", "component"))
 
 
 def _labelled(every: DataFrame, links: DataFrame, found: DataFrame) -> DataFrame:
