@@ -305,7 +305,10 @@ LAST_PROGRESS: dict[str, list[dict]] = {}
 def run_dau_stream(spark, d):
     start = lambda s, out, ck: runners.start_dau_stream(s[topics.TOPIC_STARTUP], out, ck,
                                                         AVAILABLE_NOW)
-    out, prog = replay(spark, {topics.TOPIC_STARTUP: (fx.startup_logs(spark, d), "ts")},
+    # arrival order is a hash of the record: visits come in no order of time
+    logs = fx.startup_logs(spark, d)
+    logs = logs.withColumn("arrival", F.xxhash64(*logs.columns))
+    out, prog = replay(spark, {topics.TOPIC_STARTUP: (logs, "arrival")},
                        STREAM_BATCHES, start, "dau_stream")
     LAST_PROGRESS["dau_stream"] = prog
     return runners.dau_table(spark, out).read()
@@ -330,17 +333,21 @@ def q_order_stream(spark, d):
 def q_first_order_stream(spark, d):
     start = lambda s, out, ck: runners.start_first_order_stream(
         s[topics.TOPIC_ORDER], f"{out}/orders", f"{out}/firsts", ck, AVAILABLE_NOW)
-    out, prog = replay(spark, {topics.TOPIC_ORDER: (fx.order_info_raw(spark, d), "ts")},
+    # every third order comes again, in a later batch
+    raw = fx.order_info_raw(spark, d).withColumn("arrival", F.col("ts"))
+    again = raw.filter(F.pmod(F.xxhash64("id"), F.lit(3)) == 0)
+    again = again.withColumn("arrival", F.col("ts") + 400 * 86_400_000)
+    out, prog = replay(spark, {topics.TOPIC_ORDER: (raw.unionByName(again), "arrival")},
                        STREAM_BATCHES, start, "first_order_stream")
     LAST_PROGRESS["first_order_stream"] = prog
-    return runners.order_table(spark, f"{out}/orders").read().select(
+    return runners.flagged_orders(spark, f"{out}/orders", f"{out}/firsts").select(
         "id", "user_id", "create_time", "is_first_order")
 
 
 def q_sale_stream(spark, d):
     def start(s, out, ck):
         users = runners.user_table(spark, f"{out}/users")
-        users.upsert(runners.with_user_bucket(fx.user_info_raw(spark, d)), 0)
+        users.append(runners.with_user_bucket(fx.user_info_raw(spark, d)), "load", 0)
         return runners.start_sale_stream(s[topics.TOPIC_ORDER], s[topics.TOPIC_ORDER_DETAIL],
                                          f"{out}/sales", f"{out}/users", ck,
                                          SALE_JOIN_BOUND_SECONDS, SALE_WATERMARK, fx.USER_AS_OF,
@@ -349,7 +356,7 @@ def q_sale_stream(spark, d):
                topics.TOPIC_ORDER_DETAIL: (fx.order_detail_raw(spark, d).drop("version"), "ts")}
     out, prog = replay(spark, sources, STREAM_BATCHES, start, "sale_stream")
     LAST_PROGRESS["sale_stream"] = prog
-    return runners.sale_table(spark, f"{out}/sales").read().drop("dt_month", search.TERMS_COL)
+    return runners.sale_table(spark, f"{out}/sales").read().drop(search.TERMS_COL)
 
 
 def q_alert_stream(spark, d):

@@ -1,10 +1,11 @@
 """Daily active devices: one first visit per (device, day).
 
 Batch form: ``first_per_device`` over all startup logs.
-Streaming form (``martlane.streaming``): per micro-batch, drop devices already
-in the date-partitioned *seen* table (``anti_seen``), keep the first visit per
-(device, day) of what is left (``first_per_device``), and append it to the
-seen table and the DAU sink (``remember_seen``).  Both give the same rows.
+Streaming form (``martlane.streaming``): per micro-batch, drop visits no
+earlier than one in the date-partitioned table (``anti_seen``), keep the first
+per (device, day) of what is left (``first_per_device``) and append it; a
+reader takes the smallest ``ts`` per (device, day).  Both give the same rows,
+in whatever order the logs arrive.
 """
 
 from __future__ import annotations
@@ -31,13 +32,15 @@ def first_per_device(df: DataFrame) -> DataFrame:
 
 
 def anti_seen(batch: DataFrame, seen: DataFrame) -> DataFrame:
-    """Drop rows whose (mid, log_date) is already in ``seen``.
+    """Drop rows whose (mid, log_date) is in ``seen`` with a ``ts`` no later.
 
     No broadcast hint: the seen set grows with devices x days, so the join
     strategy is left to AQE, which broadcasts it only when its measured size
     is under the threshold.
     """
-    return batch.join(seen.select(*DAU_KEY), DAU_KEY, "left_anti")
+    known = seen.groupBy(*DAU_KEY).agg(F.min("ts").alias("_seen_ts"))
+    out = batch.join(known, DAU_KEY, "left")
+    return out.filter(F.col("_seen_ts").isNull() | (F.col("ts") < F.col("_seen_ts"))).drop("_seen_ts")
 
 
 def dau_first_visits(startup_logs: DataFrame) -> DataFrame:

@@ -35,26 +35,27 @@ def first_orders(orders: DataFrame, seen_users: DataFrame | None = None) -> Data
                          F.col("_f.create_time").alias("create_time"))
 
 
-def first_order_flag(orders: DataFrame, seen_users: DataFrame | None = None) -> DataFrame:
-    """Add ``is_first_order`` ('1' for a user's earliest order, else '0').
+def flag_first(orders: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``is_first_order``: '1' for the orders that ``firsts`` (user_id, id) names, else '0'.
 
-    Batch: earliest over all orders.  Streaming (``seen_users`` = users who
-    already ordered in earlier batches): users in the list get '0', the
-    others' earliest order in this batch gets '1'.  The first order ids are
-    joined back on the *order id*, a unique key, so a user with a huge
-    number of orders causes no skew.
+    Joined on the *order id*, a unique key, so a user with a huge number of
+    orders causes no skew.
     """
-    firsts = first_orders(orders, seen_users).select(F.col("id").alias("_first_id"))
-    flagged = orders.join(firsts, orders["id"] == firsts["_first_id"], "left")
+    named = firsts.select(F.col("id").alias("_first_id"))
+    flagged = orders.join(named, orders["id"] == named["_first_id"], "left")
     return (flagged
             .withColumn("is_first_order",
                         F.when(F.col("_first_id").isNotNull(), F.lit("1")).otherwise(F.lit("0")))
             .drop("_first_id"))
 
 
-def with_province(orders: DataFrame, user_province: DataFrame) -> DataFrame:
-    """Fill ``province_id`` from the user's province (left join, keeps all orders)."""
-    up = user_province.select("user_id", F.col("province_id").alias("_prov"))
-    return (orders.join(up, "user_id", "left")
-            .withColumn("province_id", F.coalesce(F.col("province_id"), F.col("_prov")))
-            .drop("_prov"))
+def first_order_flag(orders: DataFrame, seen_users: DataFrame | None = None) -> DataFrame:
+    """Add ``is_first_order`` ('1' for a user's earliest order, else '0').
+
+    ``seen_users`` (user_id, id) remembers the first orders of users known
+    already: their remembered order keeps its '1' when it comes again.
+    """
+    firsts = first_orders(orders, seen_users).select("user_id", "id")
+    if seen_users is not None:
+        firsts = firsts.unionByName(seen_users.select("user_id", "id"))
+    return flag_first(orders, firsts)

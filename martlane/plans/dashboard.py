@@ -115,7 +115,7 @@ def today_vs_yesterday(df: DataFrame, date_col: str, hour_col: str, value: str |
     shifted = F.array(
         F.struct(F.col("d").alias("date"), F.col("v").alias("today"),
                  F.lit(None).cast("double").alias("yesterday")),
-        F.struct(F.date_format(F.date_add(F.to_date("d"), 1), "yyyy-MM-dd").alias("date"),
+        F.struct(F.date_format(F.date_add(F.try_to_date("d"), 1), "yyyy-MM-dd").alias("date"),
                  F.lit(None).cast("double").alias("today"), F.col("v").alias("yesterday")),
     )
     rows = base.select("hour", F.inline(shifted))

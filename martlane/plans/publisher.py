@@ -9,39 +9,50 @@ endpoint's JSON body in Spark (``to_json``), one row.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlane.operators import dau
 from martlane.plans import dashboard, search
-from martlane.sources.tables import read_table
+from martlane.streaming import runners
 from martlane.streaming.apps import TABLES
 
 
-def _table(spark: SparkSession, warehouse: str, job: str, schema: str) -> DataFrame:
-    df = read_table(spark, f"{warehouse.rstrip('/')}/{TABLES[job]}")
+def _table(spark: SparkSession, warehouse: str, job: str, schema: str, days=None) -> DataFrame:
+    """The job's table; with ``days`` only their folders are read."""
+    open_ = {"dau": runners.dau_table, "orders": runners.order_table, "sales": runners.sale_table}[job]
+    df = open_(spark, f"{warehouse.rstrip('/')}/{TABLES[job]}").read(days)
     return df if df is not None else spark.createDataFrame([], schema)
 
 
-def _first_visits(spark, warehouse):
-    return _table(spark, warehouse, "dau", "mid string, log_date string, log_hour string")
+def _first_visits(spark, warehouse, days=None):
+    return _table(spark, warehouse, "dau", "mid string, log_date string, log_hour string", days)
 
 
-def _orders(spark, warehouse):
+def _orders(spark, warehouse, days):
     return _table(spark, warehouse, "orders",
-                  "create_date string, create_hour string, total_amount double")
+                  "create_date string, create_hour string, total_amount double", days)
+
+
+def _with_day_before(date: str) -> list[str]:
+    day = datetime.date.fromisoformat(date)
+    return [date, (day - datetime.timedelta(days=1)).isoformat()]
 
 
 def realtime_total(spark: SparkSession, warehouse: str, date: str) -> DataFrame:
     """[{id, name, value}] for dau, new_mid and order_amount of ``date``."""
-    fv = _first_visits(spark, warehouse)
-    return dashboard.realtime_total(fv, _orders(spark, warehouse), dau.new_mid(fv, date), date)
+    fv = _first_visits(spark, warehouse)    # all days: a device's first day may be any
+    return dashboard.realtime_total(_first_visits(spark, warehouse, [date]), _orders(spark, warehouse, [date]),
+                                    dau.new_mid(fv, date), date)
 
 
 def realtime_hour(spark: SparkSession, warehouse: str, metric_id: str, date: str) -> DataFrame | None:
     """(hour, today, yesterday) of ``dau`` or ``order_amount``; None for other ids."""
-    out = dashboard.realtime_hour(metric_id, _first_visits(spark, warehouse),
-                                  _orders(spark, warehouse), date)
+    days = _with_day_before(date)
+    out = dashboard.realtime_hour(metric_id, _first_visits(spark, warehouse, days),
+                                  _orders(spark, warehouse, days), date)
     return None if out is None else out.drop("date")
 
 
@@ -51,8 +62,7 @@ def sale_detail(spark: SparkSession, warehouse: str, date: str, keyword: str, st
     sales = _table(spark, warehouse, "sales", ", ".join(
         f"{f} string" for f in ("order_detail_id", "order_id", "order_status", "create_time",
                                 "user_id", "sku_id", "user_gender", "user_level", "sku_name", "dt"))
-        + ", user_age int, sku_price double")
-    sales = sales.drop("dt_month")
+        + ", user_age int, sku_price double", [date])
     return search.sale_detail_report(sales, date, keyword, startpage, size, nested=True)
 
 

@@ -2,9 +2,9 @@
 
 Each runner takes a streaming DataFrame of parsed records (see
 ``sources.topics.read_topic`` + ``parse_records``), applies the same
-operators as the batch queries and upserts into a ``KeyedTable``.  The
-query checkpoint owns the source offsets; the table skips batch ids it has
-already committed, so a batch replayed after a failure changes nothing.
+operators as the batch queries and appends to an ``AppendTable``.  The query
+checkpoint owns the source offsets and names the query; a batch replayed
+after a failure finds its folder complete, or writes it anew.
 Every runner returns the started ``StreamingQuery``.
 """
 
@@ -16,58 +16,60 @@ from pyspark.sql import functions as F
 from martlane.operators import alerts, dau, orders, sales
 from martlane.plans import search
 from martlane.schemas import DAU_COLUMNS, ORDER_COLUMNS, SALE_COLUMNS
-from martlane.sources.tables import KeyedTable
+from martlane.sources.tables import AppendTable, checkpoint_query_id
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
 USER_BUCKETS = 16
 
 
-def dau_table(spark, root: str) -> KeyedTable:
-    return KeyedTable(spark, root, dau.DAU_KEY, "log_date", ["ts"])
+def dau_table(spark, root: str) -> AppendTable:
+    """First visits by (device, day): the smallest ``ts`` stands, whatever arrives when."""
+    return AppendTable(spark, root, dau.DAU_KEY, "log_date", ["ts"], latest=False)
 
 
-def order_table(spark, root: str) -> KeyedTable:
-    """Orders by id, partitioned by month of the create date, sorted by date in files."""
-    return KeyedTable(spark, root, ["id"], "create_month", sort_cols=["create_date"])
+def order_table(spark, root: str) -> AppendTable:
+    """Orders by id, folders by create date."""
+    return AppendTable(spark, root, ["id"], "create_date")
 
 
-def user_table(spark, root: str) -> KeyedTable:
-    return KeyedTable(spark, root, ["id"], "bucket", ["seq"])
+def user_table(spark, root: str) -> AppendTable:
+    return AppendTable(spark, root, ["id"], "bucket", ["seq"])
 
 
-def sale_table(spark, root: str) -> KeyedTable:
-    """Sale index by line id, partitioned by month of ``dt``, sorted by ``dt`` in files."""
-    return KeyedTable(spark, root, ["order_detail_id"], "dt_month", sort_cols=["dt"])
+def sale_table(spark, root: str) -> AppendTable:
+    """Sale index by line id, folders by ``dt``."""
+    return AppendTable(spark, root, ["order_detail_id"], "dt")
 
 
-def with_month(df: DataFrame, date_col: str, name: str) -> DataFrame:
-    return df.withColumn(name, F.substring(F.col(date_col), 1, 7))
+def alert_table(spark, root: str) -> AppendTable:
+    return AppendTable(spark, root, ["alert_id"], "alert_date", ["ts"])
 
 
-def alert_table(spark, root: str) -> KeyedTable:
-    return KeyedTable(spark, root, ["alert_id"], "alert_date", ["ts"])
+def _start(df: DataFrame, fn, checkpoint: str, trigger: dict | None):
+    """``fn(batch, query id, batch id)`` for every micro-batch."""
+    spark, known = df.sparkSession, []
 
+    def each(batch: DataFrame, batch_id: int) -> None:
+        if not known:
+            known.append(checkpoint_query_id(spark, checkpoint))
+        fn(batch, known[0], batch_id)
 
-def _start(df: DataFrame, fn, checkpoint: str, trigger: dict | None, name: str | None = None):
-    writer = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
-    if name:
-        writer = writer.queryName(name)
+    writer = df.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or DEFAULT_TRIGGER)).start()
 
 
 # -------------------------------------------------------------------- DAU
 
-def dau_batch(table: KeyedTable):
-    """foreachBatch body: drop seen (device, day), keep first visits, upsert."""
-    def write(batch: DataFrame, batch_id: int) -> None:
+def dau_batch(table: AppendTable):
+    """foreachBatch body: drop what is no earlier than a seen visit, append the rest."""
+    def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
         batch.persist()
         try:
             logs = dau.with_log_date_hour(batch)
             days = [r[0] for r in logs.select("log_date").distinct().collect()]
-            seen = table.read(days)     # only the days in this batch: partition pruning
+            seen = table.rows(days)     # only the days in this batch: partition pruning
             fresh = logs if seen is None else dau.anti_seen(logs, seen)
-            # new (device, day) keys only: append, do not rewrite the day
-            table.upsert(dau.first_per_device(fresh).select(*DAU_COLUMNS), batch_id, append=True)
+            table.append(dau.first_per_device(fresh).select(*DAU_COLUMNS), query_id, batch_id)
         finally:
             batch.unpersist()
     return write
@@ -77,7 +79,7 @@ def start_dau_stream(startup_logs: DataFrame, table_root: str, checkpoint: str,
                      trigger: dict | None = None):
     """Startup logs -> one row per (device, day) in the DAU table."""
     table = dau_table(startup_logs.sparkSession, table_root)
-    return _start(startup_logs, dau_batch(table), checkpoint, trigger, None)
+    return _start(startup_logs, dau_batch(table), checkpoint, trigger)
 
 
 def dau_stream_stateful(startup_logs: DataFrame) -> DataFrame:
@@ -92,10 +94,10 @@ def dau_stream_stateful(startup_logs: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------- orders
 
-def order_batch(table: KeyedTable):
-    def write(batch: DataFrame, batch_id: int) -> None:
+def order_batch(table: AppendTable):
+    def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
         cleaned = orders.orders_clean(batch).select(*ORDER_COLUMNS)
-        table.upsert(with_month(cleaned, "create_date", "create_month"), batch_id)
+        table.append(cleaned, query_id, batch_id)
     return write
 
 
@@ -106,32 +108,39 @@ def start_order_stream(raw_orders: DataFrame, table_root: str, checkpoint: str,
     return _start(raw_orders, order_batch(table), checkpoint, trigger)
 
 
-def first_order_table(spark, root: str) -> KeyedTable:
-    """Users who already ordered (user_id -> first order id), in hash buckets."""
-    return KeyedTable(spark, root, ["user_id"], "bucket")
+def first_order_table(spark, root: str) -> AppendTable:
+    """Per user the earliest order of each batch; the earliest of all on read."""
+    return AppendTable(spark, root, ["user_id"], "create_date", ["create_time", "id"], latest=False)
 
 
-def first_order_batch(table: KeyedTable, firsts: KeyedTable):
-    """foreachBatch body: flag against the users seen so far, then remember the new ones."""
-    def write(batch: DataFrame, batch_id: int) -> None:
+def first_order_batch(table: AppendTable, firsts: AppendTable):
+    """foreachBatch body: append the orders, and each user's earliest of the batch.
+
+    Nothing stored is read.  Which order is a user's first is settled on read
+    (``flagged_orders``), so orders that come again or late change nothing."""
+    def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
         batch.persist()
         try:
             cleaned = orders.orders_clean(batch).select(*ORDER_COLUMNS)
-            seen = firsts.read()
-            flagged = orders.first_order_flag(cleaned, seen)
-            table.upsert(with_month(flagged, "create_date", "create_month"), batch_id)
-            new_firsts = orders.first_orders(cleaned, seen)   # users not seen before only
-            firsts.upsert(new_firsts.withColumn(
-                "bucket", F.pmod(F.xxhash64("user_id"), F.lit(USER_BUCKETS)).cast("string")),
-                batch_id, append=True)
+            table.append(cleaned, query_id, batch_id)
+            early = orders.first_orders(cleaned)
+            firsts.append(early.withColumn("create_date", F.substring("create_time", 1, 10)), query_id, batch_id)
         finally:
             batch.unpersist()
     return write
 
 
+def flagged_orders(spark, table_root: str, firsts_root: str) -> DataFrame | None:
+    """The order table with ``is_first_order`` from the remembered first orders."""
+    table = order_table(spark, table_root).read()
+    if table is None:
+        return None
+    return orders.flag_first(table, first_order_table(spark, firsts_root).read())
+
+
 def start_first_order_stream(raw_orders: DataFrame, table_root: str, firsts_root: str,
                              checkpoint: str, trigger: dict | None = None):
-    """Order records -> orders with ``is_first_order`` ('1' only for a user's first order)."""
+    """Order records -> order table and first orders; read them with ``flagged_orders``."""
     spark = raw_orders.sparkSession
     return _start(raw_orders, first_order_batch(order_table(spark, table_root),
                                                 first_order_table(spark, firsts_root)),
@@ -144,9 +153,9 @@ def with_user_bucket(users: DataFrame) -> DataFrame:
     return users.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(USER_BUCKETS)).cast("string"))
 
 
-def user_batch(table: KeyedTable):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(with_user_bucket(batch), batch_id)
+def user_batch(table: AppendTable):
+    def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
+        table.append(with_user_bucket(batch), query_id, batch_id)
     return write
 
 
@@ -160,20 +169,20 @@ def start_user_stream(raw_users: DataFrame, table_root: str, checkpoint: str,
 # ------------------------------------------------------------------ sales
 
 class SnapshotCache:
-    """The last committed version of a slowly changing table, persisted.
+    """The last state of a slowly changing table, persisted.
 
-    Re-read (and re-persisted) only when the table commits a new version,
+    Re-read (and re-persisted) only when the table has a new batch,
     so a micro-batch joins against executor-cached rows instead of
     re-scanning the dimension's files every trigger.
     """
 
-    def __init__(self, table: KeyedTable):
+    def __init__(self, table: AppendTable):
         self.table = table
         self.version = None
         self.df = None
 
     def get(self) -> DataFrame | None:
-        version = self.table.latest_commit()["version"]
+        version = self.table.folders()
         if version != self.version:
             if self.df is not None:
                 self.df.unpersist()
@@ -183,11 +192,11 @@ class SnapshotCache:
         return self.df
 
 
-def sale_batch(table: KeyedTable, users: KeyedTable, as_of: str | None):
+def sale_batch(table: AppendTable, users: AppendTable, as_of: str | None):
     """foreachBatch body: enrich with the last committed user snapshot, upsert."""
     cache = SnapshotCache(users)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
         snapshot = cache.get()
         if snapshot is None:
             snapshot = batch.sparkSession.createDataFrame(
@@ -196,7 +205,7 @@ def sale_batch(table: KeyedTable, users: KeyedTable, as_of: str | None):
         day = as_of or F.current_date()
         enriched = sales.enrich_user(sales.sale_detail(batch), snapshot, day)
         docs = search.with_terms(enriched.select(*SALE_COLUMNS))   # analysed at index time
-        table.upsert(with_month(docs, "dt", "dt_month"), batch_id)
+        table.append(docs, query_id, batch_id)
     return write
 
 
@@ -214,16 +223,16 @@ def start_sale_stream(raw_orders: DataFrame, raw_details: DataFrame, table_root:
 
 # ----------------------------------------------------------------- alerts
 
-def alert_batch(table: KeyedTable, window_seconds: int, min_uids: int):
-    """foreachBatch body: closed windows' values -> alert documents -> upsert by alert id."""
-    def write(batch: DataFrame, batch_id: int) -> None:
+def alert_batch(table: AppendTable, window_seconds: int, min_uids: int):
+    """foreachBatch body: closed windows' values -> alert documents, appended by alert id."""
+    def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
         batch.persist()
         try:
             docs = alerts.alert_documents(*alerts.parts_from_values(batch, window_seconds,
                                                                     min_uids))
             out = alerts.alert_per_bucket(docs).withColumn(
                 "alert_date", F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd"))
-            table.upsert(out, batch_id)
+            table.append(out, query_id, batch_id)
         finally:
             batch.unpersist()
     return write

@@ -1,46 +1,61 @@
-"""Upsert semantics of keyed tables: insert, replace, empty batch, replay."""
+"""Append-only keyed tables: replace by key, replay, crash, null and moving partitions."""
+
+import os
 
 from conftest import rows
-from martlane.sources.tables import KeyedTable, read_table
+from martlane.sources.tables import AppendTable
 
 SCHEMA = "id string, day string, v2 long, seq long"
 
 
-def test_upsert_insert_replace_replay(spark, tmp_dir):
-    t = KeyedTable(spark, f"{tmp_dir}/t", ["id"], "day", ["seq"])
+def make(spark, data):
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def test_insert_replace_replay(spark, tmp_dir):
+    t = AppendTable(spark, f"{tmp_dir}/t", ["id"], "day")
     assert t.read() is None
-    b0 = spark.createDataFrame([("a", "d1", 1, 1), ("b", "d1", 2, 1), ("c", "d2", 3, 1)], SCHEMA)
-    assert t.upsert(b0, 0)
-    b1 = spark.createDataFrame([("a", "d1", 10, 0), ("a", "d1", 11, 5), ("d", "d3", 4, 1)], SCHEMA)
-    assert t.upsert(b1, 1)
-    # later batch wins; within a batch the larger seq wins; untouched partition d2 kept
-    assert rows(t.read(), "id", "day", "v2") == [("a", "d1", 11), ("b", "d1", 2), ("c", "d2", 3),
-                                                  ("d", "d3", 4)]
-    assert not t.upsert(b1, 1)                                   # replay: no-op
-    assert not t.upsert(spark.createDataFrame([], SCHEMA), 2)    # empty batch: no-op
-    assert t.latest_commit()["version"] == 2
+    assert t.append(make(spark, [("a", "d1", 1, 1), ("b", "d1", 2, 1), ("c", "d2", 3, 1)]), "q1", 0)
+    again = make(spark, [("a", "d1", 10, 0), ("d", "d3", 4, 1)])
+    assert t.append(again, "q1", 1)
+    want = [("a", "d1", 10), ("b", "d1", 2), ("c", "d2", 3), ("d", "d3", 4)]
+    assert rows(t.read(), "id", "day", "v2") == want
+    assert not t.append(again, "q1", 1)                 # replay: no-op
+    assert not t.append(make(spark, []), "q1", 2)       # empty batch: no-op
     assert rows(t.read(["d1"]), "id") == [("a",), ("b",)]
-    assert read_table(spark, f"{tmp_dir}/t").count() == 4
-
-
-def test_compact_and_vacuum(spark, tmp_dir):
-    t = KeyedTable(spark, f"{tmp_dir}/t", ["id"], "day", ["seq"])
-    for i in range(4):
-        t.upsert(spark.createDataFrame([(f"k{i}", f"d{i % 2}", i, 1), ("a", "d0", i, 1)], SCHEMA), i)
-    before = rows(t.read())
-    assert t.compact()
-    assert rows(t.read()) == before
-    deleted = t.vacuum(keep_versions=1)
-    assert len(deleted) == 4 and rows(t.read()) == before
-    assert not t.upsert(spark.createDataFrame([("z", "d0", 0, 1)], SCHEMA), 3)   # batch ids kept
-
-
-def test_append_mode_adds_folders(spark, tmp_dir):
-    t = KeyedTable(spark, f"{tmp_dir}/t", ["id"], "day")
-    t.upsert(spark.createDataFrame([("a", "d0", 1, 1), ("b", "d1", 1, 1)], SCHEMA), 0)
-    t.upsert(spark.createDataFrame([("c", "d0", 2, 1)], SCHEMA), 1, append=True)
-    assert len(t.latest_commit()["partitions"]["d0"]) == 2      # d0 not rewritten
-    assert rows(t.read(), "id", "day") == [("a", "d0"), ("b", "d1"), ("c", "d0")]
-    assert not t.upsert(spark.createDataFrame([("z", "d0", 2, 1)], SCHEMA), 1, append=True)
-    assert t.compact() and len(t.latest_commit()["partitions"]["d0"]) == 1
-    assert rows(t.read(), "id") == [("a",), ("b",), ("c",)]
+    assert t.append(make(spark, [("e", "d1", 5, 1)]), "q2", 0)    # a new query's batch 0 counts
+    assert rows(t.read(), "id", "day", "v2") == want + [("e", "d1", 5)]
+
+
+def test_null_and_empty_partitions(spark, tmp_dir):
+    t = AppendTable(spark, f"{tmp_dir}/t", ["id"], "day")
+    t.append(make(spark, [("a", None, 1, 1), ("b", "", 2, 1)]), "q", 0)
+    t.append(make(spark, [("c", None, 3, 1)]), "q", 1)
+    got = {r.id: r.day for r in t.read().collect()}
+    assert got == {"a": None, "b": "", "c": None}
+    assert {r.id for r in t.read([None]).collect()} >= {"a", "c"}
+
+
+def test_key_that_changes_its_day_and_late_older_version(spark, tmp_dir):
+    t = AppendTable(spark, f"{tmp_dir}/t", ["id"], "day", ["seq"])
+    t.append(make(spark, [("a", "d1", 1, 1)]), "q", 0)
+    t.append(make(spark, [("a", "d2", 2, 5)]), "q", 1)
+    t.append(make(spark, [("a", "d1", 3, 2)]), "q", 2)     # late, older version
+    assert rows(t.read(), "id", "day", "v2") == [("a", "d2", 2)]
+
+
+def test_crash_before_and_after_the_write(spark, tmp_dir):
+    t = AppendTable(spark, f"{tmp_dir}/t", ["id"], "day")
+    t.append(make(spark, [("a", "d1", 1, 1)]), "q", 0)
+    t.append(make(spark, [("b", "d1", 2, 1), ("c", "d1", 2, 1)]), "q", 1)
+    os.rename(f"{tmp_dir}/t/q=q/b=1/_SUCCESS", f"{tmp_dir}/success")     # died before the end
+    assert rows(t.read(), "id") == [("a",)]
+    assert t.append(make(spark, [("b", "d1", 2, 1)]), "q", 1)            # written anew
+    assert rows(t.read(), "id") == [("a",), ("b",)]
+
+
+def test_smallest_stands(spark, tmp_dir):
+    t = AppendTable(spark, f"{tmp_dir}/t", ["id"], "day", ["seq"], latest=False)
+    t.append(make(spark, [("a", "d1", 1, 5)]), "q", 0)
+    t.append(make(spark, [("a", "d1", 2, 2), ("a", "d1", 3, 9)]), "q", 1)
+    assert rows(t.read(), "id", "v2") == [("a", 2)]
