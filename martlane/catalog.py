@@ -363,8 +363,17 @@ def q_alert_stream(spark, d):
     start = lambda s, out, ck: runners.start_alert_stream(
         s[topics.TOPIC_EVENT], out, ck, ALERT_WINDOW_SECONDS, ALERT_SLIDE_SECONDS,
         alerts.MIN_UIDS, ALERT_WATERMARK, AVAILABLE_NOW)
-    out, prog = replay(spark, {topics.TOPIC_EVENT: (fx.event_logs(spark, d), "ts")},
-                       STREAM_BATCHES, start, "alert_stream")
+    events = fx.event_logs(spark, d)
+    # closing records, as many as a chunk has files: one device without an
+    # account, late enough for the watermark to pass every real window
+    end = (events.agg(F.max("ts").alias("ts"))
+           .withColumn("ts", F.col("ts") + 10 * 86_400_000)
+           .withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(4)))))
+    closing = end.select(*(
+        (F.col("ts") if f.name == "ts" else F.lit("closing") if f.name == "mid" else F.lit(None))
+        .cast(f.dataType).alias(f.name) for f in events.schema))
+    out, prog = replay(spark, {topics.TOPIC_EVENT: (events, "ts")},
+                       STREAM_BATCHES, start, "alert_stream", closing={topics.TOPIC_EVENT: closing})
     LAST_PROGRESS["alert_stream"] = prog
     table = runners.alert_table(spark, out).read()
     if table is None:   # no window closed with an alert: an empty sink

@@ -397,4 +397,4 @@ FROM (SELECT s.*, row_number() OVER (PARTITION BY s.order_detail_id
 WHERE rn = 1"""
 
 SQL["alert_stream"] = _with(EVENT_LOG, _alerts_sql(7_200_000, 1_800_000, 3)) + """
-SELECT * FROM alerts WHERE ts <= (SELECT max(ts) FROM ev) - 7200000"""
+SELECT * FROM alerts"""
