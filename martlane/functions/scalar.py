@@ -68,10 +68,11 @@ def sku_price(price: str | Column) -> Column:
 def age_365(birthday: str | Column, as_of: str | Column) -> Column:
     """Whole 365-day years between a ``yyyy-MM-dd`` birthday and ``as_of``.
 
-    Truncates toward zero like integer division of elapsed milliseconds.
+    Truncates toward zero like integer division of elapsed milliseconds; a
+    malformed birthday gives null.
     """
     as_of_col = F.lit(as_of) if isinstance(as_of, str) else as_of
-    days = F.datediff(F.to_date(as_of_col), F.to_date(_c(birthday)))
+    days = F.datediff(F.to_date(as_of_col), F.try_to_date(_c(birthday)))
     return (days.cast("long") / F.lit(DAYS_PER_YEAR)).cast("long").cast("int")
 
 

@@ -32,12 +32,15 @@ def first_per_device(df: DataFrame) -> DataFrame:
 
 
 def anti_seen(batch: DataFrame, seen: DataFrame) -> DataFrame:
-    """Drop rows whose (mid, log_date) is in ``seen`` with a ``ts`` no later.
+    """Drop rows whose (mid, log_date) is in ``seen``, where ``seen`` carries a
+    ``ts``: with one no later.
 
     No broadcast hint: the seen set grows with devices x days, so the join
     strategy is left to AQE, which broadcasts it only when its measured size
     is under the threshold.
     """
+    if "ts" not in seen.columns:
+        return batch.join(seen.select(*DAU_KEY), DAU_KEY, "left_anti")
     known = seen.groupBy(*DAU_KEY).agg(F.min("ts").alias("_seen_ts"))
     out = batch.join(known, DAU_KEY, "left")
     return out.filter(F.col("_seen_ts").isNull() | (F.col("ts") < F.col("_seen_ts"))).drop("_seen_ts")

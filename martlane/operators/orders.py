@@ -52,10 +52,10 @@ def flag_first(orders: DataFrame, firsts: DataFrame) -> DataFrame:
 def first_order_flag(orders: DataFrame, seen_users: DataFrame | None = None) -> DataFrame:
     """Add ``is_first_order`` ('1' for a user's earliest order, else '0').
 
-    ``seen_users`` (user_id, id) remembers the first orders of users known
-    already: their remembered order keeps its '1' when it comes again.
+    ``seen_users`` are users who ordered before.  Where it names their first
+    order too (``id``), that order keeps its '1' when it comes again.
     """
     firsts = first_orders(orders, seen_users).select("user_id", "id")
-    if seen_users is not None:
+    if seen_users is not None and "id" in seen_users.columns:
         firsts = firsts.unionByName(seen_users.select("user_id", "id"))
     return flag_first(orders, firsts)

@@ -12,7 +12,7 @@ from __future__ import annotations
 STARTUP = """
 startup AS (
   SELECT 'mid_' || CAST(user_id AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,
-         'gmall0105' AS appid, 'startup' AS log_type,
+         'shop_app' AS appid, 'startup' AS log_type,
          epoch_us(ts) // 1000 AS ts, event_id AS log_id,
          strftime(ts, '%Y-%m-%d') AS log_date, strftime(ts, '%H') AS log_hour
   FROM events)"""
@@ -325,7 +325,7 @@ SELECT alert_id, mid, uids, item_ids, events, ts FROM (
 # ------------------------------------------------------------------ ingest
 
 SQL["route_logs"] = """
-SELECT CASE WHEN event_type = 'signup' THEN 'GMALL_STARTUP' ELSE 'GMALL_EVENT' END AS topic,
+SELECT CASE WHEN event_type = 'signup' THEN 'SHOP_STARTUP' ELSE 'SHOP_EVENT' END AS topic,
        event_id AS log_id,
        CASE WHEN event_type = 'signup' THEN 'startup' ELSE 'event' END AS type,
        'mid_' || CAST(user_id AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,
@@ -367,9 +367,9 @@ cdc_rows AS (
 SQL["cdc_after_image"] = _with(CDC_ROWS) + "SELECT * FROM cdc_rows"
 
 SQL["cdc_route"] = _with(CDC_ROWS) + """
-SELECT CASE WHEN table_name = 'order_info' THEN 'GMALL_ORDER'
-            WHEN table_name = 'order_detail' THEN 'GMALL_ORDER_DETAIL'
-            ELSE 'GMALL_USER' END AS topic,
+SELECT CASE WHEN table_name = 'order_info' THEN 'SHOP_ORDER'
+            WHEN table_name = 'order_detail' THEN 'SHOP_ORDER_DETAIL'
+            ELSE 'SHOP_USER' END AS topic,
        table_name, event_type, seq, row_no, value
 FROM cdc_rows
 WHERE (table_name IN ('order_info', 'order_detail') AND event_type = 'INSERT')

@@ -18,7 +18,7 @@ from martlane.sources import fixtures as fx
 from martlane.sources.topics import TOPIC_ORDER, TOPIC_ORDER_DETAIL, TOPIC_USER
 
 # Captured database, entry and operation names.
-CDC_DB = "gmall0218"
+CDC_DB = "shop"
 ROWDATA = "ROWDATA"
 TX_BEGIN = "TRANSACTIONBEGIN"
 TX_END = "TRANSACTIONEND"

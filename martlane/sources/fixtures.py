@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from martlane.functions.scalar import epoch_ms
 
 # Fixed values of the mapping.
-APP_ID = "gmall0105"
+APP_ID = "shop_app"
 EVENT_DEVICES = 5                 # event logs: device = user_id % 5
 EVID_BY_EVENT_TYPE = {
     "purchase": "coupon",

@@ -13,13 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Topic names and search-index names.
-TOPIC_STARTUP = "GMALL_STARTUP"
-TOPIC_EVENT = "GMALL_EVENT"
-TOPIC_ORDER = "GMALL_ORDER"
-TOPIC_ORDER_DETAIL = "GMALL_ORDER_DETAIL"
-TOPIC_USER = "GMALL_USER"
-INDEX_ALERT = "gmall0218_coupon_alert"
-INDEX_SALE_DETAIL = "gmall0218_sale_detail"
+TOPIC_STARTUP = "SHOP_STARTUP"
+TOPIC_EVENT = "SHOP_EVENT"
+TOPIC_ORDER = "SHOP_ORDER"
+TOPIC_ORDER_DETAIL = "SHOP_ORDER_DETAIL"
+TOPIC_USER = "SHOP_USER"
 STARTUP_TYPE = "startup"
 
 

@@ -72,3 +72,25 @@ def test_tokens(spark):
 def test_sku_price(spark):
     assert one(spark, S.sku_price, "12.5") == 12.5
     assert one(spark, S.sku_price, "n/a") is None
+
+
+def test_malformed_dates_give_rows_not_failures(spark):
+    from pyspark.sql import functions as F
+    from martlane.functions.scalar import age_365
+    from martlane.plans.dashboard import today_vs_yesterday
+
+    df = spark.createDataFrame([("1990-02-30",), ("bad",), (None,), ("2000-01-01",)], "birthday string")
+    assert [r[0] for r in df.select(age_365("birthday", "2020-01-01")).collect()] == [None, None, None, 20]
+    orders = spark.createDataFrame([("bad", "01", 1.0), ("2024-01-01", "02", 2.0)], "d string, h string, v double")
+    got = {(r.date, r.hour): (r.today, r.yesterday) for r in today_vs_yesterday(orders, "d", "h", "v").collect()}
+    assert got[("2024-01-02", "02")] == (None, 2.0) and got[("bad", "01")] == (1.0, None)
+
+
+def test_first_order_flag_survives_redelivery(spark):
+    from martlane.operators.orders import first_order_flag
+
+    seen = spark.createDataFrame([("u1", "o1")], "user_id string, id string")
+    again = spark.createDataFrame([("o1", "u1", "t1"), ("o2", "u1", "t2"), ("o3", "u2", "t3")],
+                                  "id string, user_id string, create_time string")
+    got = {r.id: r.is_first_order for r in first_order_flag(again, seen).collect()}
+    assert got == {"o1": "1", "o2": "0", "o3": "1"}

@@ -168,7 +168,7 @@ def test_route_logs(spark):
 
 
 def test_cdc_route_matrix(spark):
-    def entry(table, op, n_rows=1, entry_type="ROWDATA", db="gmall0218"):
+    def entry(table, op, n_rows=1, entry_type="ROWDATA", db="shop"):
         rows_ = [{"after": [{"name": "id", "value": str(i)}, {"name": "t", "value": table}]}
                  for i in range(n_rows)]
         return (db, table, entry_type, op, 1, rows_)
@@ -180,9 +180,9 @@ def test_cdc_route_matrix(spark):
     df = spark.createDataFrame(data, CDC_CHANGE)
     got = cdc.cdc_records(df).collect()
     topics_ = sorted((r.topic, r.table_name, r.event_type) for r in got)
-    assert topics_ == sorted([("GMALL_ORDER", "order_info", "INSERT")]
-                             + [("GMALL_ORDER_DETAIL", "order_detail", "INSERT")] * 4
-                             + [("GMALL_USER", "user_info", "INSERT"), ("GMALL_USER", "user_info", "UPDATE")])
+    assert topics_ == sorted([("SHOP_ORDER", "order_info", "INSERT")]
+                             + [("SHOP_ORDER_DETAIL", "order_detail", "INSERT")] * 4
+                             + [("SHOP_USER", "user_info", "INSERT"), ("SHOP_USER", "user_info", "UPDATE")])
     assert got[0].value.startswith('{"id":"0"')
 
 
