@@ -163,10 +163,11 @@ def _featurised(docs: DataFrame, *more: str) -> DataFrame:
         for text, *rest in source:
             text = text or ""
             words = text.split()
-            yield (*rest, [float(x) for x in statistics(text, words)], word_buckets(words, cache).tolist())
+            yield (*rest, [float(x) for x in statistics(text, words)],
+                   word_buckets(words, cache).astype(np.int32).tobytes())
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in more)
-    return map_rows(docs, f"{kinds}, stats array<double>, buckets array<int>", rows, "text", *more)
+    return map_rows(docs, f"{kinds}, stats array<double>, buckets binary", rows, "text", *more)
 
 
 def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0,
@@ -175,7 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int =
     sample = labelled_sample(docs, labels, "quality", modulus, remainder, rows)
     got = sorted(_featurised(sample, "doc_id", "label").collect(), key=lambda r: (r["doc_id"], r["stats"]))
     stats = np.array([r["stats"] for r in got]).reshape(len(got), len(STATISTICS))
-    return fit(stats, [np.array(r["buckets"], np.int64) for r in got], np.array([r["label"] for r in got], float))
+    return fit(stats, [np.frombuffer(r["buckets"], np.int32).astype(np.int64) for r in got], np.array([r["label"] for r in got], float))
 
 
 def score(docs: DataFrame, machine: Machine, threshold: float = 0.3) -> DataFrame:
