@@ -84,7 +84,7 @@ def _long_table(model: PieceModel, word: str) -> bytes | array:
 
 
 def memo(model: PieceModel, whole: bool = False) -> Memo:
-    return word_memo(model, lambda words: word_counts(model, words, whole), 500_000 if whole else 100_000)
+    return word_memo(model, lambda words: word_counts(model, words, whole), 900_000 if whole else 100_000)
 
 
 def prefix_counts(model: PieceModel, text: str | None, tables: Memo | None = None) -> list[int]:

@@ -42,7 +42,7 @@ class Transducer:
 
     def __init__(self, model: PieceModel):
         self.model = model
-        self.memo = word_memo(model, self.shortest_paths, 350_000)
+        self.memo = word_memo(model, self.shortest_paths, 600_000)
 
     def weight(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Weights of C's arcs for pieces ``b`` from states ``a``."""
