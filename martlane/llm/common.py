@@ -130,17 +130,17 @@ class Memo:
             self.words.pop(key, None)
         self._long = []
         keys = set(keys)
-        missing = keys - self.words.keys()
+        # difference() looks the new keys up; "-" with a view walks the whole memo
+        missing = keys.difference(self.words)
         if not missing:
             return
         if len(self.words) + len(missing) > self.limit:
             self._old, self.words = self.words, {}
             missing = keys
-        known = missing & self._old.keys()
-        if known:
-            old = self._old
-            self.words.update((key, old[key]) for key in known)
-            missing -= known
+        old = self._old
+        known = {key: old[key] for key in missing if key in old}
+        self.words.update(known)
+        missing = missing.difference(known)
         if missing:
             self.words.update(self.compute(missing))
             self._long = [key for key in missing if len(key) > 64]
