@@ -91,6 +91,12 @@ def word_ids(tokenizer) -> Memo:
     return Memo(compute, 400_000)
 
 
+@lru_cache(maxsize=2)
+def _words(path: str) -> Memo:
+    """One word table per Python worker and tokenizer: a worker runs many tasks."""
+    return word_ids(_tokenizer(path))
+
+
 def document_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, end_id: int = 0,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, piece, start, length, ids_crc32: every document's ids and ``end_id``,
@@ -98,13 +104,13 @@ def document_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048
 
     The tokenizer drops white space and joins nothing across it, so texts are
     split at spaces and line breaks and each distinct word is encoded once per
-    task (special strings inside a word are handled by the tokenizer).
+    Python worker, as long as its table holds it (special strings inside a word
+    are handled by the tokenizer).
     """
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def rows(source):
-        tokenizer = _tokenizer(tokenizer_path)
-        words = word_ids(tokenizer)
+        words = _words(tokenizer_path)
         end = array("I", [end_id]).tobytes()
         step = 4 * max_tokens
         while some := list(islice(source, BATCH_ROWS)):

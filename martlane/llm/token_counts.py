@@ -18,6 +18,7 @@ come (null ids and repeated rows too); other input columns are ignored.
 from __future__ import annotations
 
 from array import array
+from functools import lru_cache
 from itertools import chain, islice
 
 import numpy as np
@@ -87,6 +88,13 @@ def memo(model: PieceModel, whole: bool = False) -> Memo:
     return word_memo(model, lambda words: word_counts(model, words, whole), 900_000 if whole else 100_000)
 
 
+@lru_cache(maxsize=2)
+def _memos(model_path: str) -> tuple[PieceModel, Memo, Memo]:
+    """Model, token totals and tables of words, kept per Python worker: a worker runs many tasks."""
+    model = load(model_path)
+    return model, memo(model, whole=True), memo(model)
+
+
 def prefix_counts(model: PieceModel, text: str | None, tables: Memo | None = None) -> list[int]:
     """Token counts of text[:0], text[:1], ... text[:len(text)]."""
     tables = memo(model) if tables is None else tables
@@ -117,8 +125,7 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def rows(source):
-        model = load(model_path)
-        totals, tables = memo(model, whole=True), memo(model)
+        model, totals, tables = _memos(model_path)
         while some := list(islice(source, BATCH_ROWS)):
             split = [model.words(text) for _, text in some]
             for lo, hi in chunks(split):

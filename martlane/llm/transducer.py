@@ -15,7 +15,7 @@ Three machines over the tropical semiring (min, +):
 building the product for the whole vocabulary) and relaxes its states, which
 are numbered by input position, in topological order.  Composition does not
 cross a word border (no piece does), so a text's path is the paths of its
-words end to end, and words are composed once per task.
+words end to end, and words are composed once per Python worker.
 
 Decoding runs the inverse: piece ids to text, byte ids joined to UTF-8
 (invalid bytes become U+FFFD), the front mark dropped; control ids give
@@ -28,6 +28,7 @@ empty; rows stay as they come; other columns are ignored.
 from __future__ import annotations
 
 from array import array
+from functools import lru_cache
 from itertools import chain, islice
 
 import numpy as np
@@ -121,6 +122,12 @@ class Transducer:
                 yield b"".join(map(held, keys))
 
 
+@lru_cache(maxsize=2)
+def _machine(model_path: str) -> Transducer:
+    """One per Python worker, with the words it has composed: a worker runs many tasks."""
+    return Transducer(load(model_path))
+
+
 def piece_bytes(model: PieceModel) -> list[bytes | None]:
     """The inverse of V and N: UTF-8 of each id (None: not an id of text)."""
     out: list[bytes | None] = []
@@ -148,7 +155,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def rows(source):
-        machine = Transducer(load(model_path))
+        machine = _machine(model_path)
         while some := list(islice(source, BATCH_ROWS)):
             for (key, _), coded in zip(some, machine.encode([text for _, text in some])):
                 yield key, memoryview(coded).cast("I").tolist()
@@ -179,7 +186,7 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def rows(source):
-        machine = Transducer(load(model_path))
+        machine = _machine(model_path)
         spelled = piece_bytes(machine.model)
         while some := list(islice(source, BATCH_ROWS)):
             for (key, text), coded in zip(some, machine.encode([text for _, text in some])):
