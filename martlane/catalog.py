@@ -34,6 +34,7 @@ REPORT_PAGE, REPORT_SIZE = 2, 10
 PAGE_NO, PAGE_SIZE = 3, 20
 ALERT_WINDOW_SECONDS = 2 * 3600
 ALERT_SLIDE_SECONDS = 30 * 60
+COLLECTED_AT_MS = 1_704_067_200_000     # the collector's clock in its stream twin
 STREAM_BATCHES = 4                     # micro-batches a stream twin replays its input in
 ALERT_WATERMARK = "2 hours"
 SALE_WATERMARK = "1000 days"           # the replay packs years into 4 batches
@@ -152,7 +153,7 @@ def q_realtime_hour_amount(spark, d):
 def _users(spark, d) -> DataFrame:
     """The user dimension (latest profile per id), built once per input."""
     return derived_table(spark, "users", _src(d, "customer"),
-                         lambda: sales.user_latest(fx.user_info_raw(spark, d)))
+                         lambda: sales.user_latest(fx.user_profile_versions(spark, d)))
 
 
 def q_user_latest(spark, d):
@@ -229,6 +230,24 @@ def q_sale_detail_report(spark, d):
                                      REPORT_SIZE, nested=False)
 
 
+def _report_nested(spark, d) -> DataFrame:
+    """The report as the dashboard asks for it: total, stat, detail."""
+    asked = search.report_params((REPORT_PAGE - 1) * REPORT_SIZE, REPORT_SIZE, SEARCH_DAY,
+                                 REPORT_KEYWORD)
+    return search.sale_detail_report(sale_index(spark, d), **asked)
+
+
+def q_sale_report_stat(spark, d):
+    option = _report_nested(spark, d).select("total", F.explode("stat").alias("s")).select(
+        "total", F.col("s.title").alias("title"), F.explode("s.options").alias("o"))
+    return option.select("total", "title", F.col("o.name").alias("name"),
+                         F.col("o.value").alias("value"))
+
+
+def q_sale_report_detail(spark, d):
+    return _report_nested(spark, d).select(F.inline("detail"))
+
+
 # ------------------------------------------------------------------ alerts
 
 def _alert_values(spark, d) -> DataFrame:
@@ -382,7 +401,35 @@ def q_alert_stream(spark, d):
     return alerts.alerts_flat(table.drop("alert_date"))
 
 
+def _published(spark, out, *names) -> DataFrame:
+    """``(topic, value)`` of the topics that a producer wrote below ``out``."""
+    return spark.read.text(out).filter(F.col("topic").isin(*names)).select("topic", "value")
+
+
+def q_collector_stream(spark, d):
+    logs = fx.client_logs(spark, d)
+    start = lambda s, out, ck: runners.start_collector_stream(
+        s[topics.TOPIC_LOG], ck, AVAILABLE_NOW, root=out, as_of_ms=COLLECTED_AT_MS)
+    out, prog = replay(spark, {topics.TOPIC_LOG: (logs, "ts")}, STREAM_BATCHES, start,
+                       "collector_stream")
+    LAST_PROGRESS["collector_stream"] = prog
+    got = _published(spark, out, topics.TOPIC_STARTUP, topics.TOPIC_EVENT)
+    return got.select("topic", F.from_json("value", logs.schema).alias("r")).select(
+        "topic", *(f"r.{c}" for c in ("log_id", "type", "mid", "uid", "evid", "itemid", "ts")))
+
+
+def q_capture_stream(spark, d):
+    start = lambda s, out, ck: runners.start_capture_stream(s[topics.TOPIC_CHANGES], ck,
+                                                            AVAILABLE_NOW, root=out)
+    out, prog = replay(spark, {topics.TOPIC_CHANGES: (_changes(spark, d), "seq")}, STREAM_BATCHES,
+                       start, "capture_stream")
+    LAST_PROGRESS["capture_stream"] = prog
+    return _published(spark, out, topics.TOPIC_ORDER, topics.TOPIC_ORDER_DETAIL, topics.TOPIC_USER)
+
+
 STREAM_QUERIES = {
+    "collector_stream": q_collector_stream,
+    "capture_stream": q_capture_stream,
     "dau_stream": q_dau_stream,
     "order_stream": q_order_stream,
     "first_order_stream": q_first_order_stream,
@@ -422,6 +469,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sale_gender_stat": q_sale_gender_stat,
     "sale_page": q_sale_page,
     "sale_detail_report": q_sale_detail_report,
+    "sale_report_stat": q_sale_report_stat,
+    "sale_report_detail": q_sale_report_detail,
     "coupon_alert": q_coupon_alert,
     "coupon_alert_per_bucket": q_coupon_alert_per_bucket,
     "coupon_alert_header": q_coupon_alert_header,

@@ -263,6 +263,20 @@ SELECT count(*) AS total, {_ratio('user_age < 20')} AS age_lt20,
          AS detail_ids
 FROM hits"""
 
+DAY_HITS = "(SELECT * FROM hits WHERE dt = '1997-02-01')"
+
+SQL["sale_report_stat"] = _with(HITS) + " UNION ALL ".join(
+    f"SELECT count(*) AS total, '{title}' AS title, '{name}' AS name, {_ratio(rule)} AS value FROM {DAY_HITS}"
+    for title, name, rule in (
+        ("年龄占比", "20岁以下", "user_age < 20"),
+        ("年龄占比", "20岁到30岁", "user_age >= 20 AND user_age <= 30"),
+        ("年龄占比", "30岁以上", "user_age > 30"),
+        ("性别占比", "男", "user_gender = 'M'"),
+        ("性别占比", "女", "user_gender = 'F'")))
+
+SQL["sale_report_detail"] = _with(HITS) + \
+    f"SELECT * FROM {DAY_HITS} ORDER BY order_detail_id LIMIT 10 OFFSET 10"
+
 # ------------------------------------------------------------------ alerts
 
 EVENT_LOG = """
@@ -361,8 +375,11 @@ changes AS (
   FROM customer),
 cdc_rows AS (
   SELECT table_name, ['INSERT', 'UPDATE', 'DELETE'][CAST(seq % 3 AS INTEGER) + 1] AS event_type,
-         seq, 0 AS row_no, value
-  FROM changes)"""
+         seq, row_no,
+         CASE row_no WHEN 0 THEN value
+              ELSE regexp_replace(value, '^[{]"id":"([^"]*)"', '{"id":"\\1+1"') END AS value
+  FROM changes, (VALUES (0), (1)) AS r(row_no)
+  WHERE row_no = 0 OR seq % 2 = 0)"""
 
 SQL["cdc_after_image"] = _with(CDC_ROWS) + "SELECT * FROM cdc_rows"
 
@@ -383,6 +400,11 @@ WHERE (table_name IN ('order_info', 'order_detail') AND event_type = 'INSERT')
 
 SQL["dau_stream"] = SQL["dau_first_visits"]
 
+SQL["collector_stream"] = "SELECT * REPLACE (CAST(1704067200000 AS BIGINT) AS ts) FROM (" + \
+    SQL["route_logs"] + ")"
+
+SQL["capture_stream"] = "SELECT topic, value FROM (" + SQL["cdc_route"] + ")"
+
 SQL["order_stream"] = SQL["orders_clean"]
 
 SQL["first_order_stream"] = SQL["first_order_flag"]

@@ -19,6 +19,7 @@ from martlane.sources.topics import TOPIC_ORDER, TOPIC_ORDER_DETAIL, TOPIC_USER
 
 # Captured database, entry and operation names.
 CDC_DB = "shop"
+OTHER_DB = "archive"
 ROWDATA = "ROWDATA"
 TX_BEGIN = "TRANSACTIONBEGIN"
 TX_END = "TRANSACTIONEND"
@@ -67,19 +68,26 @@ def _ops() -> Column:
 def _entry(df: DataFrame, table_name: str, key: Column, cols: list[str]) -> DataFrame:
     after = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
                       for c in cols])
+    # statements with an even key changed a second row, named by its id
+    second = F.transform(after, lambda c: F.struct(
+        c["name"].alias("name"),
+        F.when(c["name"] == "id", F.concat(c["value"], F.lit("+1"))).otherwise(c["value"]).alias("value")))
+    one, two = F.struct(after.alias("after")), F.struct(second.alias("after"))
     return df.select(
         F.lit(CDC_DB).alias("db"), F.lit(table_name).alias("table_name"),
         F.lit(ROWDATA).alias("entry_type"),
         F.element_at(_ops(), (key % 3 + 1).cast("int")).alias("event_type"),
         key.cast("long").alias("seq"),
-        F.array(F.struct(after.alias("after"))).alias("rows"))
+        F.when(key % 2 == 0, F.array(one, two)).otherwise(F.array(one)).alias("rows"))
 
 
 def cdc_changes_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change log of the order, order line and user tables (FIXTURES.md).
 
-    Operation by key % 3 (insert, update, delete), sequence = key; every
-    order also brackets its row entry with transaction begin/end entries.
+    Operation by key % 3 (insert, update, delete), sequence = key; entries
+    with an even key hold two rows; every order also brackets its row entry
+    with transaction begin/end entries; and a second database holds a copy of
+    the user entries, which no capture of the shop takes.
     """
     o = fx.order_info_raw(spark, sf_dir).withColumn("_k", F.col("id").cast("long"))
     d = fx.order_detail_raw(spark, sf_dir).withColumn("_k", F.col("order_id").cast("long"))
@@ -92,7 +100,9 @@ def cdc_changes_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.explode(F.array(F.lit(TX_BEGIN), F.lit(TX_END))).alias("entry_type"),
                   F.lit(None).cast("string").alias("event_type"),
                   F.col("_k").alias("seq"), empty_rows.alias("rows"))
+    users = _entry(u, "user_info", F.col("_k"), user_cols)
     return (_entry(o, "order_info", F.col("_k"), order_cols)
             .unionByName(_entry(d, "order_detail", F.col("_k"), detail_cols))
-            .unionByName(_entry(u, "user_info", F.col("_k"), user_cols))
+            .unionByName(users)
+            .unionByName(users.withColumn("db", F.lit(OTHER_DB)))
             .unionByName(tx))

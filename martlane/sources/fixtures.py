@@ -184,6 +184,15 @@ def order_detail_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def user_profile_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of every profile: ``user_info_raw`` and, written just
+    before it, one of level 0 and the other gender."""
+    now = user_info_raw(spark, sf_dir)
+    other = F.when(F.col("gender") == "M", F.lit("F")).otherwise(F.lit("M"))
+    before = now.withColumns({"user_level": F.lit("0"), "gender": other, "seq": F.col("seq") - 1})
+    return now.unionByName(before)
+
+
 def user_info_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User profiles with ``seq`` (write order) for last-write-wins."""
     c = table(spark, sf_dir, "customer")

@@ -12,12 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Topic names and search-index names.
+# Topic names.
 TOPIC_STARTUP = "SHOP_STARTUP"
 TOPIC_EVENT = "SHOP_EVENT"
 TOPIC_ORDER = "SHOP_ORDER"
 TOPIC_ORDER_DETAIL = "SHOP_ORDER_DETAIL"
 TOPIC_USER = "SHOP_USER"
+TOPIC_LOG = "SHOP_LOG"          # raw client logs, before stamping
+TOPIC_CHANGES = "SHOP_CHANGES"  # the captured change log
 STARTUP_TYPE = "startup"
 
 
@@ -88,12 +90,6 @@ def route_logs(logs: DataFrame, type_col: str = "type") -> DataFrame:
     return logs.withColumn("topic", log_topic(F.col(type_col)))
 
 
-def split_logs(logs: DataFrame, type_col: str = "type") -> tuple[DataFrame, DataFrame]:
-    """(startup logs, event logs): two filters over one DataFrame."""
-    is_startup = F.col(type_col).eqNullSafe(F.lit(STARTUP_TYPE))
-    return logs.filter(is_startup), logs.filter(~is_startup)
-
-
 def to_topic_records(df: DataFrame, topic: str | Column, exclude: tuple[str, ...] = ()) -> DataFrame:
     """``(topic, value)`` with the row as a JSON object (value only, no key)."""
     cols = [c for c in df.columns if c not in exclude]

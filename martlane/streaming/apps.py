@@ -1,6 +1,6 @@
 """Start the shop's streaming jobs: topics in, keyed warehouse tables out.
 
-    python -m martlane.streaming.apps --jobs dau,orders,alerts,users,sales \\
+    python -m martlane.streaming.apps --jobs collector,capture,dau,orders,alerts,users,sales \\
         --bootstrap broker:9092 --warehouse hdfs:///shop/warehouse
 
 Without ``--bootstrap`` each topic is read from its file twin under
@@ -22,6 +22,7 @@ from martlane.sources import topics
 from martlane.streaming import runners
 
 JOBS = ("dau", "orders", "first_orders", "alerts", "users", "sales")
+PRODUCERS = ("collector", "raw_log", "capture")   # client logs and change log -> topics
 TABLES = {"dau": "dau", "orders": "order_info", "first_orders": "order_info_flagged",
           "alerts": "coupon_alert", "users": "user_info", "sales": "sale_detail"}
 
@@ -40,7 +41,18 @@ def start_jobs(spark: SparkSession, args) -> dict:
     table = lambda job: f"{wh}/{TABLES[job]}"
     started = {}
     for job in args.jobs:
-        if job == "dau":
+        if job in ("collector", "raw_log"):
+            logs = _topic(spark, topics.TOPIC_LOG, schemas.CLIENT_LOG, "mid", args)
+            started[job] = (runners.start_collector_stream(logs, ck(job), trigger, args.bootstrap,
+                                                           args.topic_root)
+                            if job == "collector" else
+                            topics.persist_raw_log(topics.stamp_ingest_ts(logs), f"{wh}/raw_log",
+                                                   ck(job), trigger))
+        elif job == "capture":
+            changes = _topic(spark, topics.TOPIC_CHANGES, schemas.CDC_CHANGE, "db", args)
+            started[job] = runners.start_capture_stream(changes, ck(job), trigger, args.bootstrap,
+                                                        args.topic_root)
+        elif job == "dau":
             logs = _topic(spark, topics.TOPIC_STARTUP, schemas.CLIENT_LOG, "mid", args)
             logs = logs.withColumnRenamed("type", "log_type")
             started[job] = runners.start_dau_stream(logs, table(job), ck(job), trigger)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from martlane.operators import alerts, dau, orders, sales
 from martlane.plans import search
 from martlane.schemas import DAU_COLUMNS, ORDER_COLUMNS, SALE_COLUMNS
+from martlane.sources import cdc, topics
 from martlane.sources.tables import AppendTable, checkpoint_query_id
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
@@ -75,6 +76,23 @@ def dau_batch(table: AppendTable):
     return write
 
 
+def start_collector_stream(logs: DataFrame, checkpoint: str, trigger: dict | None = None,
+                           bootstrap_servers: str | None = None, root: str | None = None,
+                           as_of_ms: int | None = None):
+    """Client logs -> stamped, routed, published to the startup and event topics."""
+    routed = topics.route_logs(topics.stamp_ingest_ts(logs, as_of_ms))
+    records = topics.to_topic_records(routed, F.col("topic"), exclude=("topic",))
+    return topics.write_topic_stream(records, checkpoint, bootstrap_servers, root, trigger)
+
+
+def start_capture_stream(changes: DataFrame, checkpoint: str, trigger: dict | None = None,
+                         bootstrap_servers: str | None = None, root: str | None = None,
+                         db: str = cdc.CDC_DB):
+    """Change log -> after-images published to the order, line and user topics."""
+    return topics.write_topic_stream(cdc.cdc_records(changes, db), checkpoint, bootstrap_servers,
+                                     root, trigger)
+
+
 def start_dau_stream(startup_logs: DataFrame, table_root: str, checkpoint: str,
                      trigger: dict | None = None):
     """Startup logs -> one row per (device, day) in the DAU table."""
