@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from martlane.catalog import QUERIES as SHOP_QUERIES
 from oracle_check import compare, duck
 
 QUERIES = entry.queries()
@@ -16,10 +17,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(SQL) == set(QUERIES)
+    # trained models and tokenizers of the training-data queries are not SQL
+    assert set(SHOP_QUERIES) <= set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, QUERIES[name], SQL.get(name), SF_SMALL)
     assert r["match"], r
