@@ -27,8 +27,9 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate component, the document with the smallest id stays."""
-    return near.keep_one(docs)
+    """Of each near-duplicate component (five-word shingles, similarity 0.8 or
+    more), the document with the smallest id stays."""
+    return near.keep_one(docs, width=5)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures.
 
-A document is the set of its distinct two-word shingles (words: runs of other
-characters than ASCII white space, A-Z lowered).  Documents with the same set
-form a class; the rest works on classes, so copies never multiply.
+A document is the set of its distinct shingles of ``width`` words, two for the
+op4 query and five for the pipeline's stage (words: runs of other characters
+than ASCII white space, A-Z lowered).  Documents with the same set form a
+class; the rest works on classes, so copies never multiply.
 
 The forest has ``TREES`` sorted signature orders of ``DEPTH`` hashes each.
 Classes that share the first ``LEAST`` hashes of an order form a region.  The
@@ -25,7 +26,8 @@ Links between members of one component do not change the result and are not
 all confirmed; ``n_links`` counts the confirmed ones of a document's class.
 
 Defined cases: null and empty texts and texts without words have the empty
-set and are linked with nothing; one word makes a set of one; repeated rows
+set and are linked with nothing; a text of fewer than ``width`` words is one
+shingle; repeated rows
 and equal sets are linked; rows with a null id take part, and a component
 takes the smallest non-null id; an empty table gives an empty result; other
 columns are ignored.
@@ -42,6 +44,7 @@ from pyspark.sql import DataFrame, functions as F
 from martlane.llm.common import WordCache, map_rows, stored
 from martlane.llm.graph import components
 
+WIDTH = 2       # words per shingle of the op4 query
 TREES = 14
 DEPTH = 6
 LEAST = 2
@@ -66,13 +69,17 @@ def word_cache() -> WordCache:
     return WordCache(xxhash.xxh64_intdigest)
 
 
-def shingles(text: str | None, cache: WordCache) -> np.ndarray:
-    """Sorted distinct 64-bit shingle hashes of a text."""
+def shingles(text: str | None, cache: WordCache, width: int = WIDTH) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of a text's shingles of ``width`` words; a
+    shorter text is one shingle."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     w = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
-    if len(w) < 2:
-        return _mix(w)
-    return np.unique(_mix(_mix(w[:-1]) + w[1:] * np.uint64(0x9E3779B97F4A7C15)))
+    width = min(width, len(w))
+    n = len(w) - width + 1
+    out = _mix(w[:n])
+    for at in range(1, width):
+        out = _mix(out + w[at:at + n] * np.uint64(0x9E3779B97F4A7C15))
+    return np.unique(out)
 
 
 def signature(members: np.ndarray) -> np.ndarray:
@@ -87,14 +94,14 @@ def _fingerprint(members: np.ndarray) -> bytes:
     return hashlib.blake2b(members.tobytes(), digest_size=16).digest()
 
 
-def document_sets(docs: DataFrame) -> DataFrame:
+def document_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, set_id (fingerprint of the set), signature."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(source):
         cache = word_cache()
         for key, text in source:
-            members = shingles(text, cache)
+            members = shingles(text, cache, width)
             yield key, len(members), _fingerprint(members), signature(members).tobytes()
 
     return map_rows(docs, f"doc_id {id_type}, n_shingles long, set_id binary, signature binary",
@@ -233,7 +240,7 @@ def exact_links(rows_: DataFrame, sets: DataFrame) -> DataFrame:
     return map_rows(ordered, "a binary, b binary", rows, "grp", "side", "set_id", "component", "members").distinct()
 
 
-def full_sets(needed: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def full_sets(needed: DataFrame, docs: DataFrame, classes: DataFrame, width: int = WIDTH) -> DataFrame:
     """set_id, members (sorted 64-bit hashes as bytes), made anew from a text
     of each class."""
     needed = needed.select("set_id").distinct().join(classes.select("set_id", "rep"), "set_id")
@@ -243,7 +250,7 @@ def full_sets(needed: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFra
     def rows(source):
         cache = word_cache()
         for set_id, text in source:
-            members = shingles(text, cache)
+            members = shingles(text, cache, width)
             if _fingerprint(members) == bytes(set_id):
                 yield set_id, members.tobytes()
 
@@ -267,14 +274,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_rows(both, "a binary, b binary", rows, "a", "b", "x", "y")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, set_id, n_links."""
-    every = stored(document_sets(docs), "sets")
+    every = stored(document_sets(docs, width), "sets")
     classes = stored(every.filter("n_shingles > 0").groupBy("set_id")
                      .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
                           F.first("signature").alias("signature")), "classes")
     groups, leaders, split = forest(classes)
-    sets = stored(full_sets(groups.select("set_id").unionAll(split.select("set_id")), docs, classes), "members")
+    sets = stored(full_sets(groups.select("set_id").unionAll(split.select("set_id")), docs, classes, width), "members")
     members = stored(groups.join(classes.select("set_id", "n_shingles", "signature"), "set_id"), "groups")
 
     pairs = best_pairs(members).unionByName(
@@ -330,10 +337,10 @@ def _labelled(every: DataFrame, links: DataFrame, found: DataFrame) -> DataFrame
                       F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """The rows of ``docs`` (all columns) whose id is the smallest of its
     component; one row per id.  Rows without an id cannot be told apart and
     stay."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
+    kept = near_duplicates(docs, width).filter("kept").select("doc_id").distinct()
     named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.filter("doc_id is null"))

@@ -102,6 +102,30 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, region):
     assert {r.doc_id for r in kept.collect()} == set(comp) and kept.columns == ["doc_id", "text", "size", "tid"]
 
 
+def five_word_components(texts):
+    sets = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    comp = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= 80 * len(a | sets[j]) and comp[i] != comp[j]:
+                lo, hi = sorted((comp[i], comp[j]))
+                comp = [lo if c == hi else c for c in comp]
+    return comp
+
+
+def test_near_stage_takes_five_words(spark):
+    import corpus_pipeline
+    base = prose(150)
+    texts = corpus() + [edited(base, n) for n in range(8) for _ in range(3)] + ["a b c d", "A b  c d", "a b c", "a b c d e"]
+    comp = five_word_components(texts)
+    assert set(comp) != set(brute_components(texts)[1])
+    got = corpus_pipeline.drop_near_copies(spark, frame(spark, texts), "")
+    assert sorted(r.doc_id for r in got.collect()) == sorted(set(comp))
+
+
 def test_empty_tables(spark):
     none = frame(spark, ["a"]).filter("false")
     assert near.near_duplicates(none).count() == 0 and repeats.remove_repeats(none).count() == 0
