@@ -48,17 +48,29 @@ def _tokenizer(path: str):
 
 
 # A character whose lower case may depend on more than itself, or a stop that
-# another sign precedes (both are one word of the tokenizer then).
+# another sign precedes (both are one word of the tokenizer then).  Signs are
+# listed up to there: to the tokenizer "_" and \x1c to \x1f are signs, to
+# Python's classes they are not.
 _beyond = re.compile("[^\\x00-\u012f\u0131-\u024f]").search
-_odd_stop = re.compile("[^\\w\\s][.,][ \n]").search
+_signs = "".join(re.escape(c) for c in map(chr, range(0x250))
+                 if not c.isalnum() and (c in "\x1c\x1d\x1e\x1f" or not c.isspace()))
+_odd_stop = re.compile(f"[{_signs}][.,][ \n]").search
 
 
-def split_words(text: str | None) -> list[str]:
+def special_strings(tokenizer) -> tuple[str, ...]:
+    """The strings that the tokenizer takes out of a text as they are, lowered."""
+    return tuple(t.content.lower() for t in tokenizer.get_added_tokens_decoder().values())
+
+
+def split_words(text: str | None, special: tuple[str, ...] = ("<|startoftext|>", "<|endoftext|>")) -> list[str]:
     """The text cut at spaces and line breaks, and lowered and cut before a
-    single stop at a word's end where that changes no id."""
+    single stop at a word's end where that changes no id.  A text that holds a
+    string of ``special``, in any case, is not lowered: that could make one."""
     text = text or ""
     if (text.isascii() or not _beyond(text)) and not _odd_stop(text):
-        text = text.lower().replace(", ", " , ").replace(". ", " . ").replace(".\n", " . ")
+        lowered = text.lower()
+        if not any(s in lowered for s in special):
+            text = lowered.replace(", ", " , ").replace(". ", " . ").replace(".\n", " . ")
     return text.replace("\n", " ").split(" ")
 
 
@@ -111,10 +123,11 @@ def document_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048
 
     def rows(source):
         words = _words(tokenizer_path)
+        special = special_strings(_tokenizer(tokenizer_path))
         end = array("I", [end_id]).tobytes()
         step = 4 * max_tokens
         while some := list(islice(source, BATCH_ROWS)):
-            split = [split_words(text) for _, text in some]
+            split = [split_words(text, special) for _, text in some]
             for lo, hi in chunks(split):
                 words.learn(chain.from_iterable(split[lo:hi]))
                 for (key, _), keys in zip(some[lo:hi], split[lo:hi]):

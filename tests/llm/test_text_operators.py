@@ -15,7 +15,8 @@ from martlane.llm import chat, packing, pieces, token_counts, transducer
 
 ODD = ["", " ", "  a  b ", "▁x ▁▁", "日本語 テスト\n\n\t<s> </s> <0x0A> é́ 🙂", "a" * 300, "\n\n  \n x", None, "x\x00y",
        "\0a b", "(foo)\"bar\" don't l'été naïve—dash", "a \n b\n\nc", "İstanbul ΣΑΣ. I'm", "<|endoftext|>. x, y",
-       "x...? ?!", "a. b.. c, d,, e.\nf !. g", "word " * 3000, "z" * 5000]
+       "x...? ?!", "a. b.. c, d,, e.\nf !. g", "word " * 3000, "z" * 5000,
+       "foo_. bar", "call __init__, next", "a\x1c. b", "a\x1f, b\x1d.\nc", "<|ENDOFTEXT|> x", "<|endoftext|> <|EndOfText|>, y"]
 
 
 @pytest.fixture(scope="module")
