@@ -94,18 +94,24 @@ def _fingerprint(members: np.ndarray) -> bytes:
     return hashlib.blake2b(members.tobytes(), digest_size=16).digest()
 
 
+def _text_key(docs: DataFrame):
+    """The text's digest: with the id it tells rows of one id, or of none, apart."""
+    return F.unhex(F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary")))
+
+
 def document_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles, set_id (fingerprint of the set), signature."""
+    """doc_id, text_key, n_shingles, set_id (fingerprint of the set), signature."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(source):
         cache = word_cache()
-        for key, text in source:
+        for doc, key, text in source:
             members = shingles(text, cache, width)
-            yield key, len(members), _fingerprint(members), signature(members).tobytes()
+            yield doc, key, len(members), _fingerprint(members), signature(members).tobytes()
 
-    return map_rows(docs, f"doc_id {id_type}, n_shingles long, set_id binary, signature binary",
-                    rows, "doc_id", "text")
+    return map_rows(docs.select("doc_id", _text_key(docs).alias("text_key"), "text"),
+                    f"doc_id {id_type}, text_key binary, n_shingles long, set_id binary, signature binary",
+                    rows, "doc_id", "text_key", "text")
 
 
 def _tree_rows(classes: DataFrame) -> DataFrame:
@@ -241,11 +247,13 @@ def exact_links(rows_: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def full_sets(needed: DataFrame, docs: DataFrame, classes: DataFrame, width: int = WIDTH) -> DataFrame:
-    """set_id, members (sorted 64-bit hashes as bytes), made anew from a text
-    of each class."""
-    needed = needed.select("set_id").distinct().join(classes.select("set_id", "rep"), "set_id")
-    texts = docs.select(F.col("doc_id").alias("rep"), "text")
-    texts = needed.join(texts, needed["rep"].eqNullSafe(texts["rep"])).select("set_id", "text")
+    """set_id, members (sorted 64-bit hashes as bytes), made anew from one
+    text of each class."""
+    needed = (needed.select("set_id").distinct().join(classes.select("set_id", "rep"), "set_id")
+              .select("set_id", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key")))
+    texts = docs.select("doc_id", _text_key(docs).alias("text_key"), "text")
+    texts = needed.join(texts, needed["rep_id"].eqNullSafe(texts["doc_id"])
+                        & (needed["rep_key"] == texts["text_key"])).select("set_id", "text")
 
     def rows(source):
         cache = word_cache()
@@ -276,9 +284,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, set_id, n_links."""
+    return _decided(docs, width).drop("text_key", "component")
+
+
+def _decided(docs: DataFrame, width: int) -> DataFrame:
+    """The same with every row's text_key and component (the set_id that names it)."""
     every = stored(document_sets(docs, width), "sets")
     classes = stored(every.filter("n_shingles > 0").groupBy("set_id")
-                     .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
+                     .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("rep"), F.first("n_shingles").alias("n_shingles"),
                           F.first("signature").alias("signature")), "classes")
     groups, leaders, split = forest(classes)
     sets = stored(full_sets(groups.select("set_id").unionAll(split.select("set_id")), docs, classes, width), "members")
@@ -326,7 +339,7 @@ def _blocks(split: DataFrame, comp: DataFrame) -> DataFrame:
 def _labelled(every: DataFrame, links: DataFrame, found: DataFrame) -> DataFrame:
     degree = (links.select(F.col("a").alias("set_id")).unionAll(links.select("b"))
               .groupBy("set_id").agg(F.count("*").alias("n_links")))
-    named = (every.select("doc_id", "set_id", "n_shingles")
+    named = (every.select("doc_id", "text_key", "set_id", "n_shingles")
              .join(found.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
              .withColumn("component", F.coalesce("component", "set_id")))
     least = named.filter("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
@@ -334,13 +347,19 @@ def _labelled(every: DataFrame, links: DataFrame, found: DataFrame) -> DataFrame
     component = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       (F.col("doc_id") == component).alias("kept"), F.hex("set_id").alias("set_id"),
-                      F.coalesce("n_links", F.lit(0)).alias("n_links"))
+                      F.coalesce("n_links", F.lit(0)).alias("n_links"), "text_key", out["component"])
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose id is the smallest of its
-    component; one row per id.  Rows without an id cannot be told apart and
-    stay."""
-    kept = near_duplicates(docs, width).filter("kept").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """The rows of ``docs`` (all columns) whose id is the smallest of their own
+    component, one per component: where several texts of it have this id, the
+    one with the smallest set and text digest.  So different texts with one id
+    are judged apart.  Rows without words are linked with nothing and stay, one
+    per id.  Rows without an id stay."""
+    kept = (_decided(docs, width).filter("kept").groupBy("component", "doc_id")
+            .agg(F.min(F.struct("set_id", "text_key")).alias("first"))
+            .select(F.col("doc_id").alias("kept_id"), F.col("first.text_key").alias("kept_key")))
+    key = "_" * (1 + max(map(len, docs.columns)))  # a name that no column has
+    named = docs.join(kept, (docs["doc_id"] == kept["kept_id"]) & (_text_key(docs) == kept["kept_key"]), "left_semi")
+    named = named.withColumn(key, _text_key(named)).dropDuplicates(["doc_id", key]).drop(key)
     return named.unionByName(docs.filter("doc_id is null"))

@@ -126,6 +126,31 @@ def test_near_stage_takes_five_words(spark):
     assert sorted(r.doc_id for r in got.collect()) == sorted(set(comp))
 
 
+def test_near_rows_that_share_or_lack_an_id(spark, monkeypatch):
+    base, one, two, bare = prose(120), prose(100), prose(100), prose(100)
+    rows = [(1, base), (2, one), (2, two), (2, edited(base, 1)), (3, bare), (3, edited(bare, 1)), (4, one + " x"),
+            (5, ""), (5, None), (6, " "), (7, two), (7, two.encode().upper().decode()), (8, prose(90)), (8, None)]
+    rows += [(None, edited(base, 1)) for _ in range(30)] + [(None, None), (None, "x")]
+    docs = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, text_key string").repartition(3)
+    joined, map_rows = [], near.map_rows
+
+    def counted(df, schema, *args, **more):
+        if schema == "set_id binary, members binary":
+            joined.append((df.count(), df.select("set_id").distinct().count()))
+        return map_rows(df, schema, *args, **more)
+
+    monkeypatch.setattr(near, "map_rows", counted)
+    got = near.keep_one(docs)
+    assert got.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in got.collect()]
+    assert Counter(got)[(3, bare)] + Counter(got)[rows[5]] == 1
+    named = Counter((i, t or "") for i, t in got if i is not None and i != 3)
+    assert named == Counter([(1, base), (2, one), (2, two), (5, ""), (6, " "), (8, rows[12][1]), (8, "")])
+    assert sum(i is None for i, _ in got) == 32
+    # equal rows may meet their class more than once; different texts never do
+    assert joined and all(n - classes <= len(rows) - len(set(rows)) for n, classes in joined)
+
+
 def test_empty_tables(spark):
     none = frame(spark, ["a"]).filter("false")
     assert near.near_duplicates(none).count() == 0 and repeats.remove_repeats(none).count() == 0
