@@ -14,7 +14,8 @@ The lexicon is a short fixed list and, since insults differ by language, words
 and word beginnings learnt from the training rows: terms that texts with the
 label hold far more often than the others.  Training rows are a bounded
 sample: at most ``TRAIN_ROWS`` labelled rows that are not held out, by the hash
-of their id; term counts are a distributed aggregation and at most
+of their id, and for the term counts one text per component of near copies;
+term counts are a distributed aggregation and at most
 ``MAX_TERMS`` terms are kept.  Labels, language, source and id never enter a
 score.  Scoring maps over all rows with a model of bounded size.
 
@@ -26,12 +27,10 @@ classes the fixed lexicon's voters decide; other columns are ignored.
 
 from __future__ import annotations
 
-
-import zlib
-
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
+from martlane.llm import near
 from martlane.llm.common import WordCache, held_out, keep_rows, labelled_sample, map_rows, stored
 
 TRAIN_ROWS = 16_000
@@ -172,20 +171,18 @@ def learnt_terms(sample: DataFrame, limit: int = MAX_TERMS) -> list[str]:
     eight times the odds of the whole sample, and beyond chance (the share of
     labelled texts to the power of the term's, a bound on the binomial tail).
 
-    Copies and near copies of one text would make all its words look so; of
-    the texts that share the least hash of their long words, one counts.
+    Copies and near copies of one text would make all its words look so; of a
+    component of near copies (five-word shingles, similarity 0.8 or more) the
+    text with the smallest id counts.
     """
     def rows(source):
         cache = WordCache(lambda w: terms_of(core(w)))
         for text, label in source:
             words = set((text or "").split())
-            long = [w for w in words if len(w) > 7] or [text or ""]
-            hashes = [w.encode("utf-8", "replace") for w in long]
-            yield (label, min(map(zlib.crc32, hashes)), min([zlib.crc32(h, 1) for h in hashes]),
-                   sorted({t for w in words for t in cache[w] if t.rstrip("*").isalpha()}))
+            yield label, sorted({t for w in words for t in cache[w] if t.rstrip("*").isalpha()})
 
-    texts = stored(map_rows(sample, "label int, a long, b long, terms array<string>", rows, "text", "label")
-                   .dropDuplicates(["a"]).dropDuplicates(["b"]), "terms")
+    texts = stored(map_rows(near.keep_one(sample, width=5), "label int, terms array<string>", rows, "text", "label"),
+                   "terms")
     sizes = texts.groupBy("label").count().collect()
     seen = texts.select("label", F.explode("terms").alias("term"))
     toxic = sum(r["count"] for r in sizes if r["label"] == 1)
@@ -203,7 +200,7 @@ def learnt_terms(sample: DataFrame, limit: int = MAX_TERMS) -> list[str]:
 
 def train(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2,
           rows: int = TRAIN_ROWS) -> Classifier:
-    sample = labelled_sample(docs, labels, "toxic", modulus, remainder, rows)
+    sample = stored(labelled_sample(docs, labels, "toxic", modulus, remainder, rows), "sample")
     lexicon = Lexicon(learnt_terms(sample))
 
     def voted(source):

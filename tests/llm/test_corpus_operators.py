@@ -209,6 +209,24 @@ def test_classifiers_on_held_out_rows(spark, name):
     assert len(few) == 3 and all(0 <= r.score <= 1 for r in few)
 
 
+def test_learnt_terms_count_every_text_that_is_no_near_copy(spark):
+    from martlane.llm import toxicity
+    # Every text shares the words "alongword" and "anotherlongword"; copies of one toxic text are one text.
+    shared = "alongword anotherlongword "
+    toxic = [(i, shared + f"blargh {prose(8)}", 1) for i in range(12)]
+    copied = [(100 + i, shared + "copycat " + WORDS[0] + " " + " ".join(WORDS[20:60]), 1) for i in range(30)]
+    clean = [(200 + i, shared + prose(9), 0) for i in range(120)]
+    rows = toxic + copied + clean
+    terms = []
+    for seed in (1, 2):
+        some = rows[:]
+        random.Random(seed).shuffle(some)
+        df = spark.createDataFrame(some, "doc_id long, text string, label int").repartition(seed + 2)
+        terms.append(toxicity.learnt_terms(df))
+    assert terms[0] == terms[1]
+    assert "blargh" in terms[0] and "copycat" not in terms[0]
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     from martlane.llm.common import stored, table
