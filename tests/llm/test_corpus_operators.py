@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
 from martlane.llm import bwt, impact, near, repeats, srs
 
 rnd = random.Random(3)
@@ -240,3 +240,66 @@ def test_pipeline_stages(spark):
     assert sizes == sorted(sizes, reverse=True) and sizes[-1] > sizes[0] // 2
     ids = {r.doc_id for r in corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).select("doc_id").collect()}
     assert ids == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_pipeline_decisions_equal_plain_versions(spark):
+    import zlib
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    from pyspark.sql import functions as F
+    from martlane.llm import quality, toxicity
+    from martlane.llm.common import stored, table
+    docs, labels = table(spark, SF_MID, "documents"), table(spark, SF_MID, "labels")
+    base = prose(150)
+    texts = corpus() + [edited(base, n) for n in range(8) for _ in range(3)]
+    more = frame(spark, texts).select((F.col("doc_id") + 10_000_000).alias("doc_id"), "text")
+    more = docs.limit(1).drop("doc_id", "text").crossJoin(more).withColumn("n_chars", F.length("text"))
+    docs = stored(docs.unionByName(more.select(*(F.col(c).cast(docs.schema[c].dataType) for c in docs.columns))), "docs")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def read(df):
+        got = {r.doc_id: r.text for r in df.collect()}
+        assert len(got) == df.count()
+        return dict(sorted(got.items()))
+
+    for name, model in (("toxicity", toxicity), ("quality classifier", quality)):
+        bad = 1 if name == "toxicity" else 0
+        out = {r.doc_id for r in model.classify(docs, labels).collect() if r.predicted == bad}
+        kept = stored(stages[name](spark, docs, SF_MID), "kept")
+        assert out and read(kept) == {i: t for i, t in read(docs).items() if i not in out}
+        docs = kept
+
+    docs = stored(docs.filter("doc_id % 8 = 0 or doc_id >= 10000000"), "some")  # brute force from here on
+    before = read(docs)
+    comp = five_word_components(list(before.values()))
+    docs = stored(stages["MinHash near-dedup"](spark, docs, SF_MID), "kept")
+    after = read(docs)
+    assert after == {i: t for k, (i, t) in enumerate(before.items()) if comp[k] == k} and len(after) < len(before)
+
+    raws = {i: (t or "").encode() for i, t in after.items()}
+    count = Counter(r[k:k + 200] for r in raws.values() for k in range(len(r) - 199))
+    want = {}
+    for i, raw in raws.items():
+        gone = bytearray(len(raw))
+        for k in range(len(raw) - 199):
+            if count[raw[k:k + 200]] > 1:
+                gone[k:k + 200] = b"\1" * 200
+        rest = bytes(b for b, g in zip(raw, gone) if not g).decode("utf-8", "ignore")
+        want[i] = after[i] if after[i] is None else rest
+    docs = stored(stages["suffix-array dedup"](spark, docs, SF_MID), "kept")
+    assert read(docs) == want != after
+
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pieces, places = Counter(), {}
+    for i, text in want.items():
+        ids = np.array(tok.encode(text or "", add_special_tokens=False).ids + [0], np.uint32)
+        pieces.update((i, k // 2048, k, len(ids[k:k + 2048]), zlib.crc32(ids[k:k + 2048].tobytes()))
+                      for k in range(0, len(ids), 2048))
+    rows = stages["best-fit packing"](spark, docs, SF_MID).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == pieces
+    for r in rows:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for members in places.values():
+        ends = [0, *np.cumsum([n for _, n in sorted(members)])]
+        assert [o for o, _ in sorted(members)] == ends[:-1] and ends[-1] <= 2048
