@@ -20,6 +20,7 @@ from __future__ import annotations
 from array import array
 from functools import lru_cache
 from itertools import chain, islice
+from operator import itemgetter
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -28,12 +29,10 @@ from martlane.llm.common import BATCH_ROWS, Memo, chunks, map_rows
 from martlane.llm.pieces import SHORT, START, UNKNOWN, PieceModel, load, matrices, word_memo
 
 
-def word_counts(model: PieceModel, words, whole: bool = False) -> dict:
+def word_counts(model: PieceModel, words) -> dict:
     """Counts at prefixes 1..n of each normalised word (bytes while below 256,
-    else array); with ``whole`` only the last of them, as int."""
+    else array)."""
     tables = {w: _long_table(model, w) for w in words if len(w) > SHORT}
-    if whole:
-        tables = {w: t[-1] for w, t in tables.items()}
     for group, chars, utf8 in matrices(words):
         n, width = chars.shape
         last = np.full((n, width + 1), START, np.int64)
@@ -53,10 +52,6 @@ def word_counts(model: PieceModel, words, whole: bool = False) -> dict:
                     step = found.send(fits)
                 except StopIteration:
                     step = None
-        if whole:
-            sizes = np.fromiter(map(len, group), np.int64, n)
-            tables.update(zip(group, count[np.arange(n), sizes].tolist()))
-            continue
         for word, row in zip(group, count[:, 1:].astype(np.uint8)):
             tables[word] = row[:len(word)].tobytes()
     return tables
@@ -84,15 +79,15 @@ def _long_table(model: PieceModel, word: str) -> bytes | array:
     return bytes(count[1:]) if max(count) < 256 else array("I", count[1:])
 
 
-def memo(model: PieceModel, whole: bool = False) -> Memo:
-    return word_memo(model, lambda words: word_counts(model, words, whole), 900_000 if whole else 100_000)
+def memo(model: PieceModel) -> Memo:
+    return word_memo(model, lambda words: word_counts(model, words), 400_000)
 
 
 @lru_cache(maxsize=2)
-def _memos(model_path: str) -> tuple[PieceModel, Memo, Memo]:
-    """Model, token totals and tables of words, kept per Python worker: a worker runs many tasks."""
+def _memos(model_path: str) -> tuple[PieceModel, Memo]:
+    """Model and tables of words, kept per Python worker: a worker runs many tasks."""
     model = load(model_path)
-    return model, memo(model, whole=True), memo(model)
+    return model, memo(model)
 
 
 def prefix_counts(model: PieceModel, text: str | None, tables: Memo | None = None) -> list[int]:
@@ -100,8 +95,13 @@ def prefix_counts(model: PieceModel, text: str | None, tables: Memo | None = Non
     tables = memo(model) if tables is None else tables
     keys = model.words(text)
     tables.learn(keys)
+    return _laid(model, map(tables.words.__getitem__, keys))
+
+
+def _laid(model: PieceModel, tables) -> list[int]:
+    """The table of a text: its words' tables laid end to end."""
     counts, before = [], 0
-    for t in map(tables.words.__getitem__, keys):
+    for t in tables:
         counts.extend([before + c for c in t])
         before += t[-1]
     if not counts:
@@ -125,18 +125,18 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def rows(source):
-        model, totals, tables = _memos(model_path)
+        model, tables = _memos(model_path)
         while some := list(islice(source, BATCH_ROWS)):
             split = [model.words(text) for _, text in some]
             for lo, hi in chunks(split):
-                totals.learn(chain.from_iterable(split[lo:hi]))
-                held = totals.words.__getitem__
+                tables.learn(chain.from_iterable(split[lo:hi]))
+                held = tables.words.__getitem__
                 for (key, text), keys in zip(some[lo:hi], split[lo:hi]):
                     text = text or ""
-                    n = sum(map(held, keys))
+                    n = sum(map(itemgetter(-1), map(held, keys)))
                     fits = len(text)
                     if n > limit:
-                        counts = prefix_counts(model, text, tables)
+                        counts = _laid(model, map(held, keys))
                         fits = max(i for i, c in enumerate(counts) if c <= limit)
                     yield key, len(text.encode("utf-8", "surrogatepass")), n, n > limit, fits
 

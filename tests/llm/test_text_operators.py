@@ -56,6 +56,18 @@ def test_token_count_query(spark, model):
     assert token_counts.count_tokens(empty, pieces.default_path()).count() == 0
 
 
+def test_count_query_reads_prefix_tables(spark, model):
+    m, sp = model
+    _, tables = token_counts._memos(pieces.default_path())
+    keys = m.words("unbelievable words")
+    tables.learn(keys)
+    assert all(len(tables.words[k]) == len(m.spelled(k)) for k in keys)
+    for r in token_counts.count_tokens(frame(spark, ODD), pieces.default_path(), limit=50).collect():
+        text = "null id" if r.doc_id is None else ODD[r.doc_id] or ""
+        counts = token_counts.prefix_counts(m, text)
+        assert r.chars_in_limit == max(i for i, c in enumerate(counts) if c <= 50)
+
+
 def test_transducer_encodes_and_decodes_like_the_library(spark, model):
     _, sp = model
     docs = frame(spark, ODD)
