@@ -65,7 +65,7 @@ def op9_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_transducer_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document encoded and decoded by the transducer, as digests."""
+    """Every document encoded and decoded by the transducer: ids, text and digests."""
     return transducer.round_trip(table(spark, sf_dir, "documents"), pieces.default_path())
 
 

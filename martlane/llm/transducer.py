@@ -177,9 +177,9 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
 
 
 def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode and decode in one pass, as digests: id, n_tokens, ids_crc32
-    (unsigned, over little-endian unsigned 32-bit ids), decoded_sha256 and
-    whether the decoded text equals the input."""
+    """Encode and decode in one pass: id, n_tokens, ids_crc32 (unsigned, over
+    little-endian unsigned 32-bit ids), decoded_sha256, whether the decoded
+    text equals the input, and the ids and the decoded text themselves."""
     import hashlib
     import zlib
 
@@ -190,9 +190,11 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
         spelled = piece_bytes(machine.model)
         while some := list(islice(source, BATCH_ROWS)):
             for (key, text), coded in zip(some, machine.encode([text for _, text in some])):
-                back = decode_ids(machine.model, spelled, memoryview(coded).cast("I"))
+                ids = memoryview(coded).cast("I").tolist()
+                back = decode_ids(machine.model, spelled, ids)
                 yield (key, len(coded) // 4, zlib.crc32(coded),
-                       hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(), back == (text or ""))
+                       hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(), back == (text or ""),
+                       ids, back)
 
     return map_rows(docs, f"`{id_col}` {id_type}, n_tokens long, ids_crc32 long, decoded_sha256 string, "
-                    "same_text boolean", rows, id_col, text_col)
+                    "same_text boolean, ids array<int>, decoded string", rows, id_col, text_col, held_bytes=8 << 20)

@@ -81,6 +81,7 @@ def test_transducer_encodes_and_decodes_like_the_library(spark, model):
     for r in transducer.round_trip(docs, pieces.default_path()).collect():
         ids = sp.encode("null id" if r.doc_id is None else ODD[r.doc_id] or "")
         assert r.ids_crc32 == zlib.crc32(np.array(ids, np.uint32).tobytes()) and r.n_tokens == len(ids)
+        assert r.ids == ids and r.decoded == sp.decode(ids)
 
 
 def check_packing(rows, size):
