@@ -166,6 +166,21 @@ class WordCache(dict):
         return value
 
 
+def join_small(rows: DataFrame, named: DataFrame, key: str, count: str, parts: int = 200) -> DataFrame:
+    """``rows`` joined with ``named``, which has one row per ``key`` and in
+    ``count`` the key's number of rows.
+
+    Keys with a ``parts``-th of all rows or more number at most ``parts``, so
+    these are broadcast, and no key's rows gather in one task; the others meet
+    by a shuffle.
+    """
+    total = named.agg(F.sum(count)).first()[0] or 0
+    frequent = F.col(count) * parts >= total
+    hot = F.broadcast(named.filter(frequent))
+    rare = rows.join(hot.select(key), key, "left_anti").join(named.filter(~frequent), key)
+    return rows.join(hot, key).unionByName(rare.select(*rows.columns, *(c for c in named.columns if c != key)))
+
+
 def held_out(doc_id, modulus: int, remainder: int):
     """True where crc32 of the id as text leaves ``remainder`` (null id: False)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus == remainder,

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlane.llm import chat, impact, near, packing, pieces, quality, repeats, srs, token_counts, toxicity, transducer
+from martlane.llm import (bpa, chat, fim, golay, impact, near, packing, pieces, quality, repeats, srs, token_counts,
+                          toxicity, transducer)
 from martlane.llm.common import table
 
 
@@ -69,6 +70,22 @@ def op10_transducer_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame
     return transducer.round_trip(table(spark, sf_dir, "documents"), pieces.default_path())
 
 
+def op11_best_position_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents for every benchmark item."""
+    return bpa.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_golay_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and component of every document."""
+    found = golay.near_fingerprints(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id", "n_copies")
+
+
+def op13_counted_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document transformed for fill-in-middle, and restored."""
+    return fim.digests(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline.py over documents."""
     import corpus_pipeline
@@ -80,7 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_sum_of_squares_packing, op2_factorisation_machine_quality, op3_bwt_merge_dedup,
         op4_lsh_forest_near_dedup, op5_prefix_target_chat, op6_weak_supervision_toxicity,
         op7_stable_projection_ann, op8_impact_ordered_topk, op9_prefix_token_counts,
-        op10_transducer_sentencepiece, pipeline)}
+        op10_transducer_sentencepiece, op11_best_position_search, op12_golay_simhash_dedup,
+        op13_counted_fill_in_middle, pipeline)}
 
 SQL: dict[str, str] = {
     "op4_lsh_forest_near_dedup": r"""
@@ -138,4 +156,57 @@ SQL: dict[str, str] = {
             from scored)
         select query_id, rank, vec_id, score from ranked where rank <= 20
         """,
+    "op11_best_position_search": r"""
+        with words as (
+            select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t
+            from documents),
+        docs as (select row_number() over () as doc_row, doc_id, t, len(t) as n from words where len(t) > 0),
+        whole as (select count(*) as nd, cast(sum(n) as bigint) as l from docs),
+        tfs as (select doc_row, doc_id, n, term, count(*) as tf from (select *, unnest(t) as term from docs) u
+                group by doc_row, doc_id, n, term),
+        weights as (
+            select term, cast(floor(1000 * ln((2 * any_value(nd) + 2)::double / (2 * count(*) + 1))) as bigint) as w
+            from tfs, whole group by term),
+        items as (select row_number() over () as item_row, * from benchmark),
+        asked as (
+            select distinct item_row, item_id,
+                   unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from items),
+        scored as (
+            select a.item_row, a.item_id, t.doc_row, t.doc_id,
+                   cast(sum(w.w * ((1000000000 * t.tf) // (1000 * t.tf + 8 * (100 - 90 + ((90 * t.n * nd) // l))))) as bigint) as score
+            from asked a join tfs t using (term) join weights w using (term), whole
+            group by a.item_row, a.item_id, t.doc_row, t.doc_id),
+        ranked as (
+            select *, cast(row_number() over (partition by item_row order by score desc, doc_id nulls last, doc_row) as integer) as rank
+            from scored where score > 0)
+        select item_id, rank, doc_id, score from ranked where rank <= 10
+        """,
+    "op13_counted_fill_in_middle": r"""
+        with texts as (
+            select doc_id, coalesce(text, '') as t, sha256('7:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+        cut as (
+            select *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') as u, len(regexp_extract_all(t, '[^\n]*\n|[^\n]+')) as n,
+                   cast('0x' || substr(h, 1, 8) as bigint) as h1, cast('0x' || substr(h, 9, 8) as bigint) as h2,
+                   cast('0x' || substr(h, 25, 8) as bigint) as h4
+            from texts),
+        placed as (
+            select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+                   case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') then 'plain'
+                        when h4 % 100 < 50 then 'spm' else 'psm' end as form
+            from cut),
+        parts as (
+            select *, array_to_string(u[1:a], '') as p, array_to_string(u[a + 1:b], '') as m,
+                   array_to_string(u[b + 1:], '') as s
+            from placed)
+        select doc_id, cast(n as bigint) as n, form,
+               case when form <> 'plain' then length(p) end as prefix_chars,
+               case when form <> 'plain' then length(m) end as middle_chars,
+               sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                      else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+               sha256(t) as restored_sha256
+        from parts
+        """,
 }
