@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from martlane.llm.common import map_rows, ship_package, stored
 
-BLOCK = 16384      # documents of one index
+BLOCK = 8192       # documents of one index
 ITEMS = 1024       # items that a task asks it
 PIECE = 1000       # terms handed on in one row
 STEP = 16          # positions first read of each list; doubled every round
@@ -112,10 +112,10 @@ class Index:
         self.rows, doc = np.unique(row, return_inverse=True)
         self.tids, t = np.unique(tid, return_inverse=True)
         order = np.lexsort((doc, -part, t))
-        self.doc, self.part, t = doc[order], part[order], t[order]
+        self.doc, self.part, t = doc[order].astype(np.int32), part[order], t[order]
         self.starts = np.searchsorted(t, np.arange(len(self.tids) + 1))
         by_doc = np.lexsort((self.doc, t))
-        self.place = by_doc                      # position in the impact order, by (term, document)
+        self.place = by_doc.astype(np.int32)     # position in the impact order, by (term, document)
         self.sorted_doc = self.doc[by_doc]
 
     def lists(self, tids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,7 +205,8 @@ def ranked_search(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str =
     asked = stored(item_terms(items, item_col, item_text_col), "items")
     vocabulary = stored(asked.select("term").distinct().select("term", F.monotonically_increasing_id().alias("tid")),
                         "vocabulary")
-    length = docs.sparkSession.createDataFrame([(bytearray(), -1)], vocabulary.schema)
+    # a range has a known size, as the written table has: Spark may broadcast their union
+    length = docs.sparkSession.range(1).select(F.unhex(F.lit("")).alias("term"), F.lit(-1).cast("long").alias("tid"))
     every = stored(postings(docs, vocabulary.unionByName(length), id_col, text_col), "postings")
     whole = every.filter("tid = -1").agg(F.count("*").alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")).first()
     n_blocks = max(1, -(-whole["N"] // block))
