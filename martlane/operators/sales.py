@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from martlane.functions.scalar import age_365, sku_price
 from martlane.operators.common import pick_per_key
 from martlane.schemas import SALE_COLUMNS
+from martlane.sources.topics import POSITION
 
 # Fixed value: how long an order and its lines wait for each other.
 JOIN_BOUND_SECONDS = 300
@@ -105,10 +106,12 @@ def sale_join_stream(orders: DataFrame, details: DataFrame,
                        F.col("create_date").alias("dt"),
                        F.timestamp_millis("ts").alias("_o_time"))
          .withWatermark("_o_time", delay))
+    # the line's position in its topic decides between two writes of one line
+    position = [POSITION] if POSITION in details.columns else []
     d = (details.select(F.col("id").alias("order_detail_id"),
                         F.col("order_id").alias("_d_order_id"), "sku_id", "sku_name",
                         sku_price("order_price").alias("sku_price"),
-                        F.timestamp_millis("ts").alias("_d_time"))
+                        F.timestamp_millis("ts").alias("_d_time"), *position)
          .withWatermark("_d_time", delay))
     bound = F.expr(f"INTERVAL {int(bound_seconds)} SECONDS")
     cond = ((o["order_id"] == d["_d_order_id"])

@@ -9,8 +9,10 @@ from pyspark.sql import SparkSession
 
 # Defaults that matter for every job here: a fixed session zone (all date and
 # hour strings are derived in it), AQE for runtime coalescing, broadcast
-# conversion from measured sizes and skew-join splitting, and no web UI.
+# conversion from measured sizes and skew-join splitting, key lists of table
+# lookups tested value by value against parquet's bloom filters, and no web UI.
 BASE_CONF = {
+    "spark.sql.parquet.pushdown.inFilterThreshold": "500",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

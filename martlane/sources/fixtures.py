@@ -31,6 +31,7 @@ EVID_BY_EVENT_TYPE = {
     "signup": "addFavor",
     "error": "addComment",
 }
+VIEW_KINDS = 4                    # evid 'view_' || event_id % 4 of every third view
 ORDER_TIME_MULT = 7919            # create_time = o_orderdate + (key * 7919) % 86400 s
 SECONDS_PER_DAY = 86400
 TEL_MULT = 1234577                # tel = '1' || lpad((key * 1234577) % 1e10, 10, '0')
@@ -120,7 +121,10 @@ def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(APP_ID).alias("appid"),
         _null_str("area"), _null_str("os"), _null_str("ch"),
         F.lit("event").alias("type"),
-        _evid(F.col("event_type")).alias("evid"),
+        # every third view has an id of its own kind: ids are not a closed list
+        F.when((F.col("event_type") == "view") & (F.col("event_id") % 3 == 0),
+               F.concat(F.lit("view_"), _str(F.col("event_id") % VIEW_KINDS)))
+        .otherwise(_evid(F.col("event_type"))).alias("evid"),
         _null_str("pgid"), _null_str("npgid"),
         F.get_json_object("props", "$.k").alias("itemid"),
         epoch_ms("ts").alias("ts"),

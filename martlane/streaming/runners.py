@@ -10,6 +10,8 @@ Every runner returns the started ``StreamingQuery``.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +20,9 @@ from martlane.plans import search
 from martlane.schemas import DAU_COLUMNS, ORDER_COLUMNS, SALE_COLUMNS
 from martlane.sources import cdc, topics
 from martlane.sources.tables import AppendTable, checkpoint_query_id
+from martlane.sources.topics import POSITION
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
-USER_BUCKETS = 16
 
 
 def dau_table(spark, root: str) -> AppendTable:
@@ -34,7 +36,8 @@ def order_table(spark, root: str) -> AppendTable:
 
 
 def user_table(spark, root: str) -> AppendTable:
-    return AppendTable(spark, root, ["id"], "bucket", ["seq"])
+    """Profiles by id: the largest ``seq`` stands, then the last to arrive."""
+    return AppendTable(spark, root, ["id"], None, ["seq"], indexed=True)
 
 
 def sale_table(spark, root: str) -> AppendTable:
@@ -46,7 +49,12 @@ def alert_table(spark, root: str) -> AppendTable:
     return AppendTable(spark, root, ["alert_id"], "alert_date", ["ts"])
 
 
-def _start(df: DataFrame, fn, checkpoint: str, trigger: dict | None):
+def _with_position(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns``, and the record's position where the topic reader gave one."""
+    return df.select(*columns, *([POSITION] if POSITION in df.columns else []))
+
+
+def start_batches(df: DataFrame, fn, checkpoint: str, trigger: dict | None):
     """``fn(batch, query id, batch id)`` for every micro-batch."""
     spark, known = df.sparkSession, []
 
@@ -76,13 +84,37 @@ def dau_batch(table: AppendTable):
     return write
 
 
-def start_collector_stream(logs: DataFrame, checkpoint: str, trigger: dict | None = None,
+def collector_batch(bootstrap_servers: str | None, root: str | None, as_of_ms: int | None,
+                    raw_log: str | None, rejects: str | None):
+    """foreachBatch body: client log lines, stamped once, to the raw log and to
+    the startup and event topics; what is no JSON object to the reject table."""
+    def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
+        now = int(time.time() * 1000) if as_of_ms is None else as_of_ms
+        lines = batch.select(F.col("value").alias("line"), topics.stamp_json(F.col("value"), now).alias("value"))
+        lines = lines.persist()
+        try:
+            good = lines.filter("value is not null").withColumn("type", F.get_json_object("value", "$.type"))
+            if raw_log:
+                topics.persist_raw_log(good.select("value", F.lit(now).cast("long").alias("ts")), raw_log,
+                                       query_id, batch_id)
+            if rejects:
+                bad = lines.filter("value is null").select(F.col("line").alias("value"),
+                                                           F.lit(topics.MALFORMED).alias("reason"))
+                topics.keep_rejected(bad, rejects, topics.TOPIC_LOG, query_id, batch_id)
+            topics.write_topic(topics.route_logs(good), bootstrap_servers, root, query_id, batch_id)
+        finally:
+            lines.unpersist()
+    return write
+
+
+def start_collector_stream(lines: DataFrame, checkpoint: str, trigger: dict | None = None,
                            bootstrap_servers: str | None = None, root: str | None = None,
-                           as_of_ms: int | None = None):
-    """Client logs -> stamped, routed, published to the startup and event topics."""
-    routed = topics.route_logs(topics.stamp_ingest_ts(logs, as_of_ms))
-    records = topics.to_topic_records(routed, F.col("topic"), exclude=("topic",))
-    return topics.write_topic_stream(records, checkpoint, bootstrap_servers, root, trigger)
+                           as_of_ms: int | None = None, raw_log: str | None = None,
+                           rejects: str | None = None):
+    """Client log lines (``value``) -> stamped, routed, published to the startup
+    and event topics with all their fields; the same lines to ``raw_log``."""
+    return start_batches(lines.select("value"), collector_batch(bootstrap_servers, root, as_of_ms, raw_log, rejects),
+                         checkpoint, trigger)
 
 
 def start_capture_stream(changes: DataFrame, checkpoint: str, trigger: dict | None = None,
@@ -93,28 +125,53 @@ def start_capture_stream(changes: DataFrame, checkpoint: str, trigger: dict | No
                                      root, trigger)
 
 
+def start_reject_stream(records: DataFrame, schema, required: str, topic: str, rejects: str,
+                        checkpoint: str, trigger: dict | None = None):
+    """What the consumers of a topic cannot use -> reject table; the query's
+    progress counts records and rejected ones (``observedMetrics``)."""
+    checked = topics.checked_records(records, schema, required)
+    counted = checked.observe(topic, F.count(F.lit(1)).alias("records"), F.count("reason").alias("rejected"))
+
+    def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
+        topics.keep_rejected(batch, rejects, topic, query_id, batch_id)
+
+    return start_batches(counted.filter(F.col("reason").isNotNull()), write, checkpoint, trigger)
+
+
 def start_dau_stream(startup_logs: DataFrame, table_root: str, checkpoint: str,
                      trigger: dict | None = None):
     """Startup logs -> one row per (device, day) in the DAU table."""
     table = dau_table(startup_logs.sparkSession, table_root)
-    return _start(startup_logs, dau_batch(table), checkpoint, trigger)
+    return start_batches(startup_logs, dau_batch(table), checkpoint, trigger)
 
 
-def dau_stream_stateful(startup_logs: DataFrame) -> DataFrame:
-    """Pure streaming alternative: ``dropDuplicates(['mid', 'log_date'])``.
+def dau_stream_stateful(startup_logs: DataFrame, watermark: str = "1 day") -> DataFrame:
+    """Pure streaming alternative: ``dropDuplicatesWithinWatermark``.
 
-    Keeps the first row Spark sees per key; its state is never evicted
-    because neither key is the watermark column, so use it only for
-    bounded runs.  The foreachBatch runner keeps its state in the table.
+    Keeps the first row Spark sees per (device, day) and forgets the pair once
+    the watermark is a day past it, so state holds about two days of devices
+    however long the stream runs.  On input in order of time this is the batch
+    result; a log that comes more than the watermark late is dropped, where the
+    foreachBatch runner, whose state is the table, would still find its place.
     """
-    return dau.with_log_date_hour(startup_logs).dropDuplicates(dau.DAU_KEY).select(*DAU_COLUMNS)
+    logs = dau.with_log_date_hour(startup_logs).withColumn("_time", F.timestamp_millis("ts"))
+    firsts = logs.withWatermark("_time", watermark).dropDuplicatesWithinWatermark(dau.DAU_KEY)
+    return firsts.select(*DAU_COLUMNS)
+
+
+def start_dau_stateful_stream(startup_logs: DataFrame, table_root: str, checkpoint: str,
+                              trigger: dict | None = None, watermark: str = "1 day"):
+    """The same rows into the DAU table, without a look at the table."""
+    table = dau_table(startup_logs.sparkSession, table_root)
+    return start_batches(dau_stream_stateful(startup_logs, watermark),
+                         lambda batch, query, number: table.append(batch, query, number), checkpoint, trigger)
 
 
 # ----------------------------------------------------------------- orders
 
 def order_batch(table: AppendTable):
     def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
-        cleaned = orders.orders_clean(batch).select(*ORDER_COLUMNS)
+        cleaned = _with_position(orders.orders_clean(batch), ORDER_COLUMNS)
         table.append(cleaned, query_id, batch_id)
     return write
 
@@ -123,12 +180,12 @@ def start_order_stream(raw_orders: DataFrame, table_root: str, checkpoint: str,
                        trigger: dict | None = None):
     """Order records -> masked, dated orders in the order table (key ``id``)."""
     table = order_table(raw_orders.sparkSession, table_root)
-    return _start(raw_orders, order_batch(table), checkpoint, trigger)
+    return start_batches(raw_orders, order_batch(table), checkpoint, trigger)
 
 
 def first_order_table(spark, root: str) -> AppendTable:
     """Per user the earliest order of each batch; the earliest of all on read."""
-    return AppendTable(spark, root, ["user_id"], "create_date", ["create_time", "id"], latest=False)
+    return AppendTable(spark, root, ["user_id"], None, ["create_time", "id"], latest=False)
 
 
 def first_order_batch(table: AppendTable, firsts: AppendTable):
@@ -139,10 +196,9 @@ def first_order_batch(table: AppendTable, firsts: AppendTable):
     def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
         batch.persist()
         try:
-            cleaned = orders.orders_clean(batch).select(*ORDER_COLUMNS)
+            cleaned = _with_position(orders.orders_clean(batch), ORDER_COLUMNS)
             table.append(cleaned, query_id, batch_id)
-            early = orders.first_orders(cleaned)
-            firsts.append(early.withColumn("create_date", F.substring("create_time", 1, 10)), query_id, batch_id)
+            firsts.append(orders.first_orders(cleaned), query_id, batch_id)
         finally:
             batch.unpersist()
     return write
@@ -160,20 +216,16 @@ def start_first_order_stream(raw_orders: DataFrame, table_root: str, firsts_root
                              checkpoint: str, trigger: dict | None = None):
     """Order records -> order table and first orders; read them with ``flagged_orders``."""
     spark = raw_orders.sparkSession
-    return _start(raw_orders, first_order_batch(order_table(spark, table_root),
+    return start_batches(raw_orders, first_order_batch(order_table(spark, table_root),
                                                 first_order_table(spark, firsts_root)),
                   checkpoint, trigger)
 
 
 # ------------------------------------------------------------------ users
 
-def with_user_bucket(users: DataFrame) -> DataFrame:
-    return users.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(USER_BUCKETS)).cast("string"))
-
-
 def user_batch(table: AppendTable):
     def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
-        table.append(with_user_bucket(batch), query_id, batch_id)
+        table.append(batch, query_id, batch_id)
     return write
 
 
@@ -181,49 +233,29 @@ def start_user_stream(raw_users: DataFrame, table_root: str, checkpoint: str,
                       trigger: dict | None = None):
     """User records -> latest profile per id (no expiry, last write wins)."""
     table = user_table(raw_users.sparkSession, table_root)
-    return _start(raw_users, user_batch(table), checkpoint, trigger)
+    return start_batches(raw_users, user_batch(table), checkpoint, trigger)
 
 
 # ------------------------------------------------------------------ sales
 
-class SnapshotCache:
-    """The last state of a slowly changing table, persisted.
-
-    Re-read (and re-persisted) only when the table has a new batch,
-    so a micro-batch joins against executor-cached rows instead of
-    re-scanning the dimension's files every trigger.
-    """
-
-    def __init__(self, table: AppendTable):
-        self.table = table
-        self.version = None
-        self.df = None
-
-    def get(self) -> DataFrame | None:
-        version = self.table.folders()
-        if version != self.version:
-            if self.df is not None:
-                self.df.unpersist()
-            fresh = self.table.read()
-            self.df = fresh.persist() if fresh is not None else None
-            self.version = version
-        return self.df
+USER_SCHEMA = "id string, login_name string, user_level string, birthday string, gender string, seq long"
 
 
 def sale_batch(table: AppendTable, users: AppendTable, as_of: str | None):
-    """foreachBatch body: enrich with the last committed user snapshot, upsert."""
-    cache = SnapshotCache(users)
-
+    """foreachBatch body: enrich with the committed profiles of the batch's
+    users, found by the user table's key index, and upsert."""
     def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
-        snapshot = cache.get()
-        if snapshot is None:
-            snapshot = batch.sparkSession.createDataFrame(
-                [], "id string, login_name string, user_level string, birthday string, "
-                    "gender string, seq long")
-        day = as_of or F.current_date()
-        enriched = sales.enrich_user(sales.sale_detail(batch), snapshot, day)
-        docs = search.with_terms(enriched.select(*SALE_COLUMNS))   # analysed at index time
-        table.append(docs, query_id, batch_id)
+        batch.persist()
+        try:
+            known = users.lookup(batch.select(F.col("user_id").alias("id")))
+            if known is None:
+                known = batch.sparkSession.createDataFrame([], USER_SCHEMA)
+            day = as_of or F.current_date()
+            enriched = sales.enrich_user(sales.sale_detail(batch), known, day)
+            docs = search.with_terms(_with_position(enriched, SALE_COLUMNS))   # analysed at index time
+            table.append(docs, query_id, batch_id)
+        finally:
+            batch.unpersist()
     return write
 
 
@@ -235,7 +267,7 @@ def start_sale_stream(raw_orders: DataFrame, raw_details: DataFrame, table_root:
     spark = raw_orders.sparkSession
     joined = sales.sale_join_stream(orders.orders_clean(raw_orders), raw_details,
                                     bound_seconds, watermark)
-    return _start(joined, sale_batch(sale_table(spark, table_root), user_table(spark, user_root),
+    return start_batches(joined, sale_batch(sale_table(spark, table_root), user_table(spark, user_root),
                                      as_of), checkpoint, trigger)
 
 
@@ -262,5 +294,5 @@ def start_alert_stream(events: DataFrame, table_root: str, checkpoint: str,
                        watermark: str = "1 minute", trigger: dict | None = None):
     """Event logs -> coupon alerts (append once a window closes) -> alert index."""
     values = alerts.alert_values_stream(events, window_seconds, slide_seconds, watermark)
-    return _start(values, alert_batch(alert_table(events.sparkSession, table_root),
+    return start_batches(values, alert_batch(alert_table(events.sparkSession, table_root),
                                       window_seconds, min_uids), checkpoint, trigger)
