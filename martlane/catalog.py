@@ -7,6 +7,7 @@ the fixture parameters from FIXTURES.md.  The matching DuckDB SQL lives in
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from martlane.functions.scalar import age_365, age_band
 from martlane.operators import alerts, dau, orders, sales
 from martlane.plans import dashboard, search
 from martlane.plans.derived import derived_table
+from martlane.schemas import CLIENT_LOG
 from martlane.sources import cdc, topics
 from martlane.streaming import runners
 from martlane.streaming.replay import replay
@@ -37,7 +39,12 @@ ALERT_SLIDE_SECONDS = 30 * 60
 COLLECTED_AT_MS = 1_704_067_200_000     # the collector's clock in its stream twin
 STREAM_BATCHES = 4                     # micro-batches a stream twin replays its input in
 ALERT_WATERMARK = "2 hours"
-SALE_WATERMARK = "1000 days"           # the replay packs years into 4 batches
+# The sale replay's clock runs so much faster than the tables' that the bound
+# of 90 days becomes the product's 300 s, under the product's own watermark.
+SALE_SPEEDUP = SALE_JOIN_BOUND_SECONDS // sales.JOIN_BOUND_SECONDS
+ALERT_HOUR_SECONDS = 3600              # bucket in which several windows share an alert id
+TOP_AGES = 5                           # fewer than there are ages: the size cuts
+BAD_EVERY, NO_MID_EVERY, BAD_TS_EVERY = 5, 7, 11   # broken lines of the reject fixture
 
 
 def _r(col: str):
@@ -213,6 +220,10 @@ def q_sale_age_terms(spark, d):
     return search.terms_agg(_report_hits(spark, d), "user_age", search.AGE_TERMS_SIZE)
 
 
+def q_sale_age_terms_top(spark, d):
+    return search.terms_agg(_report_hits(spark, d), "user_age", TOP_AGES)
+
+
 def q_sale_age_stat(spark, d):
     return search.age_stat(_report_hits(spark, d))
 
@@ -257,13 +268,13 @@ def _alert_values(spark, d) -> DataFrame:
                                                       ALERT_SLIDE_SECONDS), ["mid", "window_start"])
 
 
-def _alert_parts(spark, d):
+def _alert_parts(spark, d, bucket_seconds: int = alerts.BUCKET_SECONDS):
     return alerts.parts_from_values(_alert_values(spark, d), ALERT_WINDOW_SECONDS,
-                                    alerts.MIN_UIDS)
+                                    alerts.MIN_UIDS, bucket_seconds)
 
 
-def _alerts(spark, d) -> DataFrame:
-    return alerts.alert_documents(*_alert_parts(spark, d))
+def _alerts(spark, d, bucket_seconds: int = alerts.BUCKET_SECONDS) -> DataFrame:
+    return alerts.alert_documents(*_alert_parts(spark, d, bucket_seconds))
 
 
 def q_coupon_alert(spark, d):
@@ -274,8 +285,17 @@ def q_coupon_alert_per_bucket(spark, d):
     return alerts.alerts_flat(alerts.alert_per_bucket(_alerts(spark, d)))
 
 
+def q_coupon_alert_per_hour(spark, d):
+    return alerts.alerts_flat(alerts.alert_per_bucket(_alerts(spark, d, ALERT_HOUR_SECONDS)))
+
+
+def q_coupon_alert_events(spark, d):
+    return _alert_parts(spark, d)[3].select("alert_id", "ts", "evid", "n")
+
+
 def q_coupon_alert_header(spark, d):
-    header = _alert_parts(spark, d)[0]
+    parts = _alert_parts(spark, d)
+    header = alerts.with_events(parts[0], parts[3])
     return header.select("alert_id", "mid", "n_uids", "n_items",
                          alerts.events_text("events").alias("events"), "ts")
 
@@ -295,6 +315,30 @@ def q_route_logs(spark, d):
     return routed.select("topic", "log_id", "type", "mid", "uid", "evid", "itemid", "ts")
 
 
+def _broken_lines(spark, d) -> DataFrame:
+    """Client log lines of which some are cut short, lack ``mid`` or have a
+    ``ts`` that is no number; with the ``log_id`` they came from."""
+    line = F.to_json(F.struct("type", "mid", "uid", "evid", "itemid", "ts"))
+    no_mid = F.to_json(F.struct("type", "uid", "ts"))
+    bad_ts = F.regexp_replace(line, '"ts":', '"ts":"at ')
+    i = F.col("log_id")
+    value = (F.when(i % BAD_EVERY == 0, F.expr("substring(_line, 1, length(_line) - 3)"))
+             .when(i % NO_MID_EVERY == 0, no_mid)
+             .when(i % BAD_TS_EVERY == 0, F.concat(F.expr("substring(_bad, 1, length(_bad) - 1)"), F.lit('"}')))
+             .otherwise(F.col("_line")))
+    return fx.client_logs(spark, d).withColumns({"_line": line, "_bad": bad_ts}).select("log_id", value.alias("value"))
+
+
+def q_accepted_logs(spark, d):
+    parsed = topics.parse_records(_broken_lines(spark, d).select("value"), CLIENT_LOG, "mid")
+    return parsed.select("type", "mid", "uid", "evid", "itemid", "ts")
+
+
+def q_rejected_logs(spark, d):
+    rejected = topics.rejected_records(_broken_lines(spark, d).select("value"), CLIENT_LOG, "mid")
+    return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("ct"))
+
+
 def _changes(spark, d) -> DataFrame:
     """The captured change log of the three source tables (the CDC input).
 
@@ -338,6 +382,16 @@ def q_dau_stream(spark, d):
                                            "log_hour", "ts")
 
 
+def q_dau_stateful_stream(spark, d):
+    """Pure streaming first visits, on logs that come in order of time."""
+    start = lambda s, out, ck: runners.start_dau_stateful_stream(s[topics.TOPIC_STARTUP], out, ck,
+                                                                 AVAILABLE_NOW)
+    out, prog = replay(spark, {topics.TOPIC_STARTUP: (fx.startup_logs(spark, d), "ts")},
+                       2 * STREAM_BATCHES, start, "dau_stateful_stream", files_per_chunk=1)
+    LAST_PROGRESS["dau_stateful_stream"] = prog
+    return runners.dau_table(spark, out).read().select("mid", "log_date")
+
+
 def q_order_stream(spark, d):
     start = lambda s, out, ck: runners.start_order_stream(s[topics.TOPIC_ORDER], out, ck,
                                                           AVAILABLE_NOW)
@@ -363,16 +417,28 @@ def q_first_order_stream(spark, d):
         "id", "user_id", "create_time", "is_first_order")
 
 
+def q_user_stream(spark, d):
+    """Both versions of a profile in one micro-batch: the position decides."""
+    def start(s, out, ck):
+        users = s[topics.TOPIC_USER].drop("write_no").withColumn("seq", F.lit(0).cast("long"))
+        return runners.start_user_stream(users, out, ck, AVAILABLE_NOW)
+    versions = fx.user_profile_versions(spark, d).withColumnRenamed("seq", "write_no")
+    out, prog = replay(spark, {topics.TOPIC_USER: (versions, "write_no")}, STREAM_BATCHES, start,
+                       "user_stream", key_col="id")
+    LAST_PROGRESS["user_stream"] = prog
+    return runners.user_table(spark, out).read().select("id", "login_name", "user_level", "birthday", "gender")
+
+
 def q_sale_stream(spark, d):
     def start(s, out, ck):
         users = runners.user_table(spark, f"{out}/users")
-        users.append(runners.with_user_bucket(fx.user_info_raw(spark, d)), "load", 0)
+        users.append(fx.user_info_raw(spark, d), "load", 0)
         return runners.start_sale_stream(s[topics.TOPIC_ORDER], s[topics.TOPIC_ORDER_DETAIL],
                                          f"{out}/sales", f"{out}/users", ck,
-                                         SALE_JOIN_BOUND_SECONDS, SALE_WATERMARK, fx.USER_AS_OF,
-                                         AVAILABLE_NOW)
-    sources = {topics.TOPIC_ORDER: (fx.order_info_raw(spark, d), "ts"),
-               topics.TOPIC_ORDER_DETAIL: (fx.order_detail_raw(spark, d).drop("version"), "ts")}
+                                         as_of=fx.USER_AS_OF, trigger=AVAILABLE_NOW)
+    fast = lambda df: df.withColumn("ts", F.expr(f"ts div {SALE_SPEEDUP}"))
+    sources = {topics.TOPIC_ORDER: (fast(fx.order_info_raw(spark, d)), "ts"),
+               topics.TOPIC_ORDER_DETAIL: (fast(fx.order_detail_raw(spark, d)).drop("version"), "ts")}
     out, prog = replay(spark, sources, STREAM_BATCHES, start, "sale_stream")
     LAST_PROGRESS["sale_stream"] = prog
     return runners.sale_table(spark, f"{out}/sales").read().drop(search.TERMS_COL)
@@ -403,7 +469,8 @@ def q_alert_stream(spark, d):
 
 def _published(spark, out, *names) -> DataFrame:
     """``(topic, value)`` of the topics that a producer wrote below ``out``."""
-    return spark.read.text(out).filter(F.col("topic").isin(*names)).select("topic", "value")
+    of = [topics.read_topic_batch(spark, n, out).select(F.lit(n).alias("topic"), "value") for n in names]
+    return functools.reduce(DataFrame.unionByName, of)
 
 
 def q_collector_stream(spark, d):
@@ -411,7 +478,7 @@ def q_collector_stream(spark, d):
     start = lambda s, out, ck: runners.start_collector_stream(
         s[topics.TOPIC_LOG], ck, AVAILABLE_NOW, root=out, as_of_ms=COLLECTED_AT_MS)
     out, prog = replay(spark, {topics.TOPIC_LOG: (logs, "ts")}, STREAM_BATCHES, start,
-                       "collector_stream")
+                       "collector_stream", parse=False)
     LAST_PROGRESS["collector_stream"] = prog
     got = _published(spark, out, topics.TOPIC_STARTUP, topics.TOPIC_EVENT)
     return got.select("topic", F.from_json("value", logs.schema).alias("r")).select(
@@ -431,8 +498,10 @@ STREAM_QUERIES = {
     "collector_stream": q_collector_stream,
     "capture_stream": q_capture_stream,
     "dau_stream": q_dau_stream,
+    "dau_stateful_stream": q_dau_stateful_stream,
     "order_stream": q_order_stream,
     "first_order_stream": q_first_order_stream,
+    "user_stream": q_user_stream,
     "sale_stream": q_sale_stream,
     "alert_stream": q_alert_stream,
 }
@@ -465,6 +534,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sale_search_day": q_sale_search_day,
     "sale_gender_terms": q_sale_gender_terms,
     "sale_age_terms": q_sale_age_terms,
+    "sale_age_terms_top": q_sale_age_terms_top,
     "sale_age_stat": q_sale_age_stat,
     "sale_gender_stat": q_sale_gender_stat,
     "sale_page": q_sale_page,
@@ -473,10 +543,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sale_report_detail": q_sale_report_detail,
     "coupon_alert": q_coupon_alert,
     "coupon_alert_per_bucket": q_coupon_alert_per_bucket,
+    "coupon_alert_per_hour": q_coupon_alert_per_hour,
+    "coupon_alert_events": q_coupon_alert_events,
     "coupon_alert_header": q_coupon_alert_header,
     "coupon_alert_uids": q_coupon_alert_uids,
     "coupon_alert_items": q_coupon_alert_items,
     "route_logs": q_route_logs,
+    "accepted_logs": q_accepted_logs,
+    "rejected_logs": q_rejected_logs,
     "cdc_after_image": q_cdc_after_image,
     "cdc_route": q_cdc_route,
     **STREAM_QUERIES,

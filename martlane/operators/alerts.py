@@ -13,13 +13,15 @@ aggregation has a map-side partial step.  Distinct accounts and items are
 computed as (device, window, value) groups - the value is in the key, so a
 device holding a third of all events spreads over tasks - and counted, not
 collected.  Alerts come out normalized: a header row per alert plus
-(alert, account) and (alert, item) rows; ``coupon_alerts`` gathers them
-into one document per alert when a sink needs that shape.
-
-Streaming plan (``alert_values_stream``): the same tagged values counted on
-``F.window`` with a watermark, emitted in append mode once a window closes;
-each micro-batch then turns its closed windows into alerts with the batch
-code (``parts_from_values``).
+(alert, event id, count), (alert, account) and (alert, item) rows, with
+whatever event ids the logs hold; ``coupon_alerts`` gathers them into one
+document per alert when a sink needs that shape.
+
+Streaming plan (``alert_values_stream``): the same in two chained stateful
+aggregations in append mode.  Events are counted per pane, a closed pane's
+rows are fanned out to the windows that contain it, and windows are emitted
+once the watermark has passed them; each micro-batch then turns its closed
+windows into alerts with the batch code (``parts_from_values``).
 """
 
 from __future__ import annotations
@@ -30,10 +32,8 @@ from pyspark.sql import functions as F
 from martlane.functions.scalar import alert_id
 from martlane.operators.common import pick_per_key
 
-# Event ids of the client app, the coupon and click ids, and
-# the demo window, slide and threshold.
-EVIDS = ("addFavor", "addComment", "addCart", "clickItem", "coupon")
-OTHER_EVID = "other"
+# The coupon and click event ids, and the demo window, slide and
+# threshold.
 COUPON = "coupon"
 CLICK = "clickItem"
 WINDOW_SECONDS = 30
@@ -42,10 +42,6 @@ MIN_UIDS = 3
 BUCKET_SECONDS = 60
 
 
-def _count_col(evid: str) -> str:
-    return f"n_{evid}"
-
-
 def _with_pane(events: DataFrame, slide_ms: int) -> DataFrame:
     # exact integer pane index, also for times before the epoch
     return events.withColumn("pane", ((F.col("ts") - F.pmod(F.col("ts"), F.lit(slide_ms)))
@@ -63,13 +59,12 @@ KIND_EVENT, KIND_UID, KIND_ITEM = "evid", "uid", "item"
 
 
 def _tagged(events: DataFrame) -> DataFrame:
-    """Each event as (mid, ts, kind, value) rows: its event id, and for a
-    coupon also its account and its item (nulls are not members)."""
+    """Each event as (mid, ts, kind, value) rows: its event id (none: empty), and
+    for a coupon also its account and its item (nulls are not members)."""
     evid = F.col("evid")
     is_coupon = evid == COUPON
-    known = F.when(evid.isin(*EVIDS), evid).otherwise(F.lit(OTHER_EVID))
     tags = F.array(
-        F.struct(F.lit(KIND_EVENT).alias("kind"), known.alias("value")),
+        F.struct(F.lit(KIND_EVENT).alias("kind"), F.coalesce(evid, F.lit("")).alias("value")),
         F.when(is_coupon & F.col("uid").isNotNull(),
                F.struct(F.lit(KIND_UID).alias("kind"), F.col("uid").alias("value"))),
         F.when(is_coupon & F.col("itemid").isNotNull(),
@@ -98,11 +93,12 @@ def window_values(events: DataFrame, window_seconds: int, slide_seconds: int) ->
 def coupon_alert_parts(events: DataFrame, window_seconds: int = WINDOW_SECONDS,
                        slide_seconds: int = SLIDE_SECONDS, min_uids: int = MIN_UIDS,
                        bucket_seconds: int = BUCKET_SECONDS):
-    """Batch alerts in normalized form: (header, uids, items).
+    """Batch alerts in normalized form: (header, uids, items, events).
 
-    header: alert_id, mid, window_start, n_uids, n_items, events [(evid, n)], ts
-    uids / items: (alert_id, ts, mid, window_start, uid / itemid) rows of
-    flagged windows; ``ts`` (the window end) tells windows of one minute apart.
+    header: alert_id, mid, window_start, n_uids, n_items, ts
+    uids / items / events: (alert_id, ts, mid, window_start, uid / itemid / evid
+    and n) rows of flagged windows; ``ts`` (the window end) tells windows of
+    one minute apart.
     Windows are ``[start, start + window)`` with starts on multiples of the
     slide since the epoch, the same alignment as ``F.window``.
     """
@@ -114,32 +110,25 @@ def coupon_alert_parts(events: DataFrame, window_seconds: int = WINDOW_SECONDS,
 
 def parts_from_values(values: DataFrame, window_seconds: int, min_uids: int = MIN_UIDS,
                       bucket_seconds: int = BUCKET_SECONDS):
-    """(header, uids, items) from per-window values (see ``window_values``)."""
+    """(header, uids, items, events) from per-window values (see ``window_values``)."""
     key = ["mid", "window_start"]
-    kind, value, n = F.col("kind"), F.col("value"), F.col("n")
-    per_evid = [F.coalesce(F.sum(F.when((kind == KIND_EVENT) & (value == e), n)), F.lit(0))
-                .alias(_count_col(e)) for e in EVIDS + (OTHER_EVID,)]
-    counts = values.groupBy(*key).agg(*per_evid,
-                                      F.count_if(kind == KIND_UID).alias("n_uids"),
-                                      F.count_if(kind == KIND_ITEM).alias("n_items"))
-    flagged = counts.filter((F.col("n_uids") >= min_uids) & (F.col(_count_col(CLICK)) == 0))
+    kind, value = F.col("kind"), F.col("value")
+    counts = values.groupBy(*key).agg(
+        F.count_if((kind == KIND_EVENT) & (value == CLICK)).alias("_clicks"),
+        F.count_if(kind == KIND_UID).alias("n_uids"),
+        F.count_if(kind == KIND_ITEM).alias("n_items"))
+    flagged = counts.filter((F.col("n_uids") >= min_uids) & (F.col("_clicks") == 0))
     flagged = flagged.withColumn("window_end", F.col("window_start") + F.lit(window_seconds * 1000))
-    pairs = F.array(*[F.struct(F.lit(e).alias("evid"), F.col(_count_col(e)).cast("long").alias("n"))
-                      for e in EVIDS + (OTHER_EVID,)])
     header = flagged.select(
         alert_id("mid", "window_end", bucket_seconds).alias("alert_id"), "mid", "window_start",
-        "n_uids", "n_items", F.array_sort(F.filter(pairs, lambda p: p["n"] > 0)).alias("events"),
-        F.col("window_end").alias("ts"))
-    # Catalyst pushes the kind filter below the aggregates, so the member
-    # side reads the (column-pruned) events a second time but carries only
-    # coupon accounts and items through its shuffles.
-    members = values.filter(kind != KIND_EVENT).join(
-        header.select("alert_id", "ts", *key), key, "inner")
-    return (header,
-            members.filter(kind == KIND_UID).select("alert_id", "ts", "mid", "window_start",
-                                                    value.alias("uid")),
-            members.filter(kind == KIND_ITEM).select("alert_id", "ts", "mid", "window_start",
-                                                     value.alias("itemid")))
+        "n_uids", "n_items", F.col("window_end").alias("ts"))
+    # Catalyst pushes the kind filter below the aggregates, so each member
+    # side reads the (column-pruned) values again but carries only its own
+    # kind through its shuffles.
+    members = values.join(header.select("alert_id", "ts", *key), key, "inner")
+    of = lambda k, *cols: members.filter(kind == k).select("alert_id", "ts", "mid", "window_start", *cols)
+    return (header, of(KIND_UID, value.alias("uid")), of(KIND_ITEM, value.alias("itemid")),
+            of(KIND_EVENT, value.alias("evid"), F.col("n").cast("long").alias("n")))
 
 
 def coupon_alerts(events: DataFrame, window_seconds: int = WINDOW_SECONDS,
@@ -158,12 +147,19 @@ def coupon_alerts(events: DataFrame, window_seconds: int = WINDOW_SECONDS,
                                                bucket_seconds))
 
 
-def alert_documents(header: DataFrame, uids: DataFrame, items: DataFrame) -> DataFrame:
-    """One document per flagged window: header plus sorted account and item arrays."""
+def with_events(header: DataFrame, events: DataFrame) -> DataFrame:
+    """``header`` with its events as an array of (evid, n), sorted by id."""
+    e = events.groupBy("mid", "window_start").agg(
+        F.array_sort(F.collect_list(F.struct("evid", "n"))).alias("events"))
+    return header.join(e, ["mid", "window_start"], "inner")
+
+
+def alert_documents(header: DataFrame, uids: DataFrame, items: DataFrame, events: DataFrame) -> DataFrame:
+    """One document per flagged window: header plus sorted account, item and event arrays."""
     key = ["mid", "window_start"]
     u = uids.groupBy(*key).agg(F.array_sort(F.collect_list("uid")).alias("uids"))
     i = items.groupBy(*key).agg(F.array_sort(F.collect_list("itemid")).alias("item_ids"))
-    out = header.join(u, key, "inner").join(i, key, "left")
+    out = with_events(header, events).join(u, key, "inner").join(i, key, "left")
     return out.select("alert_id", "mid", "uids",
                       F.coalesce(F.col("item_ids"), F.array().cast("array<string>")).alias("item_ids"),
                       "events", "ts")
@@ -185,17 +181,24 @@ def alert_values_stream(events: DataFrame, window_seconds: int = WINDOW_SECONDS,
                         watermark: str = "1 minute") -> DataFrame:
     """Streaming ``window_values``: (mid, window_start, kind, value, n) per closed window.
 
-    One stateful aggregation over ``F.window`` with a watermark on the event
-    time, appended once the watermark passes the window end: every row of
-    a window arrives in the same micro-batch.  State is one count per
-    (window, device, kind, value), spread over keys by account, so no state
-    entry grows with a device's number of accounts.  ``events`` carries
-    epoch-ms ``ts``.
+    Two stateful aggregations, chained, with a watermark on the event time.
+    The first counts per (device, slide-long pane, kind, value); a pane is
+    emitted once the watermark has passed it, and only then meets the
+    ``window / slide`` windows that contain it, by its ``window_time``, in the
+    second.  So what is multiplied are panes, not events.  A window's rows are
+    emitted when the watermark passes its end, all in one micro-batch.  State
+    is one count per (pane or window, device, kind, value), spread over keys by
+    account, so no state entry grows with a device's number of accounts.
+    ``events`` carries epoch-ms ``ts``.
     """
+    if window_seconds % slide_seconds:
+        raise ValueError("window must be a whole number of slides")
     timed = _tagged(events).withColumn("event_time", F.timestamp_millis(F.col("ts")))
     timed = timed.withWatermark("event_time", watermark)
-    w = F.window("event_time", f"{window_seconds} seconds", f"{slide_seconds} seconds")
-    agg = timed.groupBy(w.alias("w"), "mid", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    pane = F.window("event_time", f"{slide_seconds} seconds")
+    panes = timed.groupBy(pane.alias("p"), "mid", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    w = F.window(F.window_time("p"), f"{window_seconds} seconds", f"{slide_seconds} seconds")
+    agg = panes.groupBy(w.alias("w"), "mid", "kind", "value").agg(F.sum("n").alias("n"))
     return agg.select("mid", F.unix_millis(F.col("w.start")).alias("window_start"),
                       "kind", "value", "n")
 
@@ -206,7 +209,7 @@ def alert_per_bucket(alerts: DataFrame) -> DataFrame:
 
 
 def events_text(col: str | Column) -> Column:
-    """``[(evid, n)]`` -> ``'evid:n,evid:n'`` (bounded: one pair per event id)."""
+    """``[(evid, n)]`` -> ``'evid:n,evid:n'``, one pair per event id."""
     c = F.col(col) if isinstance(col, str) else col
     return F.array_join(F.transform(c, lambda p: F.concat(p["evid"], F.lit(":"),
                                                           p["n"].cast("string"))), ",")

@@ -277,14 +277,17 @@ SQL["sale_report_stat"] = _with(HITS) + " UNION ALL ".join(
 SQL["sale_report_detail"] = _with(HITS) + \
     f"SELECT * FROM {DAY_HITS} ORDER BY order_detail_id LIMIT 10 OFFSET 10"
 
+SQL["sale_age_terms_top"] = SQL["sale_age_terms"].replace("LIMIT 100", "LIMIT 5")
+
 # ------------------------------------------------------------------ alerts
 
 EVENT_LOG = """
 ev AS (
   SELECT 'mid_' || CAST(user_id % 5 AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,
          CASE event_type WHEN 'purchase' THEN 'coupon' WHEN 'click' THEN 'clickItem'
-              WHEN 'view' THEN 'addCart' WHEN 'signup' THEN 'addFavor'
-              WHEN 'error' THEN 'addComment' END AS evid,
+              WHEN 'view' THEN CASE WHEN event_id % 3 = 0 THEN 'view_' || CAST(event_id % 4 AS VARCHAR)
+                                    ELSE 'addCart' END
+              WHEN 'signup' THEN 'addFavor' WHEN 'error' THEN 'addComment' END AS evid,
          json_extract_string(props, '$.k') AS itemid,
          epoch_us(ts) // 1000 AS ts
   FROM events)"""
@@ -292,10 +295,6 @@ ev AS (
 
 def _alerts_sql(window_ms: int, slide_ms: int, min_uids: int) -> str:
     n = window_ms // slide_ms
-    counts = ",\n".join(f"count(*) FILTER (WHERE evid = '{e}') AS n_{e}"
-                        for e in ("addFavor", "addComment", "addCart", "clickItem", "coupon"))
-    pairs = ", ".join(f"CASE WHEN n_{e} > 0 THEN '{e}:' || CAST(n_{e} AS VARCHAR) END"
-                      for e in ("addCart", "addComment", "addFavor", "clickItem", "coupon"))
     return f"""
 win AS (
   SELECT mid, (ts // {slide_ms} - k) * {slide_ms} AS window_start, uid, evid, itemid
@@ -304,14 +303,20 @@ agg AS (
   SELECT mid, window_start,
          list_sort(list_distinct(list(uid) FILTER (WHERE evid = 'coupon'))) AS uids,
          list_sort(list_distinct(list(itemid) FILTER (WHERE evid = 'coupon'))) AS item_ids,
-         {counts}
+         count(*) FILTER (WHERE evid = 'clickItem') AS clicks
   FROM win GROUP BY mid, window_start),
+per_evid AS (SELECT mid, window_start, evid, count(*) AS n FROM win GROUP BY mid, window_start, evid),
+alert_events AS (
+  SELECT mid || '_' || CAST((window_start + {window_ms}) // 60000 AS VARCHAR) AS alert_id,
+         window_start + {window_ms} AS ts, mid, window_start, evid, n
+  FROM per_evid JOIN agg USING (mid, window_start) WHERE len(uids) >= {min_uids} AND clicks = 0),
 alerts AS (
   SELECT mid || '_' || CAST((window_start + {window_ms}) // 60000 AS VARCHAR) AS alert_id, mid,
          array_to_string(uids, ',') AS uids, array_to_string(item_ids, ',') AS item_ids,
-         concat_ws(',', {pairs}) AS events,
+         (SELECT string_agg(evid || ':' || CAST(n AS VARCHAR), ',' ORDER BY evid) FROM per_evid p
+          WHERE p.mid = agg.mid AND p.window_start = agg.window_start) AS events,
          window_start + {window_ms} AS ts
-  FROM agg WHERE len(uids) >= {min_uids} AND n_clickItem = 0)"""
+  FROM agg WHERE len(uids) >= {min_uids} AND clicks = 0)"""
 
 
 SQL["coupon_alert"] = _with(EVENT_LOG, _alerts_sql(7_200_000, 1_800_000, 3)) + \
@@ -327,6 +332,9 @@ FROM alerts"""
 SQL["coupon_alert_uids"] = _with(EVENT_LOG, _alerts_sql(7_200_000, 1_800_000, 3)) + """
 SELECT alert_id, ts, unnest(string_split(uids, ',')) AS uid FROM alerts"""
 
+SQL["coupon_alert_events"] = _with(EVENT_LOG, _alerts_sql(7_200_000, 1_800_000, 3)) + \
+    "SELECT alert_id, ts, evid, n FROM alert_events"
+
 SQL["coupon_alert_items"] = _with(EVENT_LOG, _alerts_sql(7_200_000, 1_800_000, 3)) + """
 SELECT alert_id, ts, unnest(string_split(item_ids, ',')) AS itemid FROM alerts
 WHERE item_ids <> ''"""
@@ -336,6 +344,13 @@ SELECT alert_id, mid, uids, item_ids, events, ts FROM (
   SELECT *, row_number() OVER (PARTITION BY alert_id ORDER BY ts DESC, mid DESC, uids DESC) AS rn
   FROM alerts) WHERE rn = 1"""
 
+SQL["coupon_alert_per_hour"] = _with(EVENT_LOG, _alerts_sql(7_200_000, 1_800_000, 3)) + """
+SELECT hour_id AS alert_id, mid, uids, item_ids, events, ts FROM (
+  SELECT *, mid || '_' || CAST(ts // 3600000 AS VARCHAR) AS hour_id,
+         row_number() OVER (PARTITION BY mid || '_' || CAST(ts // 3600000 AS VARCHAR)
+                            ORDER BY ts DESC, mid DESC, uids DESC) AS rn
+  FROM alerts) WHERE rn = 1"""
+
 # ------------------------------------------------------------------ ingest
 
 SQL["route_logs"] = """
@@ -392,6 +407,16 @@ FROM cdc_rows
 WHERE (table_name IN ('order_info', 'order_detail') AND event_type = 'INSERT')
    OR (table_name = 'user_info' AND event_type IN ('INSERT', 'UPDATE'))"""
 
+# Lines whose log id divides by 5 are cut short, else by 7 lack mid, else by 11
+# have a text in ts.
+SQL["accepted_logs"] = "SELECT type, mid, uid, evid, itemid, ts FROM (" + SQL["route_logs"] + """)
+WHERE log_id % 5 <> 0 AND log_id % 7 <> 0 AND log_id % 11 <> 0"""
+
+SQL["rejected_logs"] = """
+SELECT CASE WHEN event_id % 5 <> 0 AND event_id % 7 = 0 THEN 'no mid' ELSE 'malformed' END AS reason,
+       count(*) AS ct
+FROM events WHERE event_id % 5 = 0 OR event_id % 7 = 0 OR event_id % 11 = 0 GROUP BY 1"""
+
 # ------------------------------------------------------------ stream twins
 # The stream twins' sinks must equal the batch definitions: first visits,
 # cleaned orders, the time-bounded sale join (enriched, one row per line id),
@@ -400,6 +425,8 @@ WHERE (table_name IN ('order_info', 'order_detail') AND event_type = 'INSERT')
 
 SQL["dau_stream"] = SQL["dau_first_visits"]
 
+SQL["dau_stateful_stream"] = _with(FIRST_VISITS) + "SELECT mid, log_date FROM fv"
+
 SQL["collector_stream"] = "SELECT * REPLACE (CAST(1704067200000 AS BIGINT) AS ts) FROM (" + \
     SQL["route_logs"] + ")"
 
@@ -409,6 +436,8 @@ SQL["order_stream"] = SQL["orders_clean"]
 
 SQL["first_order_stream"] = SQL["first_order_flag"]
 
+SQL["user_stream"] = SQL["user_latest"]
+
 SQL["sale_stream"] = _with(SALE_INDEX, ORDER_TS) + """
 SELECT order_detail_id, order_id, order_status, create_time, user_id, sku_id, user_gender,
        user_age, user_level, sku_price, sku_name, dt

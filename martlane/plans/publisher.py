@@ -20,6 +20,9 @@ from martlane.streaming import runners
 from martlane.streaming.apps import TABLES
 
 
+COUNTS = (dashboard.METRIC_DAU[0], dashboard.METRIC_NEW_MID[0])   # metrics that are whole numbers
+
+
 def _table(spark: SparkSession, warehouse: str, job: str, schema: str, days=None) -> DataFrame:
     """The job's table; with ``days`` only their folders are read."""
     open_ = {"dau": runners.dau_table, "orders": runners.order_table, "sales": runners.sale_table}[job]
@@ -53,7 +56,10 @@ def realtime_hour(spark: SparkSession, warehouse: str, metric_id: str, date: str
     days = _with_day_before(date)
     out = dashboard.realtime_hour(metric_id, _first_visits(spark, warehouse, days),
                                   _orders(spark, warehouse, days), date)
-    return None if out is None else out.drop("date")
+    if out is None:
+        return None
+    kind = "long" if metric_id in COUNTS else "double"
+    return out.select("hour", F.col("today").cast(kind).alias("today"), F.col("yesterday").cast(kind).alias("yesterday"))
 
 
 def sale_detail(spark: SparkSession, warehouse: str, date: str, keyword: str, startpage: int,
@@ -67,7 +73,8 @@ def sale_detail(spark: SparkSession, warehouse: str, date: str, keyword: str, st
 
 
 def as_json(df: DataFrame, shape: str = "row") -> DataFrame:
-    """The endpoint body: one JSON object (``row``) or a JSON array of rows (``list``/``map``)."""
+    """The endpoint body: one JSON object (``row``), hour -> value maps (``map``), or a
+    JSON array of the headline's three metrics (``list``), counts as whole numbers."""
     if shape == "row":
         return df.select(F.to_json(F.struct(*df.columns)).alias("json"))
     if shape == "map":   # hour -> value maps of the hourly endpoint
@@ -75,4 +82,6 @@ def as_json(df: DataFrame, shape: str = "row") -> DataFrame:
             F.map_from_entries(F.collect_list(F.struct("hour", "today"))).alias("today"),
             F.map_from_entries(F.collect_list(F.struct("hour", "yesterday"))).alias("yesterday"),
         )).alias("json"))
-    return df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("json"))
+    value = F.when(F.col("id").isin(*COUNTS), F.to_json(F.struct("id", "name", F.col("value").cast("long").alias("value"))))
+    one = F.coalesce(value, F.to_json(F.struct("id", "name", "value")))
+    return df.agg(F.concat(F.lit("["), F.array_join(F.collect_list(one), ","), F.lit("]")).alias("json"))

@@ -211,7 +211,7 @@ def test_coupon_alert_parts_match_documents(spark):
           ("m3", "1", "coupon", "1", base), ("m3", "2", "coupon", "1", base),
           ("m3", "3", "coupon", "1", base), ("m3", "3", "clickItem", "1", base + 10)]
     df = spark.createDataFrame(ev, EV)
-    header, uids, items = alerts.coupon_alert_parts(df, 30, 5, 3)
+    header, uids, items, events = alerts.coupon_alert_parts(df, 30, 5, 3)
     # windows ending in the same minute share an alert id: the window end tells them apart
     docs = {(r.alert_id, r.ts): r for r in alerts.coupon_alerts(df, 30, 5, 3).collect()}
     heads = {(r.alert_id, r.ts): r for r in header.collect()}
@@ -220,3 +220,18 @@ def test_coupon_alert_parts_match_documents(spark):
         assert h.n_uids == len(docs[aid].uids) == 3
         assert h.n_items == len(docs[aid].item_ids) == 1        # null item ids are not items
     assert uids.count() == 18 and items.count() == 6
+    got = {(r.alert_id, r.ts): {} for r in events.collect()}
+    for r in events.collect():
+        got[r.alert_id, r.ts][r.evid] = r.n
+    assert got == {k: {e.evid: e.n for e in d.events} for k, d in docs.items()}
+
+
+def test_alert_keeps_every_event_id(spark):
+    base = 1_700_000_000_000 - 1_700_000_000_000 % 30_000
+    ev = [("m", str(i), "coupon", "10", base + i) for i in range(3)]
+    ev += [("m", "1", f"kind_{i % 40}", None, base + 5) for i in range(60)] + [("m", "1", None, None, base + 6)]
+    df = spark.createDataFrame(ev, EV)
+    events = alerts.coupon_alert_parts(df, 30, 30, 3)[3].collect()
+    assert {r.evid: r.n for r in events} == {"coupon": 3, "": 1} | {f"kind_{i}": 1 + (i < 20) for i in range(40)}
+    doc = alerts.coupon_alerts(df, 30, 30, 3).first()
+    assert len(doc.events) == 42 and {e.evid: e.n for e in doc.events} == {r.evid: r.n for r in events}

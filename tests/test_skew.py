@@ -77,8 +77,11 @@ def test_first_order_flag_with_hot_user(spark):
 
 def test_raw_log_and_topic_stream_sinks(spark, tmp_dir):
     logs = skewed_logs(spark).limit(100)
-    topics.persist_raw_log(logs, f"{tmp_dir}/raw")
-    assert spark.read.json(f"{tmp_dir}/raw").count() == 100
+    lines = topics.to_topic_records(logs, "raw").select("value").crossJoin(
+        spark.createDataFrame([(1_700_000_000_000,)], "ts long"))
+    topics.persist_raw_log(lines, f"{tmp_dir}/raw", "q", 0)
+    topics.persist_raw_log(lines, f"{tmp_dir}/raw", "q", 0)      # the batch again: its files are replaced
+    assert spark.read.json(f"{tmp_dir}/raw").filter("log_date = '2023-11-14'").count() == 100
     recs = topics.to_topic_records(topics.route_logs(logs.withColumn("type", F.lit("startup"))),
                                    F.col("topic"))
     topics.write_topic(recs, root=f"{tmp_dir}/topics")
@@ -93,7 +96,7 @@ def test_raw_log_and_topic_stream_sinks(spark, tmp_dir):
 def test_alert_parts_with_hot_device(spark):
     logs = skewed_logs(spark).select("mid", "uid", F.lit("coupon").alias("evid"),
                                      F.col("log_id").cast("string").alias("itemid"), "ts")
-    header, uids, items = alerts.coupon_alert_parts(logs, 3600, 600, 3)
+    header, uids, items, events = alerts.coupon_alert_parts(logs, 3600, 600, 3)
     hot = header.filter(F.col("mid") == "hot")
     assert hot.count() == (N * 60 // 600) + 5
     full = hot.filter(F.col("ts") == T0 + 7_200_000).first()
