@@ -2,12 +2,13 @@
 
 A Gaussian (2-stable) projection to m dimensions turns a distance d into
 d * sqrt(chi-square with m degrees of freedom).  The projected points of a
-block are indexed by a kd-tree; a query meets its projected neighbours in
-growing order of projected distance (leaf by leaf, leaves by the distance of
-their box) and verifies each with the original vectors.  It stops when the
-chi-square test holds: with r the projected distance of the next leaf and d_k
+block are indexed by a kd-tree.  A query opens the leaves whose box is near
+enough, meets the points in them in growing order of projected distance and
+verifies them with the original vectors, some at a time.  It stops when the
+chi-square test holds: with r the projected distance of the next point and d_k
 the k-th best verified distance, a vector nearer than d_k would have been met
-already with probability chi2_m(r^2 / d_k^2) >= ``confidence``.
+already with probability chi2_m(r^2 / d_k^2) >= ``confidence``.  The k-th best
+score of the first block is a floor for all others, so these start with a test.
 
 Largest inner product becomes nearest distance by one more component: with M
 the largest norm of the block, x gets sqrt(M^2 - |x|^2) and a query gets 0;
@@ -31,12 +32,13 @@ import math
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martlane.llm.vectors import best, search
+from martlane.llm.vectors import NO_FLOOR, best, search
 
-PROJECTED = 12
+PROJECTED = 24
 LEAF = 64
-CONFIDENCE = 0.97
-WAVE = 8  # leaves that a query visits before it tests again
+CONFIDENCE = 0.85
+WAVE = 256   # points verified before the first test; doubled each time
+CHUNK = 64   # queries whose projected distances are held at a time
 
 
 def chi_square_quantile(p: float, m: int) -> float:
@@ -77,62 +79,60 @@ def kd_tree(points: np.ndarray, leaf: int) -> tuple[np.ndarray, list[tuple[int,
 
 
 def search_block(queries: np.ndarray, query_rows: np.ndarray, vectors: np.ndarray, ids: np.ndarray,
-                 rows: np.ndarray, k: int, m: int = PROJECTED, confidence: float = CONFIDENCE):
-    """(query position, vector position, inner product) of the k found per query."""
+                 rows: np.ndarray, k: int, floors: np.ndarray, m: int = PROJECTED, confidence: float = CONFIDENCE,
+                 met: list | None = None):
+    """(query position, vector position, inner product) of the k found per
+    query; ``met`` takes the number of vectors verified for each."""
     norms = np.einsum("ij,ij->i", vectors, vectors)
     top = norms.max()
     lifted = np.sqrt(np.maximum(top - norms, 0))
     axes = np.random.default_rng(7).standard_normal((vectors.shape[1] + 1, m))
     points = vectors @ axes[:-1] + lifted[:, None] * axes[-1]
-    asked = queries @ axes[:-1]
     order, leaves = kd_tree(points, LEAF)
-    sorted_points, sorted_vectors = points[order], vectors[order]
-    low = np.stack([sorted_points[a:b].min(axis=0) for a, b in leaves])
-    high = np.stack([sorted_points[a:b].max(axis=0) for a, b in leaves])
-    size = np.array([b - a for a, b in leaves])
-    away = np.zeros((len(queries), len(leaves)))
-    for d in range(m):
-        x = asked[:, d, None]
-        away += np.square(np.maximum(np.maximum(low[:, d] - x, x - high[:, d]), 0))
-    visit = np.argsort(away, axis=1)
-    away = np.take_along_axis(away, visit, axis=1)
-
+    points, sorted_vectors = points[order], vectors[order]
+    low = np.stack([points[a:b].min(axis=0) for a, b in leaves])
+    high = np.stack([points[a:b].max(axis=0) for a, b in leaves])
+    leaf_of = np.empty(len(points), np.int32)
+    for i, (a, b) in enumerate(leaves):
+        leaf_of[a:b] = i
+    point_square = np.einsum("ij,ij->i", points, points)
     own = {int(r): i for i, r in enumerate(rows)}
     own_at = np.array([own.get(int(r), -1) for r in query_rows])
     square = np.einsum("ij,ij->i", queries, queries)
     stop = chi_square_quantile(confidence, m)
-    kept_q = kept_v = np.empty(0, np.int64)
-    kept_s = np.empty(0)
-    floor = np.full(len(queries), -np.inf)   # k-th best inner product so far
-    active = np.arange(len(queries))
-    for at in range(0, len(leaves), WAVE):
-        if at:
-            distance = np.maximum(square[active] + top - 2 * floor[active], 1e-300)
-            active = active[~(away[active, at] >= stop * distance)]
-        if not len(active):
-            break
-        wave = visit[active, at:at + WAVE]
-        found_q, found_v = [kept_q], [kept_v]
-        for leaf in np.unique(wave):
-            a, b = leaves[leaf]
-            who = active[(wave == leaf).any(axis=1)]
-            scores = queries[who] @ sorted_vectors[a:b].T
-            # Slack for rounding: what may tie or win is scored again below.
-            slack = 1e-9 * (1 + np.abs(scores).max())
-            q, v = np.nonzero(scores >= floor[who][:, None] - slack)
-            found_q.append(who[q])
-            found_v.append(order[a + v])
-        q, v = np.concatenate(found_q), np.concatenate(found_v)
-        new = slice(len(kept_q), None)
-        score = np.concatenate([kept_s, np.einsum("ij,ij->i", queries[q[new]], vectors[v[new]])])
-        other = own_at[q] != v
-        q, v, score = q[other], v[other], score[other]
-        pick = best(q, v, score, ids, k)
-        kept_q, kept_v, kept_s = q[pick], v[pick], score[pick]
-        last = np.flatnonzero(np.bincount(kept_q, minlength=len(queries)) == k)
-        ends = np.searchsorted(kept_q, last, side="right") - 1
-        floor[last] = kept_s[ends]
-    return kept_q, kept_v, kept_s
+    reach = lambda i, score: stop * max(square[i] + top - 2 * score, 1e-300)
+    out_q, out_v, out_s = [], [], []
+    for lo in range(0, len(queries), CHUNK):
+        asked = queries[lo:lo + CHUNK] @ axes[:-1]
+        box = np.square(np.maximum(np.maximum(low - asked[:, None], asked[:, None] - high), 0)).sum(axis=2)
+        away = np.maximum(np.square(asked).sum(axis=1)[:, None] + point_square - 2 * (asked @ points.T), 0)
+        for i in range(lo, min(lo + CHUNK, len(queries))):
+            # leaves, then points, within the distance that the floor allows
+            radius = reach(i, floors[i]) if floors[i] > NO_FLOOR else np.inf
+            near = np.flatnonzero((box[i - lo] <= radius)[leaf_of] & (away[i - lo] < radius))
+            near = near[np.argsort(away[i - lo, near], kind="stable")]
+            far = away[i - lo, near]
+            kept, scores, at, wave = np.empty(0, np.int64), np.empty(0), 0, max(WAVE, k + 1)
+            while at < len(near):
+                if len(kept) == k and far[at] >= reach(i, scores.min()):
+                    break
+                new = near[at:at + wave]
+                at, wave = at + wave, 2 * wave
+                score = sorted_vectors[new] @ queries[i]
+                least = max(scores.min() if len(kept) == k else -np.inf, floors[i])
+                # slack for rounding: what may tie or win is scored again below
+                new = order[new[score >= least - 1e-9 * (1 + abs(least))]] if np.isfinite(least) else order[new]
+                new = new[new != own_at[i]]
+                both = np.concatenate([kept, new])
+                score = np.concatenate([scores, np.einsum("ij,j->i", vectors[new], queries[i])])
+                pick = best(np.zeros(len(both), np.int64), both, score, ids, k)
+                kept, scores = both[pick], score[pick]
+            if met is not None:
+                met.append(min(at, len(near)))
+            out_q.append(np.full(len(kept), i))
+            out_v.append(kept)
+            out_s.append(scores)
+    return np.concatenate(out_q), np.concatenate(out_v), np.concatenate(out_s)
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",

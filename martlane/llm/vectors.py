@@ -3,8 +3,10 @@
 Both searches deal the candidates into blocks of at most ``BLOCK`` rows (by
 row number, so no key can make a block large), build an index per block in
 one task, and pass the queries over each block's index in blocks of their
-own.  A block's best hits are merged per query by a window over at most
-k rows per query and block.
+own.  The first block is searched before the others: its k-th best score is a
+floor for every query, below which no candidate of another block can be among
+the k best.  Blocks' best hits are merged per query by a window over at most k
+rows per query and block.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from martlane.llm.common import ship_package, stored
 
 BLOCK = 8192        # candidate rows per index
 QUERY_BLOCK = 4096  # query rows that a task holds at a time
+NO_FLOOR = -(1 << 62)
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str, zero: bool) -> DataFrame:
@@ -62,9 +65,10 @@ def best(query: np.ndarray, member: np.ndarray, score: np.ndarray, ids: np.ndarr
 
 def search(vectors: DataFrame, k: int, is_query: Column, id_col: str, vector_col: str, zero: bool,
            prepare: Column, one_block, score_type: str, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """Run ``one_block(queries, query rows, candidates, their ids, their rows, k)``
-    -> (query position, candidate position, score) over every pair of a
-    candidate block and a query block of the same number of components."""
+    """Run ``one_block(queries, query rows, candidates, their ids, their rows, k,
+    floors)`` -> (query position, candidate position, score) over every pair of
+    a candidate block and a query block of the same number of components.  A
+    query's floor is ``NO_FLOOR`` where none is known."""
     ship_package(vectors.sparkSession)
     id_type = vectors.schema[id_col].dataType.simpleString()
     rows = stored(numbered(usable(vectors, id_col, vector_col, zero).withColumn("v", prepare)
@@ -83,14 +87,28 @@ def search(vectors: DataFrame, k: int, is_query: Column, id_col: str, vector_col
             members = members.sort_values("row", ignore_index=True)
             asked = asked.sort_values("row", ignore_index=True)
             q, c, s = one_block(matrix(asked["v"]), asked["row"].to_numpy(), matrix(members["v"]),
-                                members["id"].to_numpy(), members["row"].to_numpy(), k)
+                                members["id"].to_numpy(), members["row"].to_numpy(), k, asked["floor"].to_numpy())
             out = {"query_id": asked["id"].to_numpy()[q], "query_row": asked["row"].to_numpy()[q],
                    "vec_id": members["id"].to_numpy()[c], "vec_row": members["row"].to_numpy()[c], "score": s}
         return pd.DataFrame(out)
 
     keys = ["block", "qblock", "dim"]
-    hits = (left.select(*keys, "id", "row", "v").groupBy(*keys)
-            .cogroup(right.select(*keys, "id", "row", "v").groupBy(*keys))
-            .applyInPandas(run, f"query_id {id_type}, query_row long, vec_id {id_type}, vec_row long, "
-                                f"score {score_type}"))
-    return merge_top(hits, k, F.col("score"))
+
+    def hits(members: DataFrame, asked: DataFrame) -> DataFrame:
+        # columns of their own: both sides come from the same table
+        asked = asked.select(*keys, "id", "row", "v", "floor").toDF(*keys, "id", "row", "v", "floor")
+        return (members.select(*keys, "id", "row", "v").groupBy(*keys)
+                .cogroup(asked.groupBy(*keys))
+                .applyInPandas(run, f"query_id {id_type}, query_row long, vec_id {id_type}, vec_row long, "
+                                    f"score {score_type}"))
+
+    none = F.lit(NO_FLOOR).cast(score_type)
+    first = hits(left.filter("block = 0"), right.filter("block = 0").withColumn("floor", none))
+    if n_blocks == 1:
+        return merge_top(first, k, F.col("score"))
+    first = stored(first, "first-block")
+    floors = (first.groupBy("query_row").agg(F.count("*").alias("n"), F.min("score").alias("floor"))
+              .filter(F.col("n") == k).select(F.col("query_row").alias("row"), "floor"))
+    asked = (right.filter("block > 0").join(floors, "row", "left")
+             .withColumn("floor", F.coalesce("floor", none)))
+    return merge_top(first.unionByName(hits(left.filter("block > 0"), asked)), k, F.col("score"))
