@@ -10,9 +10,12 @@ is a lower bound of its row's score; what its unseen components can still add
 is bounded by the largest contribution not yet taken.
 
 Processing stops only on proof: rows whose upper bound is below the k-th
-largest lower bound cannot be members; once the possible members are few,
-they, and only they, are scored again exactly from the vectors.  Where the
+largest lower bound, or below the k-th best score of the first block (which
+every later block is given), cannot be members; once the possible members are
+few, they, and only they, are scored again exactly from the vectors.  Where the
 bounds never separate, all segments are taken and the result is exact too.
+Where contributions could add up to 2^36 or more, too large for an accumulator
+that also counts components exactly in double precision, all rows are scored from the vectors instead.
 
 Defined cases: vectors that are null, empty or hold null or non-finite
 components take no part, nor do rows without an id (zero vectors do take
@@ -30,24 +33,27 @@ from pyspark.sql import Column, DataFrame, functions as F
 from martlane.llm.vectors import best, search
 
 # Lower edges of the contribution bands, as parts of the largest contribution.
-BANDS = (0.25, 0.1, 0.0)
-FEW = 0.03  # possible members are scored again once they are so small a part
+BANDS = (0.08, 0.04, 0.0)
+FEW = 0.15  # possible members are scored again once they are so small a part
 
 
 def search_block(queries: np.ndarray, query_rows: np.ndarray, vectors: np.ndarray, ids: np.ndarray,
-                 rows: np.ndarray, k: int):
+                 rows: np.ndarray, k: int, floors: np.ndarray):
     """(query position, vector position, score) of each query's k best."""
     queries, vectors = queries.astype(np.int64), vectors.astype(np.int64)
     n, dims = vectors.shape
     order = np.argsort(vectors, axis=0, kind="stable").T.copy()          # rows by impact, per component
     impact = np.take_along_axis(vectors.T, order, axis=1)
+    packed = impact * 65536.0
     own = {int(r): i for i, r in enumerate(rows)}
     few = max(4 * k, int(FEW * n))
+    room = np.empty(n * dims, np.intp), np.empty(n * dims)
     out_q, out_v, out_s = [], [], []
     for i, query in enumerate(queries):
         mine = own.get(int(query_rows[i]), -1)
-        possible = _possible(query, order, impact, mine, k, few)
+        possible = _possible(query, order, impact, packed, mine, k, few, int(floors[i]), room)
         scores = vectors[possible] @ query
+        possible, scores = possible[scores >= floors[i]], scores[scores >= floors[i]]
         pick = best(np.zeros(len(possible), np.int64), possible, scores, ids, k)
         out_q.append(np.full(len(pick), i))
         out_v.append(possible[pick])
@@ -55,8 +61,10 @@ def search_block(queries: np.ndarray, query_rows: np.ndarray, vectors: np.ndarra
     return np.concatenate(out_q), np.concatenate(out_v), np.concatenate(out_s)
 
 
-def _possible(query: np.ndarray, order: np.ndarray, impact: np.ndarray, mine: int, k: int, few: int) -> np.ndarray:
-    """Rows that may be among the k best of the others than ``mine``."""
+def _possible(query: np.ndarray, order: np.ndarray, impact: np.ndarray, packed: np.ndarray, mine: int, k: int,
+              few: int, floor: int, room: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Rows that may be among the k best of the others than ``mine`` and score
+    ``floor`` or more."""
     dims, n = order.shape
     others = n - (mine >= 0)
     everyone = np.arange(n)
@@ -66,14 +74,17 @@ def _possible(query: np.ndarray, order: np.ndarray, impact: np.ndarray, mine: in
     least, most = ends.min(axis=0), ends.max(axis=0)
     live = np.flatnonzero(most > least)              # other components add the same to all
     reach = most - least
-    if float(np.abs(reach.astype(float)).sum()) >= 2.0**46 or dims >= 1 << 16:
+    if float(np.abs(reach.astype(float)).sum()) >= 2.0**36 or dims >= 1 << 16:
         return everyone[everyone != mine]            # too large for the packed accumulators
     # Contribution sum in the upper bits, number of components seen in the lower 16.
+    floor -= int(least.sum())                        # as a sum of contributions
     acc = np.zeros(n, np.int64)
+    segment_rows, segment_adds = room                # a band's postings
     taken = np.zeros(dims, np.int64)                 # postings taken so far, per component
     largest = int(reach.max(initial=0))
     for band in BANDS:
         edge = int(band * largest)
+        size = 0
         following = bound = 0                        # largest contribution left; sum over components
         for d in live:
             w = int(query[d])
@@ -89,14 +100,18 @@ def _possible(query: np.ndarray, order: np.ndarray, impact: np.ndarray, mine: in
                 taken[d] = max(taken[d], last)
                 rest = w * int(impact[d, last]) - int(least[d]) if last < n else 0
             if run.stop > run.start:
-                who = order[d, run]
-                acc[who] += ((w * impact[d, run] - least[d]) << 16) + 1
+                upto = size + run.stop - run.start
+                segment_rows[size:upto] = order[d, run]
+                np.multiply(packed[d, run], w, out=segment_adds[size:upto])
+                segment_adds[size:upto] += 1 - (int(least[d]) << 16)
+                size = upto
             following = max(following, rest)
             bound += rest
+        acc += np.bincount(segment_rows[:size], segment_adds[:size], n).astype(np.int64)
         lower = acc >> 16
         if mine >= 0:
             lower[mine] = -1
-        kth = int(np.partition(lower, n - k)[n - k])
+        kth = max(int(np.partition(lower, n - k)[n - k]), floor)
         upper = lower + np.minimum((len(live) - (acc & 0xFFFF)) * following, bound)
         may = upper >= kth
         if mine >= 0:

@@ -143,16 +143,16 @@ SQL: dict[str, str] = {
         """,
     "op8_impact_ordered_topk": """
         with v as (
-            select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as e
+            select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as e
             from embeddings
             where embedding is not null and len(embedding) > 0
               and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
         scored as (
-            select q.vec_id as query_id, c.vec_id,
+            select q.r as query_row, q.vec_id as query_id, c.r, c.vec_id,
                    cast(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) as bigint) as score
-            from v q join v c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id),
+            from v q join v c on q.vec_id % 20 = 0 and q.r <> c.r),
         ranked as (
-            select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank
+            select *, cast(row_number() over (partition by query_row order by score desc, vec_id, r) as integer) as rank
             from scored)
         select query_id, rank, vec_id, score from ranked where rank <= 20
         """,
