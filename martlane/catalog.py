@@ -208,6 +208,22 @@ def q_sale_search_day(spark, d):
     return search.sale_search(sale_index(spark, d), REPORT_KEYWORD, SEARCH_DAY)
 
 
+def sale_postings(spark, d) -> DataFrame:
+    """The index's posting table, built once per input, in the order of its terms."""
+    return derived_table(spark, "sale_postings", _src(d, "orders", "lineitem", "part", "customer"),
+                         lambda: search.posting_rows(sale_index(spark, d)).repartitionByRange("term", "dt"),
+                         ["term", "dt"])
+
+
+def q_sale_search_postings(spark, d):
+    return search.search_by_postings(sale_postings(spark, d), sale_index(spark, d), SEARCH_KEYWORD)
+
+
+def q_sale_page_after(spark, d):
+    before = search.page(_report_hits(spark, d), PAGE_NO - 1, PAGE_SIZE).agg(F.max("order_detail_id")).first()[0]
+    return search.page_after(_report_hits(spark, d), before, PAGE_SIZE)
+
+
 def _report_hits(spark, d):
     return search.sale_search(sale_index(spark, d), REPORT_KEYWORD)
 
@@ -537,7 +553,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sale_age_terms_top": q_sale_age_terms_top,
     "sale_age_stat": q_sale_age_stat,
     "sale_gender_stat": q_sale_gender_stat,
+    "sale_search_postings": q_sale_search_postings,
     "sale_page": q_sale_page,
+    "sale_page_after": q_sale_page_after,
     "sale_detail_report": q_sale_detail_report,
     "sale_report_stat": q_sale_report_stat,
     "sale_report_detail": q_sale_report_detail,

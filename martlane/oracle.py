@@ -277,6 +277,10 @@ SQL["sale_report_stat"] = _with(HITS) + " UNION ALL ".join(
 SQL["sale_report_detail"] = _with(HITS) + \
     f"SELECT * FROM {DAY_HITS} ORDER BY order_detail_id LIMIT 10 OFFSET 10"
 
+SQL["sale_search_postings"] = SQL["sale_search"]
+
+SQL["sale_page_after"] = SQL["sale_page"]
+
 SQL["sale_age_terms_top"] = SQL["sale_age_terms"].replace("LIMIT 100", "LIMIT 5")
 
 # ------------------------------------------------------------------ alerts

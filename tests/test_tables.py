@@ -175,9 +175,30 @@ def test_lookup_skips_row_groups(spark, tmp_dir):
     assert rows(by_join, "id", "v2") == rows(got, "id", "v2")
     assert "LeftSemi" in by_join._jdf.queryExecution().executedPlan().toString()
     absent = spark.createDataFrame([("3",)], "id string")            # inside the range of ids, in no row group
-    df = t.lookup(absent)
-    assert df.count() == 0
+    assert t.lookup(absent).count() == 0
+    read = t.rows().filter(F.col("id").isin("3"))                    # the scan below a lookup
+    assert read.collect() == []
+    scan = read._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().apply("numFiles").value() == 3 and scan.metrics().apply("numOutputRows").value() == 0
     import pyarrow.parquet as pq
     file = next(os.path.join(d, n) for d, _, names in os.walk(f"{tmp_dir}/t") for n in names if n.endswith(".parquet"))
     ids = pq.read_table(file, partitioning=None)["id"].to_pylist()
     assert ids == sorted(ids)
+
+
+def test_fold_job_over_the_warehouse(spark, tmp_dir):
+    from martlane.streaming import folding, runners
+    firsts = runners.first_order_table(spark, f"{tmp_dir}/first_order_users")
+    dau = runners.dau_table(spark, f"{tmp_dir}/dau")
+    for b in range(3):
+        dau.append(spark.createDataFrame([(f"m{i}", d, 10 - b) for i in range(4) for d in ("2024-01-15", "2024-01-16")],
+                                         "mid string, log_date string, ts long"), "q", b)
+        firsts.append(spark.createDataFrame([("u", str(b), f"2024-01-1{b} 00:00:00")],
+                                            "user_id string, id string, create_time string"), "q", b)
+    want, first = rows(dau.read()), rows(firsts.read())
+    done = folding.fold_days(spark, tmp_dir, ["2024-01-15"])
+    assert (done["dau"], done["first_order_users"], done["orders"]) == (4, 1, 0)
+    folding.main(["--warehouse", tmp_dir, "--retire"])
+    assert rows(dau.read()) == want and rows(firsts.read()) == first == [("u", "0", "2024-01-10 00:00:00")]
+    assert folders(f"{tmp_dir}/dau/q=q/{PART}=2024-01-15") == []
+    assert len(dau.rows(["2024-01-15"]).inputFiles()) == 1 and len(dau.rows(["2024-01-16"]).inputFiles()) == 3
