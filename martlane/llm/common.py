@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from martlane.session import scratch_path
 
@@ -39,16 +39,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, per_task: int | None = None) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage: a lost executor costs a reread of the files, not the
-    work that made them.
+    work that made them.  With ``per_task`` the rows are counted and read in
+    tasks of about so many: what follows on a small table then needs no
+    shuffle, whatever number of partitions shuffles have.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if per_task:
+        n = out.count()
+        out = out.coalesce(max(1, -(-n // per_task)))
+        out.small = n <= per_task
+    out.scratch = path
+    return out
+
+
+def together(df: DataFrame, small: bool, *keys: str) -> DataFrame:
+    """Rows of equal ``keys[0]`` in one task, in the order of ``keys``; ``small``:
+    the rows are few enough for one."""
+    dealt = df.coalesce(1) if small else df.repartition(keys[0])
+    return dealt.sortWithinPartitions(*keys)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete ``stored`` tables that nothing reads any more: what was made from
+    them has been stored itself."""
+    for t in tables:
+        sc = t.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(t.scratch)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def map_rows(df: DataFrame, schema: str | T.StructType, rows: Callable[..., Iterable[tuple]],
@@ -166,19 +190,24 @@ class WordCache(dict):
         return value
 
 
-def join_small(rows: DataFrame, named: DataFrame, key: str, count: str, parts: int = 200) -> DataFrame:
+def join_small(rows: DataFrame, named: DataFrame, key: str | list[str], count: str, parts: int = 200,
+               small: Column | None = None) -> DataFrame:
     """``rows`` joined with ``named``, which has one row per ``key`` and in
     ``count`` the key's number of rows.
 
     Keys with a ``parts``-th of all rows or more number at most ``parts``, so
     these are broadcast, and no key's rows gather in one task; the others meet
-    by a shuffle.
+    by a shuffle.  Where rows of ``named`` are of any length, ``small`` says
+    which may be broadcast.
     """
+    keys = [key] if isinstance(key, str) else key
     total = named.agg(F.sum(count)).first()[0] or 0
     frequent = F.col(count) * parts >= total
+    if small is not None:
+        frequent = frequent & small
     hot = F.broadcast(named.filter(frequent))
-    rare = rows.join(hot.select(key), key, "left_anti").join(named.filter(~frequent), key)
-    return rows.join(hot, key).unionByName(rare.select(*rows.columns, *(c for c in named.columns if c != key)))
+    rare = rows.join(hot.select(*keys), keys, "left_anti").join(named.filter(~frequent), keys)
+    return rows.join(hot, keys).unionByName(rare.select(*rows.columns, *(c for c in named.columns if c not in keys)))
 
 
 def held_out(doc_id, modulus: int, remainder: int):

@@ -42,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from martlane.llm.common import join_small, map_rows, ship_package, stored
+from martlane.llm.common import discard, join_small, map_rows, ship_package, stored, together
 from martlane.llm.graph import components
 
 WORDS = 3
@@ -50,6 +50,7 @@ SEED = 42
 DISTANCE = 2
 BUCKET = 64        # fingerprints of one key that are compared with each other
 PIECE = 1 << 16    # shingles hashed at a time
+ROWS = 500_000     # rows of fingerprints or keys that a task reads
 SEGMENTS = ((0, 22), (22, 21), (43, 21))   # first bit and length
 GENERATOR = 0b110001110101                 # of the Golay code, degree 11
 
@@ -149,7 +150,7 @@ def keyed(distinct: DataFrame) -> DataFrame:
     return distinct.select("fp").mapInArrow(run, "key long, fp long")
 
 
-def bucket_links(members: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def bucket_links(members: DataFrame, small: bool = False, distance: int = DISTANCE) -> DataFrame:
     """(a, b): links between the fingerprints of each key (key, fp; at most
     ``BUCKET`` a key), those that join what the ones before have not joined."""
     def rows(source: Iterable[tuple]) -> Iterator[tuple]:
@@ -163,7 +164,7 @@ def bucket_links(members: DataFrame, distance: int = DISTANCE) -> DataFrame:
                         part[part == part[j]] = part[i]
                         yield tuple(fps[[j, i]].view(np.int64).tolist())
 
-    ordered = members.repartition("key").sortWithinPartitions("key", "fp")
+    ordered = together(members, small, "key", "fp")
     return map_rows(ordered, "a long, b long", rows, "key", "fp").distinct()
 
 
@@ -182,14 +183,16 @@ def near_fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     with this fingerprint) of every row."""
     every = stored(fingerprints(docs, words), "fingerprints")
     distinct = stored(every.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_copies")),
-                      "distinct")
-    keys = stored(keyed(distinct), "keys")
+                      "distinct", ROWS)
+    keys = stored(keyed(distinct), "keys", ROWS)
     shared = keys.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    shared = stored(keys.join(shared, "key"), "shared")
-    links = bucket_links(shared.filter(F.col("size") <= BUCKET).select("key", "fp"))
+    shared = stored(keys.join(shared, "key"), "shared", ROWS)
+    links = bucket_links(shared.filter(F.col("size") <= BUCKET).select("key", "fp"), shared.small)
     crowded = shared.filter(F.col("size") > BUCKET).select("fp").distinct()
     links = stored(links.unionByName(word_links(crowded)), "links")
-    found = stored(components(links), "components").withColumnRenamed("node", "fp")
+    discard(keys, shared)
+    found = components(links).withColumnRenamed("node", "fp")
+    discard(links)
 
     # Only fingerprints that are linked with another need their component's id.
     linked = distinct.join(found, "fp")

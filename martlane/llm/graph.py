@@ -4,14 +4,17 @@ Each round replaces edges so that nodes hang on smaller neighbours; after a
 logarithmic number of rounds every node hangs on the smallest of its
 component.  A round is two aggregations (combined before the shuffle) and
 joins back, so a node of any degree is fine; edges are written to the shared
-folder after each round, which cuts the lineage.
+folder after each round, which cuts the lineage, and the round before goes.  A
+round reads its edges in tasks of about ``ROWS``, so few edges need few tasks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from martlane.llm.common import stored
+from martlane.llm.common import discard, stored
+
+ROWS = 250_000
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -29,16 +32,20 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(a, b) pairs -> (node, component): the smallest node reachable.  Nodes
-    without a link do not appear; null ends are ignored."""
+    """(a, b) pairs -> (node, component), stored: the smallest node reachable.
+    Nodes without a link do not appear; null ends are ignored."""
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    edges = stored(edges.filter("u > v").distinct(), "edges")
+    edges = stored(edges.filter("u > v").distinct(), "edges", ROWS)
     state = None
     while True:
-        edges = stored(_star(_star(edges, True), False), "edges")
-        new = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if tuple(new) == state:
+        fresh = stored(_star(_star(edges, True), False), "edges", ROWS)
+        discard(edges)
+        edges, before = fresh, state
+        state = tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+        if state == before:
             break
-        state = tuple(new)
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return nodes.unionByName(nodes.select(F.col("component").alias("node"), "component").distinct())
+    out = stored(nodes.unionByName(nodes.select(F.col("component").alias("node"), "component").distinct()),
+                 "components", ROWS)
+    discard(edges)
+    return out

@@ -11,16 +11,21 @@ depth adapts per region: one of more than ``REGION`` classes is split by the
 next hash, and so on, so a class meets the neighbours with the longest common
 prefix, in groups of bounded size however frequent a text is.
 
-1. Every class is paired with its best neighbour per group (by signature) and
-   with the leader of every region above its group.  Pairs are confirmed on
-   the full sets, and confirmed links give components.
-2. In groups where signatures of different components agree in ``AGREE`` of
-   all hashes or more, all classes of different components are compared on the
-   full sets.  At 0.8 similarity, less agreement has a chance of about 1 in
-   100,000, as has sharing no region in any tree.
+1. Every class is paired with its best neighbour per group (by sketch) and
+   with the leader of every region above its group.  Pairs whose sketches agree
+   in ``AGREE`` of all hashes or more are confirmed on the full sets, and
+   confirmed links give components.  At 0.8 similarity, less agreement has a
+   chance of about 1 in 100,000, as has sharing no region in any tree.
+2. In groups where sketches of different components agree so far, the classes
+   concerned are compared on the full sets.
 3. Where a region was split, every class outside the region's largest
-   component is compared with the whole region, in blocks of ``BLOCK``.  So
-   splitting loses no link between components.
+   component is compared with the whole region, in blocks of ``BLOCK``: by
+   sketch, and those that agree on the full sets.  So splitting loses no link
+   between components.
+
+A sketch is the lowest byte of every hash of a signature: equal hashes have
+equal bytes, so sketches agree at least as far as signatures do.  Full sets are
+made, and shipped, only for classes with a pair whose sketches agree.
 
 Links between members of one component do not change the result and are not
 all confirmed; ``n_links`` counts the confirmed ones of a document's class.
@@ -41,7 +46,7 @@ from itertools import groupby
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from martlane.llm.common import WordCache, map_rows, stored
+from martlane.llm.common import WordCache, discard, join_small, map_rows, stored, together
 from martlane.llm.graph import components
 
 WIDTH = 2       # words per shingle of the op4 query
@@ -51,6 +56,9 @@ LEAST = 2
 REGION = 64
 AGREE = 0.60
 BLOCK = 1024
+CLASSES = 50_000   # classes, and ...
+ROWS = 400_000     # ... rows of trees, groups or pairs, and ...
+SETS = 20_000      # ... full sets that a task reads
 
 _rng = np.random.default_rng(11)
 _ODD = _rng.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -100,17 +108,18 @@ def _text_key(docs: DataFrame):
 
 
 def document_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, text_key, n_shingles, set_id (fingerprint of the set), signature."""
+    """doc_id, text_key, n_shingles, set_id (fingerprint of the set), signature, sketch."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(source):
         cache = word_cache()
         for doc, key, text in source:
             members = shingles(text, cache, width)
-            yield doc, key, len(members), _fingerprint(members), signature(members).tobytes()
+            least = signature(members)
+            yield doc, key, len(members), _fingerprint(members), least.tobytes(), least.astype(np.uint8).tobytes()
 
     return map_rows(docs.select("doc_id", _text_key(docs).alias("text_key"), "text"),
-                    f"doc_id {id_type}, text_key binary, n_shingles long, set_id binary, signature binary",
+                    f"doc_id {id_type}, text_key binary, n_shingles long, set_id binary, signature binary, sketch binary",
                     rows, "doc_id", "text_key", "text")
 
 
@@ -121,16 +130,17 @@ def _tree_rows(classes: DataFrame) -> DataFrame:
     return rows.select("set_id", *(F.xxhash64("tree", part(d)).alias(f"k{d}") for d in range(LEAST, DEPTH + 1)))
 
 
-def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(groups: set_id, grp; leaders: a, b; regions: set_id, region, size).
+def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, list[DataFrame]]:
+    """(groups: set_id, grp; leaders: a, b; regions: set_id, region, size; the
+    stored tables that regions, the first, and leaders, all, still read).
 
     ``regions`` holds the members of the regions that were split.
     """
     rows = _tree_rows(classes)
     sizes = rows.groupBy(f"k{LEAST}").agg(F.count("*").alias("size"), F.min("set_id").alias("leader"))
-    rows = stored(rows.join(sizes.filter("size > 1"), f"k{LEAST}"), "regions")
+    rows = stored(rows.join(sizes.filter("size > 1"), f"k{LEAST}"), "regions", ROWS)
     whole = rows.filter(F.col("size") > REGION).select("set_id", F.col(f"k{LEAST}").alias("region"), "size")
-    groups, leaders = [], []
+    groups, leaders, scratch = [], [], [rows]
     for d in range(LEAST, DEPTH + 1):
         if d > LEAST:
             sizes = rows.groupBy(f"k{d}").agg(F.count("*").alias("size"), F.min("set_id").alias("leader"))
@@ -141,10 +151,12 @@ def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         if d == DEPTH:  # equal in all hashes of this tree: dealt evenly
             pieces = F.ceil(F.col("size") / F.lit(REGION // 2))
             groups.append(large.select("set_id", F.xxhash64(f"k{d}", F.pmod(F.xxhash64("set_id"), pieces)).alias("grp")))
-        rows = stored(large, "regions") if d < DEPTH else large
-        if d < DEPTH and rows.isEmpty():
-            break
-    return stored(_union(groups), "groups"), _union(leaders).distinct(), whole
+        rows = stored(large, "regions", ROWS) if d < DEPTH else large
+        if d < DEPTH:
+            scratch.append(rows)
+            if rows.isEmpty():
+                break
+    return stored(_union(groups), "groups", ROWS), _union(leaders).distinct(), whole, scratch
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -155,7 +167,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _stacked(group: list[tuple], at: int) -> np.ndarray:
-    return np.frombuffer(b"".join(r[at] for r in group), np.uint32).reshape(len(group), -1)
+    return np.frombuffer(b"".join(r[at] for r in group), np.uint8).reshape(len(group), -1)
 
 
 def _fits(size: np.ndarray, i: int) -> np.ndarray:
@@ -163,9 +175,9 @@ def _fits(size: np.ndarray, i: int) -> np.ndarray:
     return (5 * size >= 4 * size[i]) & (5 * size[i] >= 4 * size)
 
 
-def best_pairs(members: DataFrame) -> DataFrame:
-    """(a, b): every class with the neighbour of its group whose signature
-    agrees most, at most one pair per row of ``members``."""
+def best_pairs(members: DataFrame, small: bool) -> DataFrame:
+    """(a, b): every class with the neighbour of its group whose sketch agrees
+    most, if far enough; at most one pair per row of ``members``."""
     def rows(source):
         for _, group in groupby(source, key=lambda r: r[0]):
             group = list(group)
@@ -176,28 +188,48 @@ def best_pairs(members: DataFrame) -> DataFrame:
                 if agree.max() >= AGREE:
                     yield tuple(sorted((bytes(group[i][1]), bytes(group[int(agree.argmax())][1]))))
 
-    ordered = members.repartition("grp").sortWithinPartitions("grp")
-    return map_rows(ordered, "a binary, b binary", rows, "grp", "set_id", "n_shingles", "signature").distinct()
+    return map_rows(together(members, small, "grp"), "a binary, b binary", rows,
+                    "grp", "set_id", "n_shingles", "sketch").distinct()
+
 
+def agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches agree far enough and whose sizes allow a link."""
+    of = lambda name, s, n: classes.select(F.col("set_id").alias(name), F.col("sketch").alias(s),
+                                           F.col("n_shingles").alias(n))
+    both = pairs.join(of("a", "s", "n"), "a").join(of("b", "t", "m"), "b").filter("5 * n >= 4 * m and 5 * m >= 4 * n")
 
-def undecided(members: DataFrame) -> DataFrame:
-    """Rows of ``members`` whose signature agrees enough with one of another
-    component in their group."""
     def rows(source):
-        for grp, group in groupby(source, key=lambda r: r[0]):
+        for a, b, s, t in source:
+            if (np.frombuffer(s, np.uint8) == np.frombuffer(t, np.uint8)).mean() >= AGREE:
+                yield a, b
+
+    return map_rows(both, "a binary, b binary", rows, "a", "b", "s", "t")
+
+
+def undecided(members: DataFrame, small: bool) -> DataFrame:
+    """Rows of ``members`` (grp, side, set_id, n_shingles, sketch, component)
+    whose sketch agrees enough with one of another component in their group,
+    where one of the two is of side 0."""
+    def rows(source):
+        for _, group in groupby(source, key=lambda r: r[0]):
             group = list(group)
-            comp = _numbers([r[4] or r[1] for r in group])
+            comp = _numbers([r[5] or r[2] for r in group])
             if comp.max() == 0:
                 continue
-            sig, size = _stacked(group, 3), np.array([r[2] for r in group])
+            sig, size = _stacked(group, 4), np.array([r[3] for r in group])
+            found = np.zeros(len(group), bool)
             for i, r in enumerate(group):
-                may = (comp != comp[i]) & _fits(size, i)
-                if may.any() and (sig[may] == sig[i]).mean(axis=1).max() >= AGREE:
-                    yield grp, 0, r[1], bytes(r[4] or r[1])
+                if r[1] == 0:
+                    may = np.flatnonzero((comp != comp[i]) & _fits(size, i))
+                    near = may[(sig[may] == sig[i]).mean(axis=1) >= AGREE] if len(may) else may
+                    found[near] = True
+                    found[i] |= len(near) > 0
+            for i in np.flatnonzero(found).tolist():
+                grp, side, set_id, _, _, component = group[i]
+                yield grp, side, set_id, bytes(component or set_id)
 
-    ordered = members.repartition("grp").sortWithinPartitions("grp")
-    return map_rows(ordered, "grp long, side int, set_id binary, component binary", rows,
-                    "grp", "set_id", "n_shingles", "signature", "component")
+    return map_rows(together(members, small, "grp"), "grp long, side int, set_id binary, component binary", rows,
+                    "grp", "side", "set_id", "n_shingles", "sketch", "component")
 
 
 def _numbers(keys: list) -> np.ndarray:
@@ -205,7 +237,7 @@ def _numbers(keys: list) -> np.ndarray:
     return np.array([seen.setdefault(k, len(seen)) for k in keys])
 
 
-def exact_links(rows_: DataFrame, sets: DataFrame) -> DataFrame:
+def exact_links(rows_: DataFrame, sets: DataFrame, small: bool) -> DataFrame:
     """(a, b): links between different components of each group (grp, side,
     set_id, component), on the full sets.  Members of side 0 meet the whole
     group.  Of the links of a group those are returned that join what the ones
@@ -242,7 +274,7 @@ def exact_links(rows_: DataFrame, sets: DataFrame) -> DataFrame:
                         parent[x] = y
                         yield tuple(sorted((bytes(r[2]), bytes(group[j][2]))))
 
-    ordered = (rows_.join(sets, "set_id").repartition("grp").sortWithinPartitions("grp", "side", "set_id"))
+    ordered = together(rows_.join(sets, "set_id"), small, "grp", "side", "set_id")
     return map_rows(ordered, "a binary, b binary", rows, "grp", "side", "set_id", "component", "members").distinct()
 
 
@@ -289,38 +321,57 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def _decided(docs: DataFrame, width: int) -> DataFrame:
     """The same with every row's text_key and component (the set_id that names it)."""
-    every = stored(document_sets(docs, width), "sets")
+    every = stored(document_sets(docs, width), "sets", CLASSES)
     classes = stored(every.filter("n_shingles > 0").groupBy("set_id")
-                     .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("rep"), F.first("n_shingles").alias("n_shingles"),
-                          F.first("signature").alias("signature")), "classes")
-    groups, leaders, split = forest(classes)
-    sets = stored(full_sets(groups.select("set_id").unionAll(split.select("set_id")), docs, classes, width), "members")
-    members = stored(groups.join(classes.select("set_id", "n_shingles", "signature"), "set_id"), "groups")
-
-    pairs = best_pairs(members).unionByName(
-        leaders.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
-    links = stored(confirmed(pairs, sets), "links")
-    found = stored(components(links), "components")
+                     .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("rep"),
+                          F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"),
+                          F.first("sketch").alias("sketch"), F.count("*").alias("n_rows")), "classes", CLASSES)
+    groups, leaders, split, scratch = forest(classes)
+    sketches = classes.select("set_id", "n_shingles", "sketch")
+    members = stored(groups.join(sketches, "set_id"), "members", ROWS)
+    discard(groups)
+    above = leaders.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = stored(best_pairs(members, members.small).unionByName(agreeing(above, classes)).distinct(), "pairs", ROWS)
+    discard(*scratch[1:])
+    ends = pairs.select(F.col("a").alias("set_id")).unionAll(pairs.select("b"))
+    sets = stored(full_sets(ends, docs, classes, width), "full-sets", SETS)
+    links = stored(confirmed(pairs, sets), "links", ROWS)
+    found = components(links)
     named = lambda: found.select(F.col("node").alias("set_id"), "component")
 
-    # What still connects different components: in the groups, then in split regions.
-    more = stored(exact_links(undecided(members.join(named(), "set_id", "left")), sets), "links")
-    links = links.unionByName(more)
-    if not more.isEmpty():
-        found = stored(components(links), "components")
+    # What still connects different components: in the groups, then in split
+    # regions.  Whatever agrees with another class in its group has a pair, so
+    # its full set is there; in split regions it may not be.
+    rows = stored(undecided(members.withColumn("side", F.lit(0)).join(named(), "set_id", "left"), members.small),
+                  "undecided", SETS)
+    discard(members, pairs)
+    if not rows.isEmpty():
+        links, found = _with_more(links, found, exact_links(rows, sets, rows.small))
+    discard(rows)
     if not split.isEmpty():
-        more = stored(exact_links(_blocks(split, named()), sets), "links")
-        links = links.unionByName(more)
-        if not more.isEmpty():
-            found = stored(components(links), "components")
-    return _labelled(every, links, found)
+        blocks = stored(_blocks(split, named()).join(sketches, "set_id"), "blocks", ROWS)
+        rows = stored(undecided(blocks, blocks.small), "undecided", SETS)
+        discard(blocks)
+        if not rows.isEmpty():
+            rest = full_sets(rows.join(sets, "set_id", "left_anti"), docs, classes, width)
+            links, found = _with_more(links, found, exact_links(rows, sets.unionByName(rest), rows.small))
+        discard(rows)
+    discard(sets, scratch[0])
+    return _labelled(every, classes, links, found)
+
+
+def _with_more(links: DataFrame, found: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``links`` and ``more``, and their components in place of ``found``."""
+    both = stored(links.unionByName(more), "links", ROWS)
+    discard(links, found)
+    return both, components(both)
 
 
 def _blocks(split: DataFrame, comp: DataFrame) -> DataFrame:
     """Split regions in blocks: members outside the region's largest component
     (side 0) beside every part of the region (side 1)."""
     rows = stored(split.join(comp, "set_id", "left")
-                  .withColumn("component", F.coalesce("component", "set_id")), "split")
+                  .withColumn("component", F.coalesce("component", "set_id")), "split", ROWS)
     counts = rows.groupBy("region", "component").agg(F.count("*").alias("n"))
     main = (counts.groupBy("region").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"))
             .select("region", F.col("top.component").alias("main"), "all", (F.col("all") - F.col("top.n")).alias("rest")))
@@ -336,18 +387,28 @@ def _blocks(split: DataFrame, comp: DataFrame) -> DataFrame:
             .select("grp", "side", "set_id", "component"))
 
 
-def _labelled(every: DataFrame, links: DataFrame, found: DataFrame) -> DataFrame:
+def _labelled(every: DataFrame, classes: DataFrame, links: DataFrame, found: DataFrame) -> DataFrame:
+    """Classes get their component's id, rows that of their class: neither a
+    large component nor a frequent text gathers in one task."""
     degree = (links.select(F.col("a").alias("set_id")).unionAll(links.select("b"))
               .groupBy("set_id").agg(F.count("*").alias("n_links")))
-    named = (every.select("doc_id", "text_key", "set_id", "n_shingles")
-             .join(found.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
-             .withColumn("component", F.coalesce("component", "set_id")))
-    least = named.filter("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
-    out = named.join(least, "component", "left").join(degree, "set_id", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      (F.col("doc_id") == component).alias("kept"), F.hex("set_id").alias("set_id"),
-                      F.coalesce("n_links", F.lit(0)).alias("n_links"), "text_key", out["component"])
+    ids = classes.select("set_id", F.col("rep.doc_id").alias("own"), "n_rows")
+    linked = stored(found.withColumnRenamed("node", "set_id").join(ids.select("set_id", "own"), "set_id"),
+                    "linked", ROWS)
+    least = stored(linked.groupBy("component").agg(F.min("own").alias("least"), F.count("*").alias("size")),
+                   "least", ROWS)
+    linked = join_small(linked, least, "component", "size").select("set_id", "component", "least")
+    named = stored(ids.join(linked, "set_id", "left").join(degree, "set_id", "left").select(
+        "set_id", "n_rows", F.coalesce("component", "set_id").alias("component"),
+        F.when(F.col("component").isNotNull(), F.col("least")).otherwise(F.col("own")).alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links")), "named", ROWS)
+    rows = every.select("doc_id", "text_key", "set_id", "n_shingles")
+    some = join_small(rows.filter("n_shingles > 0"), named, "set_id", "n_rows")
+    none = rows.filter("n_shingles = 0").select("*", F.lit(0).cast("long").alias("n_rows"), F.col("set_id").alias("component"),
+                                                F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    return some.unionByName(none).select(
+        "doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"),
+        F.hex("set_id").alias("set_id"), "n_links", "text_key", "component")
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
