@@ -4,6 +4,8 @@ Every byte covered by a ``SPAN``-byte string that also starts anywhere else in
 the corpus is removed.  The work is cut down, without losing a repeat, before
 the transforms are built:
 
+0. Equal texts are one text with a number of copies.  All windows of a text
+   with copies are repeated; other texts meet its windows once.
 1. Every window of SPAN bytes picks an anchor (windows.py).  A string at an
    anchor that occurs once cannot belong to a repeated window.  Where all
    occurrences of an anchor's string stand in the same surroundings (all
@@ -21,9 +23,9 @@ Surroundings of an anchor string with more than ``HOT`` different ones do not
 meet in one task: their cells are split into single windows, keyed by the
 whole window.
 
-Texts are identified by their hash, so equal texts share one entry, and the
-hash of a string is compared only among strings with the same anchor.  The
-texts cross the network twice, compressed: to read the cells, and to remove.
+Texts are identified by their hash, and the hash of a string is compared only
+among strings with the same anchor.  The distinct texts are kept compressed in
+the shared folder; only those that hold cells cross the network again.
 
 Defined cases: null text counts as empty; matches never cross rows; strings
 are judged on the input, overlaps count; rows that repeat are copies of each
@@ -42,12 +44,13 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from martlane.llm.bwt import repeated
-from martlane.llm.common import map_rows, stored
+from martlane.llm.common import discard, join_small, map_rows, stored
 from martlane.llm.windows import Hashes, anchors, mix
 
 SPAN = 200
 CELL = 16
 HOT = 4096
+ROWS = 500_000  # anchors that a task reads
 BUCKET = 2048  # strings whose transforms are merged together
 
 
@@ -62,6 +65,20 @@ def _with_key(docs: DataFrame, *columns: str) -> DataFrame:
                        F.pmod(F.octet_length(text), F.lit(1 << 16)).alias("size"))
 
 
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """tid, size, packed (the text compressed), n_bytes, copies: every text once."""
+    def rows(source):
+        pack = zstandard.ZstdCompressor(level=3, write_content_size=True).compress
+        for tid, size, text in source:
+            raw = _bytes(text)
+            yield tid, size, pack(raw), len(raw)
+
+    packed = map_rows(_with_key(docs), "tid long, size int, packed binary, n_bytes long", rows, "tid", "size", "text",
+                      held_bytes=1 << 24)
+    return packed.groupBy("tid", "size").agg(F.first("packed").alias("packed"), F.first("n_bytes").alias("n_bytes"),
+                                             F.count("*").alias("copies"))
+
+
 def _surroundings(data: np.ndarray):
     """(hashes, anchor, gram, surroundings' hash, first, last window start)."""
     hashes, at, grams, first, last = anchors(data, SPAN)
@@ -69,20 +86,20 @@ def _surroundings(data: np.ndarray):
     return hashes, at, grams, around, first, last
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """One row per anchor: gram, around, tid, place (packed: size modulo 2^16,
-    anchor, distance back to the first window, number of windows - 1)."""
+def occurrences(texts: DataFrame) -> DataFrame:
+    """One row per anchor of each text: gram, around, tid, place (packed: size
+    modulo 2^16, anchor, distance back to the first window, number of windows - 1)."""
     def rows(source):
-        for tid, size, text in source:
-            data = np.frombuffer(_bytes(text), np.uint8)
-            if len(data) < SPAN:
-                continue
+        unpack = zstandard.ZstdDecompressor().decompress
+        for tid, size, packed in source:
+            data = np.frombuffer(unpack(packed), np.uint8)
             _, at, grams, around, first, last = _surroundings(data)
             place = np.uint64(size << 48) | ((at << 16) | ((at - first) << 8) | (last - first)).astype(np.uint64)
             yield from zip(grams.view(np.int64).tolist(), around.view(np.int64).tolist(), [tid] * len(at),
                            place.view(np.int64).tolist())
 
-    return map_rows(_with_key(docs), "gram long, around long, tid long, place long", rows, "tid", "size", "text")
+    return map_rows(texts.filter(F.col("n_bytes") >= SPAN), "gram long, around long, tid long, place long", rows,
+                    "tid", "size", "packed")
 
 
 _SIZE = "cast(shiftrightunsigned(place, 48) as int)"
@@ -97,27 +114,13 @@ def _runs(rows: DataFrame) -> DataFrame:
                            f"{_AT} - {_BACK} + {_WIDE} + {SPAN} as to")
 
 
-def _compressed(docs: DataFrame, *columns: str) -> DataFrame:
-    """tid, size, packed text and ``columns`` of every row with a text."""
-    keyed = _with_key(docs, *columns)
-    kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-
-    def rows(source):
-        pack = zstandard.ZstdCompressor(level=3, write_content_size=True).compress
-        for tid, size, text, *rest in source:
-            yield (tid, size, pack(_bytes(text)), *rest)
-
-    return map_rows(keyed, f"tid long, size int, packed binary{kinds}", rows, "tid", "size", "text", *columns)
-
-
-def cells(asked: DataFrame, docs: DataFrame) -> DataFrame:
+def cells(asked: DataFrame, texts: DataFrame) -> DataFrame:
     """Strings of the surroundings in ``asked`` (gram, around, tid, place, hot):
     key (of the core, or of a single window), left, right (null for a single
     window), gram, around, cell, low, high: the windows that pick the anchor
     take from ``low`` to ``high`` bytes from the left of the core."""
     wanted = (asked.withColumn("size", F.expr(_SIZE)).groupBy("tid", "size")
               .agg(F.collect_list(F.struct("gram", "around", "place", "hot")).alias("asked")))
-    texts = _compressed(docs).dropDuplicates(["tid", "size"])
 
     def rows(source):
         unpack = zstandard.ZstdDecompressor().decompress
@@ -147,7 +150,7 @@ def cells(asked: DataFrame, docs: DataFrame) -> DataFrame:
                                           digest_size=8, key=key.to_bytes(8, "little")).digest()
                     yield int.from_bytes(own, "little", signed=True), None, None, ask["gram"], ask["around"], cell, t, t
 
-    joined = texts.join(wanted, ["tid", "size"])
+    joined = texts.select("tid", "size", "packed").join(wanted, ["tid", "size"])
     return map_rows(joined, "key long, left binary, right binary, gram long, around long, cell int, low int, high int",
                     rows, "packed", "asked")
 
@@ -212,28 +215,36 @@ def _merged(groups: list[dict]) -> Iterator[tuple]:
                 yield (*w, int(own.min()), int(own.max()))
 
 
-def removal_runs(docs: DataFrame) -> DataFrame:
-    """tid, size, from, to: bytes to remove, runs may overlap."""
-    every = occurrences(docs)
+def removal_runs(texts: DataFrame) -> DataFrame:
+    """tid, size, runs (from, to; bytes to remove, runs may overlap) of the
+    texts that have any, stored."""
+    every = occurrences(texts)
     grams = (every.groupBy("gram").agg(F.count("*").alias("n"), F.min("around").alias("a"), F.max("around").alias("b"))
              .filter("n > 1").select("gram", (F.col("a") != F.col("b")).alias("mixed")))
-    shared = stored(every.join(stored(grams, "grams"), "gram"), "shared")
+    grams = stored(grams, "grams", ROWS)
+    shared = stored(every.join(grams, "gram"), "shared", ROWS)
+    discard(grams)
     alike = _runs(shared.filter("not mixed"))
 
     mixed = shared.filter("mixed").select("gram", "around", "tid", "place")
     kinds = stored(mixed.groupBy("gram", "around")
-                   .agg(F.count("*").alias("n"), F.min(F.struct("tid", "place")).alias("r")), "kinds")
+                   .agg(F.count("*").alias("n"), F.min(F.struct("tid", "place")).alias("r")), "kinds", ROWS)
     hot = kinds.groupBy("gram").agg((F.count("*") > HOT).alias("hot"))
     asked = kinds.join(hot, "gram").select("gram", "around", "r.tid", "r.place", "hot")
-    masks = repeated_windows(cells(asked, docs))
+    masks = repeated_windows(cells(asked, texts))
     found = stored(masks.groupBy("gram", "around").agg(F.collect_list(F.struct("cell", "low", "high")).alias("cells"))
-                   .join(kinds.select("gram", "around", "n"), ["gram", "around"], "full"), "masks")
+                   .join(kinds.select("gram", "around", "n"), ["gram", "around"], "full"), "masks", ROWS)
     rows = mixed.join(found, ["gram", "around"])
     several = _runs(rows.filter("n > 1"))
     core = f"{_AT} - c.cell * {CELL}"
     one = (rows.filter("cells is not null").withColumn("c", F.explode("cells"))
            .selectExpr("tid", f"{_SIZE} as size", f"{core} - c.high as from", f"{core} - c.low + {SPAN} as to"))
-    return alike.unionByName(several).unionByName(one)
+    whole = (texts.filter((F.col("copies") > 1) & (F.col("n_bytes") >= SPAN))
+             .selectExpr("tid", "size", "cast(0 as long) as from", "n_bytes as to"))
+    every_run = alike.unionByName(several).unionByName(one).unionByName(whole)
+    runs = stored(every_run.groupBy("tid", "size").agg(F.collect_set(F.struct("from", "to")).alias("runs")), "runs")
+    discard(shared, kinds, found)
+    return runs
 
 
 def _cut(raw: bytes, runs) -> tuple[bytes, int, int]:
@@ -251,47 +262,57 @@ def _cut(raw: bytes, runs) -> tuple[bytes, int, int]:
     return b"".join(kept), removed, spans
 
 
-def _with_runs(docs: DataFrame, *columns: str) -> DataFrame:
-    runs = (removal_runs(docs).groupBy("tid", "size")
-            .agg(F.collect_set(F.struct("from", "to")).alias("runs")))
-    return _compressed(docs, *columns).join(runs, ["tid", "size"], "left")
+def _processed(docs: DataFrame, schema: str, one) -> DataFrame:
+    """tid, size, copies, n_bytes, and ``one(bytes, runs)``'s columns, of every
+    distinct text, stored."""
+    texts = stored(distinct_texts(docs), "texts")
+    runs = removal_runs(texts)
+
+    def rows(source):
+        unpack = zstandard.ZstdDecompressor().decompress
+        for tid, size, copies, n, packed, found in source:
+            yield (tid, size, copies, n, *one(unpack(packed), found))
+
+    out = stored(map_rows(texts.join(runs, ["tid", "size"], "left"),
+                          f"tid long, size int, copies long, n_bytes long, {schema}", rows,
+                          "tid", "size", "copies", "n_bytes", "packed", "runs", held_bytes=1 << 24), "processed")
+    discard(texts, runs)
+    return out
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+    def one(raw, runs):
+        rest, removed, spans = _cut(raw, runs)
+        return removed, spans, hashlib.sha256(rest).hexdigest()
+
+    texts = _processed(docs, "n_removed long, n_spans long, kept_sha256 string", one)
+    rows = _with_key(docs, "doc_id").drop("text")
+    return join_small(rows, texts, ["tid", "size"], "copies").select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
-    def rows(source):
-        unpack = zstandard.ZstdDecompressor().decompress
-        for key, packed, runs in source:
-            raw = unpack(packed)
-            rest, removed, spans = _cut(raw, runs)
-            yield key, len(raw), removed, spans, hashlib.sha256(rest).hexdigest()
 
-    return map_rows(_with_runs(docs, "doc_id"), f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, "
-                    "kept_sha256 string", rows, "doc_id", "packed", "runs")
+SMALL_TEXT = 1 << 15   # bytes of a frequent text that may be broadcast
 
 
 def cut_texts(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) with repeats cut from their texts
     (bytes of a character that a cut leaves incomplete go too) and ``n_chars``,
     if there is one, set to the new length.  Null texts stay null."""
+    def one(raw, runs):
+        if not runs:
+            return False, raw.decode("utf-8")
+        return True, _cut(raw, runs)[0].decode("utf-8", "ignore")
+
+    texts = _processed(docs, "cut boolean, kept string", one)
     fixed = [c for c in docs.columns if c != "text"]
     inner = [f"_{i}" for i in range(len(fixed))]  # own names: the columns' may clash with ours
-    renamed = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(fixed, inner)), "text",
-                          F.col("text").isNull().alias("_null"))
-    chars = fixed.index("n_chars") if "n_chars" in fixed else -1
-    at = docs.columns.index("text")
-
-    def rows(source):
-        unpack = zstandard.ZstdDecompressor().decompress
-        for *row, empty, packed, runs in source:
-            if runs:
-                text = _cut(unpack(packed), runs)[0].decode("utf-8", "ignore")
-                if chars >= 0:
-                    row[chars] = len(text)
-            else:
-                text = None if empty else unpack(packed).decode("utf-8")
-            yield (*row[:at], text, *row[at:])
-
-    return map_rows(_with_runs(renamed, *inner, "_null"), docs.schema, rows, *inner, "_null", "packed", "runs")
+    rows = _with_key(docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(fixed, inner)), "text",
+                                 F.col("text").isNull().alias("_null")), *inner, "_null").drop("text")
+    both = join_small(rows, texts, ["tid", "size"], "copies", small=F.col("n_bytes") <= SMALL_TEXT)
+    text = F.when(~F.col("_null"), F.col("kept"))
+    out = {c: F.col(n) for c, n in zip(fixed, inner)} | {"text": text}
+    if "n_chars" in fixed:
+        kind = docs.schema["n_chars"].dataType
+        out["n_chars"] = F.when(F.col("cut"), F.length("kept").cast(kind)).otherwise(out["n_chars"])
+    return both.select(*(out[c].alias(c) for c in docs.columns))
