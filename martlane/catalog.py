@@ -193,7 +193,7 @@ def build_sale_index(spark, d) -> DataFrame:
 def sale_index(spark, d) -> DataFrame:
     """The sale-detail index, built once per input and then scanned by the search queries."""
     return derived_table(spark, "sale_index", _src(d, "orders", "lineitem", "part", "customer"),
-                         lambda: build_sale_index(spark, d), ["dt"])
+                         lambda: build_sale_index(spark, d), ["dt"], [fx.USER_AS_OF])
 
 
 def q_sale_detail(spark, d):
@@ -212,7 +212,7 @@ def sale_postings(spark, d) -> DataFrame:
     """The index's posting table, built once per input, in the order of its terms."""
     return derived_table(spark, "sale_postings", _src(d, "orders", "lineitem", "part", "customer"),
                          lambda: search.posting_rows(sale_index(spark, d)).repartitionByRange("term", "dt"),
-                         ["term", "dt"])
+                         ["term", "dt"], [fx.USER_AS_OF])
 
 
 def q_sale_search_postings(spark, d):
@@ -281,7 +281,8 @@ def _alert_values(spark, d) -> DataFrame:
     """Per-window event counts and distinct coupon accounts/items, built once per input."""
     return derived_table(spark, "alert_values", _src(d, "events"),
                          lambda: alerts.window_values(fx.event_logs(spark, d), ALERT_WINDOW_SECONDS,
-                                                      ALERT_SLIDE_SECONDS), ["mid", "window_start"])
+                                                      ALERT_SLIDE_SECONDS), ["mid", "window_start"],
+                         [ALERT_WINDOW_SECONDS, ALERT_SLIDE_SECONDS])
 
 
 def _alert_parts(spark, d, bucket_seconds: int = alerts.BUCKET_SECONDS):

@@ -8,8 +8,10 @@ named by ``spark.checkpoint.dir`` and then scanned by every read query, with
 column pruning and filter pushdown on the written files.
 
 The folder name carries a fingerprint of the inputs (path, size and
-modification time of every input file), so changed inputs get a new table
-and stale ones are never read.  Writing a table also cuts the lineage, so a
+modification time of every input file), of the parameters that the table is
+built with and of ``VERSION``, which a change of a table's definition raises,
+so that changed inputs, parameters or code get a new table and stale ones are
+never read.  Writing a table also cuts the lineage, so a
 lost executor recomputes from the table instead of from the raw sources.
 """
 
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlane.session import checkpoint_root
 
+VERSION = 3
 _BUILT: dict[str, str] = {}
 
 
@@ -38,8 +41,8 @@ def _files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted(out)
 
 
-def fingerprint(spark: SparkSession, inputs: Sequence[str]) -> str:
-    h = hashlib.sha256()
+def fingerprint(spark: SparkSession, inputs: Sequence[str], params: Sequence = ()) -> str:
+    h = hashlib.sha256(f"{VERSION}|{list(params)!r}\n".encode())
     for path in sorted(inputs):
         for name, size, mtime in _files(spark, path):
             h.update(f"{name}|{size}|{mtime}\n".encode())
@@ -54,13 +57,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def derived_table(spark: SparkSession, name: str, inputs: Sequence[str],
-                  build: Callable[[], DataFrame], sort_cols: Sequence[str] = ()) -> DataFrame:
-    """Read table ``name`` built by ``build()`` from ``inputs``; build it first if needed.
+                  build: Callable[[], DataFrame], sort_cols: Sequence[str] = (),
+                  params: Sequence = ()) -> DataFrame:
+    """Read table ``name`` built by ``build()`` from ``inputs`` with ``params``; build
+    it first if needed.
 
     Rows are sorted within each output file by ``sort_cols`` so parquet
     row-group statistics let day filters skip data.
     """
-    key = f"{name}-{fingerprint(spark, inputs)}"
+    key = f"{name}-{fingerprint(spark, inputs, [name, *sort_cols, *params])}"
     path = _BUILT.get(key) or f"{checkpoint_root(spark)}/derived/{key}"
     if key not in _BUILT:
         if not _exists(spark, f"{path}/_SUCCESS"):

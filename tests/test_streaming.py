@@ -263,6 +263,9 @@ def test_apps_and_publisher_end_to_end(spark, tmp_dir):
         F.col("create_date") == "1997-02-01").agg(F.sum("total_amount")).first()[0] or 0.0
     assert abs(sum(r.today for r in amount) - want_amount) < 1e-6
     assert publisher.realtime_hour(spark, wh, "other", "2024-01-15") is None
+    # an endpoint lists the folders of its two days and no others
+    read = publisher.realtime_hour(spark, wh, "order_amount", "1997-02-01").inputFiles()
+    assert read and all("_part=1997-02-01/" in f or "_part=1997-01-31/" in f for f in read)
     rep = publisher.sale_detail(spark, wh, "1997-02-01", "widget", 1, 10).first()
     assert rep.total == 0     # no sale job ran: empty index, empty report
 
