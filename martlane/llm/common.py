@@ -232,8 +232,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: in
 
 
 def keep_rows(docs: DataFrame, keep: Callable[[], Callable[[str | None], bool]]) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose text passes;
-    ``keep`` makes the test once per task."""
+    """The rows of ``docs``, all columns as they are, whose text (null: None)
+    passes; ``keep`` makes the test once per task."""
     at = docs.columns.index("text")
 
     def rows(source):

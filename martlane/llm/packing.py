@@ -11,7 +11,9 @@ At scale: the rule needs only the counts per gap (at most ``max_tokens``
 numbers), but is a sequential process; so pieces are dealt evenly over shards
 of about ``SHARD_PIECES`` by their row number, each shard is packed by one
 task, and then every sequence that a shard left unfilled is dissolved and its
-pieces are packed again in fewer shards, until one shard is left.  A shard
+pieces are packed again in fewer shards, until one shard is left or a round has
+left more than half of its pieces in unfilled sequences, which then stay as
+they are: another round would meet the same lengths.  A shard
 holds (row number, length) pairs only, never texts or ids, and its size does
 not grow with the input.  What the shards leave open is thus packed together
 instead of once per shard.

@@ -206,7 +206,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` (all columns) that the classifier does not reject."""
+    """The rows of ``docs`` (all columns) that the classifier does not reject; null
+    texts are judged as empty ones, repeated rows alike."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
 
     def test():
