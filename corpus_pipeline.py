@@ -6,6 +6,12 @@ columns of documents.
 The stages' classifiers learn from the labelled rows among the documents they
 are given, near-duplicate grouping and repeated-passage removal work on all
 rows that are left, and the last stage packs what remains.
+
+Defined cases, in every stage: a null text counts as empty and stays null; it
+is judged by the classifiers as an empty text, linked with nothing, cut nowhere,
+and packed as its end id alone.  Rows without an id stay rows of their own, and
+of rows with one id and equal texts one stays.  Extra columns pass through all
+stages but the last; an empty table gives an empty result.
 """
 
 from __future__ import annotations
