@@ -27,6 +27,7 @@ from martlane.sources import fixtures as fx
 DAU_DAY = "2024-01-15"
 NEW_MID_DAY = "2024-01-01"
 ORDER_DAY = "1997-02-01"
+LOG_SHIFT_DAYS = 9830                  # from NEW_MID_DAY back to ORDER_DAY
 ROUND = 2
 SALE_JOIN_BOUND_SECONDS = 90 * 86400   # order date against ship date, strict
 SEARCH_KEYWORD = "Widget cold"
@@ -142,6 +143,14 @@ def q_realtime_total_day(spark, d):
     return out.select("id", "name", _r("value"))
 
 
+def q_realtime_total_busy_day(spark, d):
+    """A day with visits, new devices and orders: the logs moved onto the orders' calendar."""
+    logs = fx.startup_logs(spark, d).withColumn("ts", F.col("ts") - LOG_SHIFT_DAYS * 86_400_000)
+    fv = dau.dau_first_visits(logs)
+    out = dashboard.realtime_total(fv, _orders(spark, d), dau.new_mid(fv, ORDER_DAY), ORDER_DAY)
+    return out.select("id", "name", _r("value"))
+
+
 def q_realtime_hour_dau(spark, d):
     return dashboard.realtime_hour("dau", _first_visits(spark, d), _orders(spark, d))
 
@@ -382,23 +391,30 @@ AVAILABLE_NOW = {"availableNow": True}
 LAST_PROGRESS: dict[str, list[dict]] = {}
 
 
-def run_dau_stream(spark, d):
-    start = lambda s, out, ck: runners.start_dau_stream(s[topics.TOPIC_STARTUP], out, ck,
-                                                        AVAILABLE_NOW)
+def run_dau_stream(spark, d, name="dau_stream", first_seen=False):
+    start = lambda s, out, ck: runners.start_dau_stream(
+        s[topics.TOPIC_STARTUP], out, ck, AVAILABLE_NOW, f"{out}-first-seen" if first_seen else None)
     # arrival order is a hash of the record: visits come in no order of time
     logs = fx.startup_logs(spark, d)
     logs = logs.withColumn("arrival", F.xxhash64(*logs.columns))
     out, prog = replay(spark, {topics.TOPIC_STARTUP: (logs, "arrival")},
-                       STREAM_BATCHES, start, "dau_stream")
-    LAST_PROGRESS["dau_stream"] = prog
-    return runners.dau_table(spark, out).read()
+                       STREAM_BATCHES, start, name)
+    LAST_PROGRESS[name] = prog
+    return out
 
 
 def q_dau_stream(spark, d):
-    return run_dau_stream(spark, d).select("mid", "uid", "appid", "log_type", "log_date",
+    return runners.dau_table(spark, run_dau_stream(spark, d)).read().select("mid", "uid", "appid", "log_type", "log_date",
                                            "log_hour", "ts")
 
 
+def q_new_mid_stream(spark, d):
+    """Devices per first day, from the table that the DAU stream keeps of them."""
+    out = run_dau_stream(spark, d, "new_mid_stream", True)
+    claims = runners.first_seen_table(spark, f"{out}-first-seen").read()
+    return claims.filter("live").groupBy("log_date").agg(F.count(F.lit(1)).alias("ct"))
+
+
 def q_dau_stateful_stream(spark, d):
     """Pure streaming first visits, on logs that come in order of time."""
     start = lambda s, out, ck: runners.start_dau_stateful_stream(s[topics.TOPIC_STARTUP], out, ck,
@@ -515,6 +531,7 @@ STREAM_QUERIES = {
     "collector_stream": q_collector_stream,
     "capture_stream": q_capture_stream,
     "dau_stream": q_dau_stream,
+    "new_mid_stream": q_new_mid_stream,
     "dau_stateful_stream": q_dau_stateful_stream,
     "order_stream": q_order_stream,
     "first_order_stream": q_first_order_stream,
@@ -540,6 +557,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_amount_by_province": q_order_amount_by_province,
     "realtime_total": q_realtime_total,
     "realtime_total_day": q_realtime_total_day,
+    "realtime_total_busy_day": q_realtime_total_busy_day,
     "realtime_hour_dau": q_realtime_hour_dau,
     "realtime_hour_dau_day": q_realtime_hour_dau_day,
     "realtime_hour_amount": q_realtime_hour_amount,

@@ -114,6 +114,16 @@ UNION ALL
 SELECT create_date, 'order_amount', '新增交易额', round(sum(total_amount), 2) FROM oc
 GROUP BY create_date"""
 
+SQL["realtime_total_busy_day"] = _with(NEW_MID, ORDERS) + """
+SELECT 'dau' AS id, '新增日活' AS name,
+       CAST((SELECT count(*) FROM fv WHERE log_date = '2024-01-01') AS DOUBLE) AS value
+UNION ALL
+SELECT 'new_mid', '新增设备', CAST(count(*) AS DOUBLE)
+FROM (SELECT mid, min(log_date) AS d FROM fv GROUP BY mid) WHERE d = '2024-01-01'
+UNION ALL
+SELECT 'order_amount', '新增交易额', round(sum(total_amount), 2) FROM oc
+WHERE create_date = '1997-02-01'"""
+
 SQL["realtime_total_day"] = _with(NEW_MID, ORDERS) + """
 SELECT 'dau' AS id, '新增日活' AS name,
        CAST((SELECT count(*) FROM fv WHERE log_date = '2024-01-15') AS DOUBLE) AS value
@@ -429,6 +439,8 @@ FROM events WHERE event_id % 5 = 0 OR event_id % 7 = 0 OR event_id % 11 = 0 GROU
 
 SQL["dau_stream"] = SQL["dau_first_visits"]
 
+SQL["new_mid_stream"] = SQL["new_mid"]
+
 SQL["dau_stateful_stream"] = _with(FIRST_VISITS) + "SELECT mid, log_date FROM fv"
 
 SQL["collector_stream"] = "SELECT * REPLACE (CAST(1704067200000 AS BIGINT) AS ts) FROM (" + \

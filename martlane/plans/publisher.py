@@ -14,10 +14,9 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlane.operators import dau
 from martlane.plans import dashboard, search
 from martlane.streaming import runners
-from martlane.streaming.apps import TABLES
+from martlane.streaming.apps import FIRST_SEEN, TABLES
 
 
 COUNTS = (dashboard.METRIC_DAU[0], dashboard.METRIC_NEW_MID[0])   # metrics that are whole numbers
@@ -45,10 +44,14 @@ def _with_day_before(date: str) -> list[str]:
 
 
 def realtime_total(spark: SparkSession, warehouse: str, date: str) -> DataFrame:
-    """[{id, name, value}] for dau, new_mid and order_amount of ``date``."""
-    fv = _first_visits(spark, warehouse)    # all days: a device's first day may be any
+    """[{id, name, value}] for dau, new_mid and order_amount of ``date``; every
+    table is read for that day alone."""
+    claims = runners.first_seen_table(spark, f"{warehouse.rstrip('/')}/{FIRST_SEEN}").read([date])
+    if claims is None:
+        claims = spark.createDataFrame([], "mid string, log_date string, live boolean")
+    new = claims.filter("live").agg(F.count(F.lit(1)).alias("ct"))
     return dashboard.realtime_total(_first_visits(spark, warehouse, [date]), _orders(spark, warehouse, [date]),
-                                    dau.new_mid(fv, date), date)
+                                    new, date)
 
 
 def realtime_hour(spark: SparkSession, warehouse: str, metric_id: str, date: str) -> DataFrame | None:

@@ -25,6 +25,7 @@ from martlane.streaming import runners
 
 JOBS = ("dau", "orders", "first_orders", "alerts", "users", "sales")
 PRODUCERS = ("collector", "capture")   # client logs (and the raw log) and change log -> topics
+FIRST_SEEN = "first_seen"              # table of devices' first days, kept by the dau job
 REJECTS = "rejects"                    # every consumed topic -> reject table
 TABLES = {"dau": "dau", "orders": "order_info", "first_orders": "order_info_flagged",
           "alerts": "coupon_alert", "users": "user_info", "sales": "sale_detail"}
@@ -74,7 +75,7 @@ def start_jobs(spark: SparkSession, args) -> dict:
         elif job == "dau":
             logs = _topic(spark, topics.TOPIC_STARTUP, args)
             logs = logs.withColumnRenamed("type", "log_type")
-            started[job] = runners.start_dau_stream(logs, table(job), ck(job), trigger)
+            started[job] = runners.start_dau_stream(logs, table(job), ck(job), trigger, f"{wh}/{FIRST_SEEN}")
         elif job == "orders":
             raw = _topic(spark, topics.TOPIC_ORDER, args)
             started[job] = runners.start_order_stream(raw, table(job), ck(job), trigger)

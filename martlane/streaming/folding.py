@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 
 from martlane.sources.tables import ONE_PART, AppendTable
 from martlane.streaming import runners
-from martlane.streaming.apps import TABLES
+from martlane.streaming.apps import FIRST_SEEN, TABLES
 
 OPEN = {"dau": runners.dau_table, "orders": runners.order_table, "first_orders": runners.order_table,
         "alerts": runners.alert_table, "users": runners.user_table, "sales": runners.sale_table}
@@ -28,7 +28,8 @@ def warehouse_tables(spark: SparkSession, warehouse: str) -> dict[str, AppendTab
     """Every keyed table that the streaming jobs keep below ``warehouse``."""
     wh = warehouse.rstrip("/")
     tables = {job: open_(spark, f"{wh}/{TABLES[job]}") for job, open_ in OPEN.items()}
-    return tables | {"first_order_users": runners.first_order_table(spark, f"{wh}/first_order_users")}
+    return tables | {"first_order_users": runners.first_order_table(spark, f"{wh}/first_order_users"),
+                     FIRST_SEEN: runners.first_seen_table(spark, f"{wh}/{FIRST_SEEN}")}
 
 
 def fold_days(spark: SparkSession, warehouse: str, days: Sequence[str]) -> dict[str, int]:

@@ -30,6 +30,13 @@ def dau_table(spark, root: str) -> AppendTable:
     return AppendTable(spark, root, dau.DAU_KEY, "log_date", ["ts"], latest=False)
 
 
+def first_seen_table(spark, root: str) -> AppendTable:
+    """Claims (mid, log_date, live): the device's first day, as known so far.  An
+    earlier day found later comes with a row that ends the claim of the later day,
+    so the live rows of a day's folder are the devices first seen on that day."""
+    return AppendTable(spark, root, ["mid", "log_date"], "log_date", indexed=True)
+
+
 def order_table(spark, root: str) -> AppendTable:
     """Orders by id, folders by create date."""
     return AppendTable(spark, root, ["id"], "create_date")
@@ -69,8 +76,24 @@ def start_batches(df: DataFrame, fn, checkpoint: str, trigger: dict | None):
 
 # -------------------------------------------------------------------- DAU
 
-def dau_batch(table: AppendTable):
-    """foreachBatch body: drop what is no earlier than a seen visit, append the rest."""
+def first_seen_claims(visits: DataFrame, seen: AppendTable) -> DataFrame:
+    """The claims that a batch's first visits add and end."""
+    first = visits.groupBy("mid").agg(F.min("log_date").alias("log_date"))
+    known = seen.lookup(first.select("mid"))
+    if known is None:
+        return first.withColumn("live", F.lit(True))
+    known = known.filter("live").groupBy("mid").agg(F.min("log_date").alias("_known"))
+    both = first.join(known, "mid", "left").filter(F.col("_known").isNull() | (F.col("log_date") < F.col("_known")))
+    claims = F.array(F.struct("log_date", F.lit(True).alias("live")),
+                     F.when(F.col("_known").isNotNull(), F.struct(F.col("_known").alias("log_date"),
+                                                                  F.lit(False).alias("live"))))
+    return both.select("mid", F.inline(F.filter(claims, lambda c: c.isNotNull())))
+
+
+def dau_batch(table: AppendTable, first_seen: AppendTable | None = None):
+    """foreachBatch body: drop what is no earlier than a seen visit, append the
+    rest; with ``first_seen`` also what it says about devices' first days, before
+    the visits, so that a batch that died between the two finds both again."""
     def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
         batch.persist()
         try:
@@ -78,7 +101,13 @@ def dau_batch(table: AppendTable):
             days = [r[0] for r in logs.select("log_date").distinct().collect()]
             seen = table.rows(days)     # only the days in this batch: partition pruning
             fresh = logs if seen is None else dau.anti_seen(logs, seen)
-            table.append(dau.first_per_device(fresh).select(*DAU_COLUMNS), query_id, batch_id)
+            visits = dau.first_per_device(fresh).select(*DAU_COLUMNS).persist()
+            try:
+                if first_seen is not None:
+                    first_seen.append(first_seen_claims(visits, first_seen), query_id, batch_id)
+                table.append(visits, query_id, batch_id)
+            finally:
+                visits.unpersist()
         finally:
             batch.unpersist()
     return write
@@ -139,10 +168,12 @@ def start_reject_stream(records: DataFrame, schema, required: str, topic: str, r
 
 
 def start_dau_stream(startup_logs: DataFrame, table_root: str, checkpoint: str,
-                     trigger: dict | None = None):
-    """Startup logs -> one row per (device, day) in the DAU table."""
-    table = dau_table(startup_logs.sparkSession, table_root)
-    return start_batches(startup_logs, dau_batch(table), checkpoint, trigger)
+                     trigger: dict | None = None, first_seen_root: str | None = None):
+    """Startup logs -> one row per (device, day) in the DAU table, and every
+    device's first day in the first-seen table."""
+    spark = startup_logs.sparkSession
+    seen = first_seen_table(spark, first_seen_root) if first_seen_root else None
+    return start_batches(startup_logs, dau_batch(dau_table(spark, table_root), seen), checkpoint, trigger)
 
 
 def dau_stream_stateful(startup_logs: DataFrame, watermark: str = "1 day") -> DataFrame:

@@ -64,6 +64,33 @@ def test_dau_stream_equals_batch(spark, tmp_dir):
     assert rows(table.read(), *DAU_COLUMNS) == rows(want, *DAU_COLUMNS)
 
 
+def test_first_seen_days_are_corrected(spark, tmp_dir):
+    """An earlier day that comes later ends the claim of the later day; a batch
+    that died between the two tables, or comes again, changes nothing."""
+    table, seen = runners.dau_table(spark, f"{tmp_dir}/dau"), runners.first_seen_table(spark, f"{tmp_dir}/seen")
+    day = lambda n: 1_704_067_200_000 + n * 86_400_000 + 5
+    schema = "mid string, uid string, appid string, area string, os string, ch string, log_type string, vs string, ts long"
+    write = runners.dau_batch(table, seen)
+    batches = [[("a", 5), ("b", 3), ("b", 4)], [("a", 2), ("b", 3), ("c", 5)], [("a", 1), ("c", 5), ("b", 9)], [("d", 1)]]
+    frames = [spark.createDataFrame([(m, *[None] * 7, day(n)) for m, n in b], schema) for b in batches]
+    for number, f in enumerate(frames):
+        if number == 2:    # dies after the first-seen table
+            table.append, real = (lambda *a: (_ for _ in ()).throw(RuntimeError("lost"))), table.append
+            try:
+                write(f, "q", number)
+            except RuntimeError:
+                pass
+            table.append = real
+        write(f, "q", number)
+    write(frames[3], "q", 3)
+    live = rows(seen.read().filter("live"), "mid", "log_date")
+    assert live == [("a", "2024-01-02"), ("b", "2024-01-04"), ("c", "2024-01-06"), ("d", "2024-01-02")]
+    per_day = {d: seen.read([d]).filter("live").count() for d in ("2024-01-02", "2024-01-03", "2024-01-04", "2024-01-06")}
+    assert per_day == {"2024-01-02": 2, "2024-01-03": 0, "2024-01-04": 1, "2024-01-06": 1}
+    assert rows(dau.new_mid(table.read())) == rows(seen.read().filter("live").groupBy("log_date").agg(
+        F.count(F.lit(1)).alias("ct")))
+
+
 def test_order_stream_equals_batch(spark, tmp_dir):
     raw = fx.order_info_raw(spark, SF_SMALL)
     write_chunks(raw, f"{tmp_dir}/topics", topics.TOPIC_ORDER, "ts", 3)
