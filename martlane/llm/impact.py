@@ -30,11 +30,12 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martlane.llm.vectors import best, search
+from martlane.llm.vectors import NO_FLOOR, best, search
 
 # Lower edges of the contribution bands, as parts of the largest contribution.
-BANDS = (0.08, 0.04, 0.0)
-FEW = 0.15  # possible members are scored again once they are so small a part
+BANDS = (0.085, 0.04, 0.0)
+FIRST = 1024  # rows of the first block that are scored at once for a first floor
+FEW = 0.3  # possible members are scored again once they are so small a part
 
 
 def search_block(queries: np.ndarray, query_rows: np.ndarray, vectors: np.ndarray, ids: np.ndarray,
@@ -48,12 +49,22 @@ def search_block(queries: np.ndarray, query_rows: np.ndarray, vectors: np.ndarra
     own = {int(r): i for i, r in enumerate(rows)}
     few = max(4 * k, int(FEW * n))
     room = np.empty(n * dims, np.intp), np.empty(n * dims)
+    # products of these are whole numbers below 2^53: exact in double precision, and faster
+    largest = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * dims
+    exact = vectors.astype(np.float64) if largest < 2.0**53 else vectors
     out_q, out_v, out_s = [], [], []
     for i, query in enumerate(queries):
         mine = own.get(int(query_rows[i]), -1)
-        possible = _possible(query, order, impact, packed, mine, k, few, int(floors[i]), room)
-        scores = vectors[possible] @ query
-        possible, scores = possible[scores >= floors[i]], scores[scores >= floors[i]]
+        floor = int(floors[i])
+        if floor == NO_FLOOR and k < FIRST < n:     # the k-th best of some rows is a floor for all
+            some = (exact[:FIRST] @ query.astype(exact.dtype)).astype(np.int64)
+            if 0 <= mine < FIRST:
+                some = np.delete(some, mine)
+            floor = int(np.partition(some, len(some) - k)[len(some) - k])
+        possible = _possible(query, order, impact, packed, mine, k, few, floor, room)
+        scores = (exact[possible] @ query.astype(exact.dtype)).astype(np.int64)
+        enough = scores >= floor
+        possible, scores = possible[enough], scores[enough]
         pick = best(np.zeros(len(possible), np.int64), possible, scores, ids, k)
         out_q.append(np.full(len(pick), i))
         out_v.append(possible[pick])
