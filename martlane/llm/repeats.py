@@ -115,16 +115,17 @@ def _runs(rows: DataFrame) -> DataFrame:
 
 
 def cells(asked: DataFrame, texts: DataFrame) -> DataFrame:
-    """Strings of the surroundings in ``asked`` (gram, around, tid, place, hot):
-    key (of the core, or of a single window), left, right (null for a single
-    window), gram, around, cell, low, high: the windows that pick the anchor
-    take from ``low`` to ``high`` bytes from the left of the core."""
+    """Strings of the surroundings in ``asked`` (gram, tid, place, n, hot): key
+    (of the core, or of a single window), left, right (null for a single
+    window), tid, place (null for surroundings that occur ``n`` > 1 times, which
+    are only met), cell, low, high: the windows that pick the anchor take from
+    ``low`` to ``high`` bytes from the left of the core."""
     wanted = (asked.withColumn("size", F.expr(_SIZE)).groupBy("tid", "size")
-              .agg(F.collect_list(F.struct("gram", "around", "place", "hot")).alias("asked")))
+              .agg(F.collect_list(F.struct("gram", "place", "n", "hot")).alias("asked")))
 
     def rows(source):
         unpack = zstandard.ZstdDecompressor().decompress
-        for packed, asks in source:
+        for tid, packed, asks in source:
             raw = unpack(packed)
             data = np.frombuffer(raw, np.uint8)
             hashes, n = Hashes(data), len(raw)
@@ -142,17 +143,18 @@ def cells(asked: DataFrame, texts: DataFrame) -> DataFrame:
                 end = begin + SPAN - CELL + 1
                 key = (core ^ (ask["gram"] * 0x9E3779B97F4A7C15 + cell * 0xD6E8FEB86659FD93)) & (1 << 64) - 1
                 left, right = raw[max(0, begin - CELL + 1):begin], raw[end:end + CELL - 1]
+                where = ask["place"] if ask["n"] == 1 else None
                 if not ask["hot"]:
-                    yield _signed(key), left, right, ask["gram"], ask["around"], cell, low, high
+                    yield _signed(key), left, right, tid, where, cell, low, high
                     continue
                 for t in range(low, high + 1):  # a window takes t bytes from the left
                     own = hashlib.blake2b(left[len(left) - t:] + bytes([t]) + right[:CELL - 1 - t],
                                           digest_size=8, key=key.to_bytes(8, "little")).digest()
-                    yield int.from_bytes(own, "little", signed=True), None, None, ask["gram"], ask["around"], cell, t, t
+                    yield int.from_bytes(own, "little", signed=True), None, None, tid, where, cell, t, t
 
     joined = texts.select("tid", "size", "packed").join(wanted, ["tid", "size"])
-    return map_rows(joined, "key long, left binary, right binary, gram long, around long, cell int, low int, high int",
-                    rows, "packed", "asked")
+    return map_rows(joined, "key long, left binary, right binary, tid long, place long, cell int, low int, high int",
+                    rows, "tid", "packed", "asked")
 
 
 def _signed(x: int) -> int:
@@ -160,9 +162,9 @@ def _signed(x: int) -> int:
 
 
 def repeated_windows(strings: DataFrame) -> DataFrame:
-    """gram, around, cell, low, high: the least and the most bytes from the
-    left of the core that a repeated window of the surroundings takes.  Both
-    are repeated, and cover all bytes between them, being longer than a cell."""
+    """tid, place, cell, low, high: the least and the most bytes from the left of
+    the core that a repeated window at the place takes.  Both are repeated, and
+    cover all bytes between them, being longer than a cell."""
     def rows(source):
         bucket: list[tuple[list, dict]] = []
         held = 0
@@ -191,8 +193,8 @@ def repeated_windows(strings: DataFrame) -> DataFrame:
         yield from _merged(bucket)
 
     ordered = strings.repartition("key").sortWithinPartitions("key")
-    return map_rows(ordered, "gram long, around long, cell int, low int, high int", rows,
-                    "key", "left", "right", "gram", "around", "cell", "low", "high")
+    return map_rows(ordered, "tid long, place long, cell int, low int, high int", rows,
+                    "key", "left", "right", "tid", "place", "cell", "low", "high").filter("place is not null")
 
 
 def _merged(groups: list[dict]) -> Iterator[tuple]:
@@ -229,21 +231,20 @@ def removal_runs(texts: DataFrame) -> DataFrame:
     mixed = shared.filter("mixed").select("gram", "around", "tid", "place")
     kinds = stored(mixed.groupBy("gram", "around")
                    .agg(F.count("*").alias("n"), F.min(F.struct("tid", "place")).alias("r")), "kinds", ROWS)
+    # Surroundings seen again are repeated wherever they stand.
+    again = kinds.filter("n > 1").select("gram", "around")
+    several = _runs(mixed.join(again, ["gram", "around"], "left_semi"))
+    # Others stand in one place each, which goes with their strings.
     hot = kinds.groupBy("gram").agg((F.count("*") > HOT).alias("hot"))
-    asked = kinds.join(hot, "gram").select("gram", "around", "r.tid", "r.place", "hot")
-    masks = repeated_windows(cells(asked, texts))
-    found = stored(masks.groupBy("gram", "around").agg(F.collect_list(F.struct("cell", "low", "high")).alias("cells"))
-                   .join(kinds.select("gram", "around", "n"), ["gram", "around"], "full"), "masks", ROWS)
-    rows = mixed.join(found, ["gram", "around"])
-    several = _runs(rows.filter("n > 1"))
-    core = f"{_AT} - c.cell * {CELL}"
-    one = (rows.filter("cells is not null").withColumn("c", F.explode("cells"))
-           .selectExpr("tid", f"{_SIZE} as size", f"{core} - c.high as from", f"{core} - c.low + {SPAN} as to"))
+    asked = kinds.join(hot, "gram").select("gram", "r.tid", "r.place", "n", "hot")
+    core = f"{_AT} - cell * {CELL}"
+    one = repeated_windows(cells(asked, texts)).selectExpr(
+        "tid", f"{_SIZE} as size", f"{core} - high as from", f"{core} - low + {SPAN} as to")
     whole = (texts.filter((F.col("copies") > 1) & (F.col("n_bytes") >= SPAN))
              .selectExpr("tid", "size", "cast(0 as long) as from", "n_bytes as to"))
     every_run = alike.unionByName(several).unionByName(one).unionByName(whole)
     runs = stored(every_run.groupBy("tid", "size").agg(F.collect_set(F.struct("from", "to")).alias("runs")), "runs")
-    discard(shared, kinds, found)
+    discard(shared, kinds)
     return runs
 
 
