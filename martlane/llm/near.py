@@ -56,9 +56,9 @@ LEAST = 2
 REGION = 64
 AGREE = 0.60
 BLOCK = 1024
-CLASSES = 50_000   # classes, and ...
-ROWS = 400_000     # ... rows of trees, groups or pairs, and ...
-SETS = 20_000      # ... full sets that a task reads
+CLASSES = 20_000   # classes, and ...
+ROWS = 160_000     # ... rows of trees, groups or pairs, and ...
+SETS = 8_000       # ... full sets that a task reads
 
 _rng = np.random.default_rng(11)
 _ODD = _rng.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -294,7 +294,15 @@ def full_sets(needed: DataFrame, docs: DataFrame, classes: DataFrame, width: int
             if _fingerprint(members) == bytes(set_id):
                 yield set_id, members.tobytes()
 
-    return map_rows(texts, "set_id binary, members binary", rows, "set_id", "text").dropDuplicates(["set_id"])
+    made = stored(map_rows(texts, "set_id binary, members binary", rows, "set_id", "text"), "full-sets", SETS)
+    # Only rows that repeat their representative's id and text make a set again;
+    # without any, the sets need no shuffle.
+    n = made.agg(F.count("*"), F.countDistinct("set_id")).first()
+    if n[0] == n[1]:
+        return made
+    sets = stored(made.dropDuplicates(["set_id"]), "full-sets", SETS)
+    discard(made)
+    return sets
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -334,7 +342,7 @@ def _decided(docs: DataFrame, width: int) -> DataFrame:
     pairs = stored(best_pairs(members, members.small).unionByName(agreeing(above, classes)).distinct(), "pairs", ROWS)
     discard(*scratch[1:])
     ends = pairs.select(F.col("a").alias("set_id")).unionAll(pairs.select("b"))
-    sets = stored(full_sets(ends, docs, classes, width), "full-sets", SETS)
+    sets = full_sets(ends, docs, classes, width)
     links = stored(confirmed(pairs, sets), "links", ROWS)
     found = components(links)
     named = lambda: found.select(F.col("node").alias("set_id"), "component")
@@ -355,6 +363,7 @@ def _decided(docs: DataFrame, width: int) -> DataFrame:
         if not rows.isEmpty():
             rest = full_sets(rows.join(sets, "set_id", "left_anti"), docs, classes, width)
             links, found = _with_more(links, found, exact_links(rows, sets.unionByName(rest), rows.small))
+            discard(rest)
         discard(rows)
     discard(sets, scratch[0])
     return _labelled(every, classes, links, found)
