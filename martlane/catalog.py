@@ -193,10 +193,18 @@ def build_sale_index(spark, d) -> DataFrame:
     # Lines are deduplicated by id first, on the narrow line rows: every other
     # field of a document follows from the order id inside the line id, so
     # this equals deduplicating the joined documents, at a fraction of the width.
-    lines = sales.latest_line(fx.order_detail_raw(spark, d))
-    joined = sales.sale_join(_orders(spark, d), lines, None)
-    enriched = sales.enrich_user(sales.sale_detail(joined), _users(spark, d), fx.USER_AS_OF)
-    return search.with_terms(enriched.drop("version"))
+    raw = fx.order_detail_raw(spark, d).select("id", "order_id", "sku_name", "sku_id", "order_price", "version")
+    # One shuffle by order serves both this and the join: an id of four numbers
+    # holds the order's.  Ids that lack a number (a null key) may not, and could
+    # be those of several orders.
+    whole = F.regexp_count("id", F.lit(r"\d+")) == 4
+    lines = sales.latest_line(raw.filter(whole).repartition("order_id"), ["order_id", "id"])
+    lines = lines.withColumn("ts", F.col("version.ts"))
+    others = sales.latest_line(raw.filter(~whole)).withColumn("ts", F.col("version.ts"))
+    # An order's lines share its user: the fewer and narrower orders are enriched.
+    users = sales.enrich_user(_orders(spark, d), _users(spark, d), fx.USER_AS_OF)
+    joined = sales.sale_join(users, lines, None).unionByName(sales.sale_join(users, others, None))
+    return search.with_terms(sales.sale_detail(joined).drop("version"))
 
 
 def sale_index(spark, d) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from martlane.sources.topics import POSITION
 
 # Fixed value: how long an order and its lines wait for each other.
 JOIN_BOUND_SECONDS = 300
+USER_FIELDS = ("user_gender", "user_age", "user_level")
 
 
 def user_latest(users: DataFrame, version_col: str = "seq") -> DataFrame:
@@ -29,7 +32,7 @@ def sale_join(orders: DataFrame, details: DataFrame, bound_seconds: int | None =
     """Inner join of orders and their lines, arrival times less than the bound apart.
 
     ``orders`` are cleaned orders (``create_date`` present) with epoch-ms
-    ``ts``; ``details`` carry ``ts`` too.  ``bound_seconds=None`` joins on
+    ``ts``, and the buyer's fields where they have been added already; ``details`` carry ``ts`` too.  ``bound_seconds=None`` joins on
     the key alone.  The join is an equi-join on the order id (unique on the
     order side) with the time bound as a residual condition; AQE splits a
     hot order id on the line side.  The streaming twin puts the same
@@ -37,7 +40,8 @@ def sale_join(orders: DataFrame, details: DataFrame, bound_seconds: int | None =
     """
     o = orders.select(
         F.col("id").alias("order_id"), "order_status", "create_time", "user_id",
-        F.col("create_date").alias("dt"), F.col("ts").alias("_o_ts"))
+        F.col("create_date").alias("dt"), F.col("ts").alias("_o_ts"),
+        *(c for c in USER_FIELDS if c in orders.columns))
     d_cols = [F.col("id").alias("order_detail_id"), F.col("order_id").alias("_d_order_id"),
               "sku_id", "sku_name", sku_price("order_price").alias("sku_price"),
               F.col("ts").alias("_d_ts")]
@@ -78,9 +82,12 @@ def enrich_user(sales: DataFrame, users: DataFrame, as_of: str) -> DataFrame:
     return j.drop("_uid", "_gender", "_level", "_age")
 
 
-def latest_line(details: DataFrame) -> DataFrame:
-    """One order line per line id, the latest ``version`` (last write wins)."""
-    return pick_per_key(details, ["id"], ["version"] if "version" in details.columns else [],
+def latest_line(details: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
+    """One order line per line id, the latest ``version`` (last write wins).
+
+    Where the id holds the order's, ``keys`` may name the order id too: lines
+    dealt by it are then resolved where they lie."""
+    return pick_per_key(details, keys, ["version"] if "version" in details.columns else [],
                         latest=True)
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlane.session import checkpoint_root
 
-VERSION = 3
+VERSION = 4
 _BUILT: dict[str, str] = {}
 
 
