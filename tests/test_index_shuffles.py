@@ -57,6 +57,17 @@ def test_index_of_lines_with_null_and_repeated_keys(spark, monkeypatch, built):
     assert rows(got, *names) == rows(want.select(*names)) and got.count() > 0
 
 
+def test_postings_are_not_shuffled(spark, monkeypatch):
+    index = spark.createDataFrame([("1", "2024-01-01", ["a", "b", "a"]), ("2", "2024-01-02", ["b"])],
+                                  f"order_detail_id string, dt string, {search.TERMS_COL} array<string>")
+    plans = {}
+    monkeypatch.setattr(catalog, "sale_index", lambda spark, d: index)
+    monkeypatch.setattr(catalog, "derived_table", lambda spark, name, inputs, build, *a: plans.setdefault(name, build()))
+    assert rows(catalog.sale_postings(spark, SF_SMALL)) == [
+        ("a", "2024-01-01", "1"), ("b", "2024-01-01", "1"), ("b", "2024-01-02", "2")]
+    assert not shuffles(plans["sale_postings"])
+
+
 def test_enriched_orders_give_the_lines_their_user(spark):
     orders = spark.createDataFrame([("1", "x", "2024-01-01 00:00:00", "u", "2024-01-01", 5)],
                                    "id string, order_status string, create_time string, user_id string, "
