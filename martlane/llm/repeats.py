@@ -51,6 +51,7 @@ SPAN = 200
 CELL = 16
 HOT = 4096
 ROWS = 500_000  # anchors that a task reads
+FREQUENT = 1000  # surroundings with so great a part of the rows are picked by name
 BUCKET = 2048  # strings whose transforms are merged together
 
 
@@ -217,6 +218,21 @@ def _merged(groups: list[dict]) -> Iterator[tuple]:
                 yield (*w, int(own.min()), int(own.max()))
 
 
+def _met_again(mixed: DataFrame, kinds: DataFrame) -> DataFrame:
+    """The rows of ``mixed`` whose surroundings ``kinds`` counts more than once:
+    these are repeated wherever they stand.
+
+    Surroundings with a ``FREQUENT``-th of these rows or more number at most
+    ``FREQUENT``: a filter picks them by name, so that their rows are neither
+    shuffled nor gather in one task.  The others meet by a join."""
+    again = kinds.filter("n > 1").select("gram", "around", "n")
+    total = again.agg(F.sum("n")).first()[0] or 0
+    name = F.concat_ws(":", "gram", "around")
+    frequent = name.isin([r[0] for r in again.filter(F.col("n") * FREQUENT >= total).select(name).collect()])
+    rare = mixed.filter(~frequent).join(again.filter(~frequent).drop("n"), ["gram", "around"], "left_semi")
+    return mixed.filter(frequent).unionByName(rare)
+
+
 def removal_runs(texts: DataFrame) -> DataFrame:
     """tid, size, runs (from, to; bytes to remove, runs may overlap) of the
     texts that have any, stored."""
@@ -231,9 +247,7 @@ def removal_runs(texts: DataFrame) -> DataFrame:
     mixed = shared.filter("mixed").select("gram", "around", "tid", "place")
     kinds = stored(mixed.groupBy("gram", "around")
                    .agg(F.count("*").alias("n"), F.min(F.struct("tid", "place")).alias("r")), "kinds", ROWS)
-    # Surroundings seen again are repeated wherever they stand.
-    again = kinds.filter("n > 1").select("gram", "around")
-    several = _runs(mixed.join(again, ["gram", "around"], "left_semi"))
+    several = _runs(_met_again(mixed, kinds))
     # Others stand in one place each, which goes with their strings.
     hot = kinds.groupBy("gram").agg((F.count("*") > HOT).alias("hot"))
     asked = kinds.join(hot, "gram").select("gram", "r.tid", "r.place", "n", "hot")
