@@ -5,7 +5,8 @@ by impact, so that the rows of one impact are a posting segment.  A query
 turns the impacts of a component into contributions (query value times
 impact, less the component's smallest, so none is negative) and takes the
 segments of all components in falling order of contribution, a band of
-contributions at a time, adding to one accumulator per row.  An accumulator
+contributions at a time, adding to one accumulator per row; a component of
+which a band takes a large part is taken whole, as a column.  An accumulator
 is a lower bound of its row's score; what its unseen components can still add
 is bounded by the largest contribution not yet taken.
 
@@ -35,6 +36,7 @@ from martlane.llm.vectors import NO_FLOOR, best, search
 # Lower edges of the contribution bands, as parts of the largest contribution.
 BANDS = (0.085, 0.04, 0.0)
 FIRST = 1024  # rows of the first block that are scored at once for a first floor
+MOST = 0.3  # a component of which a band takes so large a part is taken whole
 FEW = 0.3  # possible members are scored again once they are so small a part
 
 
@@ -46,6 +48,7 @@ def search_block(queries: np.ndarray, query_rows: np.ndarray, vectors: np.ndarra
     order = np.argsort(vectors, axis=0, kind="stable").T.copy()          # rows by impact, per component
     impact = np.take_along_axis(vectors.T, order, axis=1)
     packed = impact * 65536.0
+    columns = (vectors.T - impact[:, :1]).astype(np.float64)             # above the component's least impact
     own = {int(r): i for i, r in enumerate(rows)}
     few = max(4 * k, int(FEW * n))
     room = np.empty(n * dims, np.intp), np.empty(n * dims)
@@ -61,7 +64,7 @@ def search_block(queries: np.ndarray, query_rows: np.ndarray, vectors: np.ndarra
             if 0 <= mine < FIRST:
                 some = np.delete(some, mine)
             floor = int(np.partition(some, len(some) - k)[len(some) - k])
-        possible = _possible(query, order, impact, packed, mine, k, few, floor, room)
+        possible = _possible(query, order, impact, packed, columns, mine, k, few, floor, room)
         scores = (exact[possible] @ query.astype(exact.dtype)).astype(np.int64)
         enough = scores >= floor
         possible, scores = possible[enough], scores[enough]
@@ -72,8 +75,8 @@ def search_block(queries: np.ndarray, query_rows: np.ndarray, vectors: np.ndarra
     return np.concatenate(out_q), np.concatenate(out_v), np.concatenate(out_s)
 
 
-def _possible(query: np.ndarray, order: np.ndarray, impact: np.ndarray, packed: np.ndarray, mine: int, k: int,
-              few: int, floor: int, room: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+def _possible(query: np.ndarray, order: np.ndarray, impact: np.ndarray, packed: np.ndarray, columns: np.ndarray,
+              mine: int, k: int, few: int, floor: int, room: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Rows that may be among the k best of the others than ``mine`` and score
     ``floor`` or more."""
     dims, n = order.shape
@@ -93,11 +96,20 @@ def _possible(query: np.ndarray, order: np.ndarray, impact: np.ndarray, packed:
     segment_rows, segment_adds = room                # a band's postings
     taken = np.zeros(dims, np.int64)                 # postings taken so far, per component
     largest = int(reach.max(initial=0))
+    # The contribution that a part of MOST of a component's postings reaches.
+    last = int((1 - MOST) * n)
+    usual = np.where(query > 0, query * impact[:, last], query * impact[:, n - 1 - last]) - least
     for band in BANDS:
         edge = int(band * largest)
         size = 0
         following = bound = 0                        # largest contribution left; sum over components
-        for d in live:
+        whole = (most > least) & (taken == 0) & (usual >= edge)
+        if whole.any():
+            # sums below 2^36: exact in double precision
+            adds = np.where(whole, query, 0).astype(np.float64) @ columns
+            acc += (adds.astype(np.int64) + int(reach[whole & (query < 0)].sum())) * 65536 + int(whole.sum())
+            taken[whole] = n
+        for d in np.flatnonzero((most > least) & (taken < n)):
             w = int(query[d])
             # contribution w * x - least >= edge, as a run of the impact order
             if w > 0:
@@ -106,10 +118,10 @@ def _possible(query: np.ndarray, order: np.ndarray, impact: np.ndarray, packed:
                 taken[d] = max(taken[d], n - first)
                 rest = w * int(impact[d, first - 1]) - int(least[d]) if first else 0
             else:
-                last = int(np.searchsorted(impact[d], (edge + int(least[d])) // w, side="right"))
-                run = slice(int(taken[d]), last)
-                taken[d] = max(taken[d], last)
-                rest = w * int(impact[d, last]) - int(least[d]) if last < n else 0
+                after = int(np.searchsorted(impact[d], (edge + int(least[d])) // w, side="right"))
+                run = slice(int(taken[d]), after)
+                taken[d] = max(taken[d], after)
+                rest = w * int(impact[d, after]) - int(least[d]) if after < n else 0
             if run.stop > run.start:
                 upto = size + run.stop - run.start
                 segment_rows[size:upto] = order[d, run]
